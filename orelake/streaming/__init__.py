@@ -1,0 +1 @@
+"""No streaming operators: every job of this library is a batch job."""
