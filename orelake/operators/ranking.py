@@ -151,7 +151,11 @@ def ntile_summary(df: DataFrame, by: Sequence[str], value: str, tiles: int, name
     return (
         ranked.withColumn(
             name,
-            F.explode(F.sequence(_tile_of(before + 1, total, tiles), _tile_of(F.col("upto"), total, tiles))).cast("int"),
+            F.explode(
+                F.sequence(
+                    _tile_of(before + 1, total, tiles).cast("int"), _tile_of(F.col("upto"), total, tiles).cast("int")
+                )
+            ),
         )
         .withColumn("_rows", F.least(F.col("upto"), end) - F.greatest(before, start))
         .groupBy(*by, name)

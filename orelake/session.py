@@ -25,5 +25,6 @@ def local_session(app_name: str = "orelake", cores: str = "*", memory: str = "8g
         builder.config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
