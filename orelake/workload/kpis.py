@@ -38,7 +38,7 @@ CORR_SQL = " UNION ALL ".join(
 TOP_SQL = f"""
     SELECT _project AS project, _version AS version, name AS module, bug AS bugs, loc AS lines_of_code,
            {half_up("bug_density", 5)} AS bug_density, l_quantity, l_discount,
-           dense_rank() OVER (ORDER BY bug DESC, m.bug_density DESC) AS rank_global
+           CAST(dense_rank() OVER (ORDER BY bug DESC, m.bug_density DESC) AS INTEGER) AS rank_global
     FROM m WHERE bug > 0 ORDER BY bug DESC, m.bug_density DESC, _project, _version, name LIMIT 25"""
 
 _CROSS_COLS = "d.project_id, d.source_system, d.domain_layer, d.project_name"
