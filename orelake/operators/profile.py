@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from orelake.functions import columns as c
 from orelake.operators.ranking import discrete_quantiles, interpolated_quantiles, merge_groups, ranked_values
 
+_SALTS = 32
+
 
 def bronze_profile(df: DataFrame, group: str = "_project", version: str = "_version", count: str = "bug") -> DataFrame:
     """Rows, versions and rows with a positive count per group."""
@@ -96,8 +98,11 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     quartiles = interpolated_quantiles(ranked, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * 1.5
     low, high = F.col("q1") - reach, F.col("q3") + reach
+    # The values of a hot group are spread over several join keys.
+    salted = ranked.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(_SALTS).cast("long")))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)).cast("array<bigint>"))
     return (
-        ranked.join(quartiles, group)
+        salted.join(quartiles.withColumn("_salt", salts), [group, "_salt"])
         .groupBy(group)
         .agg(
             F.max("q1").alias("q1"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,14 +29,16 @@ def zscore(
     """Add ``<feature>_z`` columns and their array.
 
     A spread of 0, or none at all, counts as 1.  The parameters are one row,
-    read as a scalar subquery.
+    read as one scalar subquery.
     """
-    packed = _params(train, features, population).select(F.struct(*features).alias("p")).scalar()
-
-    def scaled(f: str) -> Column:
-        spread = F.coalesce(F.nullif(packed[f]["std"], F.lit(0.0)), F.lit(1.0))
-        return (F.col(f) - packed[f]["mean"]) / spread
-
-    return df.withColumns({f"{f}_z": scaled(f) for f in features}).withColumn(
-        out, F.array(*[F.col(f"{f}_z") for f in features])
-    )
+    usable = [
+        F.struct(
+            F.col(f"{f}.mean").alias("mean"),
+            F.coalesce(F.nullif(F.col(f"{f}.std"), F.lit(0.0)), F.lit(1.0)).alias("std"),
+        ).alias(f)
+        for f in features
+    ]
+    packed = _params(train, features, population).select(F.struct(*usable).alias("p"))
+    held = df.withColumn("_params", packed.scalar())
+    scaled = {f"{f}_z": (F.col(f) - F.col(f"_params.{f}.mean")) / F.col(f"_params.{f}.std") for f in features}
+    return held.withColumns(scaled).withColumn(out, F.array(*[F.col(name) for name in scaled])).drop("_params")
