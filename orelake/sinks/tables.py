@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelake.operators.quality import constraint_violations
+from orelake.storage import write_out
 
 _RULE = "constraint."
 
@@ -142,28 +143,21 @@ def save_checked(
 ) -> DataFrame:
     """Replace a table with rows that meet all rules.
 
-    The rows are written once to a staging table and checked there, so what is
-    checked is what is kept.  Without ``quarantine`` a violation raises and the
-    old table stays; with it, bad rows go to that table.
+    The rows are computed once into the shared folder and checked there, so
+    what is checked is what is kept.  Without ``quarantine`` a violation raises
+    and the old table stays; with it, bad rows go to that table.
     """
     spark = df.sparkSession
-    staging = f"{table}__staging"
-    staged = save_table(df, staging, partition_by, cluster_by)
+    staged = write_out(df, "staging")
     if quarantine is None:
-        try:
-            _require(staged, rules, table)
-        except ConstraintViolation:
-            spark.sql(f"DROP TABLE {staging}")
-            raise
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        _require(staged, rules, table)
+        save_table(staged, table, partition_by, cluster_by)
     else:
         good = F.lit(True)
         for _, rule in rules:
             good = good & F.coalesce(F.expr(rule), F.lit(False))
         save_table(staged.filter(~good), quarantine)
         save_table(staged.filter(good), table, partition_by, cluster_by)
-        spark.sql(f"DROP TABLE {staging}")
     if rules:
         set_properties(spark, table, {_RULE + name: rule for name, rule in rules})
     if comment:

@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,9 +27,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="orelake-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="orelake-")
+    return _LOCAL[app]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
