@@ -74,7 +74,7 @@ def dq_suite_issues(spark: SparkSession, folder: str) -> DataFrame:
     return quality.issue_suite(raw, cleaned, v.as_of())
 
 
-def _both(spark: SparkSession, folder: str) -> DataFrame:
+def both_suites(spark: SparkSession, folder: str) -> DataFrame:
     return dq_suite_modules(spark, folder).unionByName(dq_suite_issues(spark, folder))
 
 
@@ -84,21 +84,21 @@ _BOTH_SQL = {
 }
 
 
-def _with_both(body: str) -> str:
+def with_both(body: str) -> str:
     return v.with_views(
         "m_dirty i_dirty", body, s1=_M_STATS, s2=_I_STATS, **_BOTH_SQL,
         log="SELECT * FROM ms UNION ALL SELECT * FROM is_",
     )
 
 
-@query(_with_both("SELECT level, status, count(*) AS checks FROM log GROUP BY ALL"))
+@query(with_both("SELECT level, status, count(*) AS checks FROM log GROUP BY ALL"))
 def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.check_summary(_both(spark, folder))
+    return quality.check_summary(both_suites(spark, folder))
 
 
-@query(_with_both("SELECT table_name, check_name, level, expected, actual, status FROM log WHERE status <> 'PASS'"))
+@query(with_both("SELECT table_name, check_name, level, expected, actual, status FROM log WHERE status <> 'PASS'"))
 def dq_exceptions(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.check_exceptions(_both(spark, folder))
+    return quality.check_exceptions(both_suites(spark, folder))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +13,11 @@ from orelake.operators import clean, quality
 from orelake.sinks import tables as sinks
 from orelake.sources import files
 from orelake.storage import new_path
+from orelake.workload import checks
 from orelake.workload import views as v
 from orelake.workload.registry import query
 
+_DAY = datetime(2001, 1, 1, tzinfo=timezone.utc)
 _ITEM_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 _FOLDER = {"kind": r"/kind=([^/]+)/[^/]+\.csv$"}
 
@@ -154,3 +158,20 @@ def save_checked(spark: SparkSession, folder: str) -> DataFrame:
     kept = sinks.save_checked(rows, f"{base}.modules", _RULES, ["_project"], ["_version"], quarantine=f"{base}.bad")
     bad = spark.table(f"{base}.bad")
     return kept.withColumn("target", F.lit("kept")).unionByName(bad.withColumn("target", F.lit("quarantined")))
+
+
+@query(
+    checks.with_both(
+        """SELECT run_id, table_name, check_name, status, actual FROM log, (VALUES ('run-1'), ('run-2')) AS r(run_id)
+           UNION ALL
+           SELECT 'run-2', 'nation', 'row_count', 'PASS', CAST(count(*) AS VARCHAR) FROM nation"""
+    )
+)
+def dq_log_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs appended to a check log and read back."""
+    name = _database(spark, "log") + ".checks"
+    suites = checks.both_suites(spark, folder)
+    extra = quality.row_count_check(v.table(spark, folder, "nation"), "nation", "row_count", 25)
+    sinks.append_table(quality.as_log(suites, "run-1", _DAY), name)
+    log = sinks.append_table(quality.as_log(suites.unionByName(extra), "run-2", _DAY), name)
+    return log.select("run_id", "table_name", "check_name", "status", "actual")

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orelake.functions.columns import flag
 from orelake.operators.clean import clean_issues, clean_modules
@@ -23,10 +24,15 @@ CODE, PROCESS = "code_repo", "ticket_hub"
 BUG_TYPE = "1-URGENT"
 
 _WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table; its schema is read from the files once per process."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def as_of() -> Column:
