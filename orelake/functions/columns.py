@@ -34,6 +34,14 @@ def rounded_avg(c: Column | str, digits: int) -> Column:
     return F.round(F.avg(col(c).cast("double")), digits)
 
 
+def pearson(x: Column | str, y: Column | str) -> Column:
+    """Correlation over rows where both are set; NULL for a constant (``corr`` raises there in ANSI mode)."""
+    x, y = col(x), col(y)
+    both = x.isNotNull() & y.isNotNull()
+    xs, ys = F.when(both, x), F.when(both, y)
+    return F.covar_pop(xs, ys) / F.nullif(F.stddev_pop(xs) * F.stddev_pop(ys), F.lit(0.0))
+
+
 def parse_timestamp(text: Column | str, pattern: str) -> Column:
     """Strict parse by pattern; text that does not match gives NULL."""
     return F.try_to_timestamp(col(text), F.lit(pattern))

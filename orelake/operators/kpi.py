@@ -59,18 +59,23 @@ def defect_by_group(
 
 
 def correlations(df: DataFrame, features: Sequence[str], count: str = "bug", flag: str = "is_buggy") -> DataFrame:
-    """Pearson correlation of every feature with two targets, in one pass."""
-    one_row = df.agg(
-        *[
-            F.struct(
-                F.lit(f).alias("feature"),
-                F.round(F.corr(f, count), 4).alias("corr_with_bug"),
-                F.round(F.corr(f, flag), 4).alias("corr_with_is_buggy"),
-            ).alias(f)
-            for f in features
-        ]
+    """Pearson correlation of every feature with two targets, in one scan.
+
+    Features become rows first: two short aggregates per row run in generated
+    code, while dozens of them side by side are too long to be compiled.
+    """
+    targets = {"_count": F.col(count).cast("double"), "_flag": F.col(flag).cast("double")}
+    wide = df.select(
+        *[e.alias(n) for n, e in targets.items()], *[F.col(f).cast("double").alias(f) for f in features]
+    )
+    return (
+        wide.unpivot(list(targets), list(features), "feature", "_x")
+        .groupBy("feature")
+        .agg(
+            F.round(c.pearson("_x", "_count"), 4).alias("corr_with_bug"),
+            F.round(c.pearson("_x", "_flag"), 4).alias("corr_with_is_buggy"),
+        )
     )
-    return one_row.select(F.inline(F.array(*[F.col(f) for f in features])))
 
 
 def top_modules(df: DataFrame, extra: Sequence[str] = (), limit: int = TOP_MODULES, keys: Sequence[str] = ("_project", "_version", "name")) -> DataFrame:
@@ -146,7 +151,15 @@ def cycle_time_by_type(df: DataFrame, group: str = "issue_type", min_rows: int =
     return (
         merge_groups([group], counts, days)
         .filter(F.col("issues") >= min_rows)
-        .withColumn("pct_resolved", c.percent("resolved", "issues", 1))
+        .select(
+            group,
+            "issues",
+            "resolved",
+            c.percent("resolved", "issues", 1).alias("pct_resolved"),
+            "avg_cycle_days",
+            "median_cycle_days",
+            "p90_cycle_days",
+        )
         .orderBy(F.desc("issues"), group)
     )
 

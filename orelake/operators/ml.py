@@ -91,7 +91,7 @@ def fit_features(train: DataFrame, features: Sequence[str]) -> PipelineModel:
 
 
 def _best_model(
-    candidate: Candidate, prepared: DataFrame, parallelism: int
+    candidate: Candidate, prepared: DataFrame, folds: int, parallelism: int
 ) -> tuple[Model, dict[str, Any]]:
     """Cross-validated choice; a setting that fails is left out."""
     estimator = candidate.estimator
@@ -106,7 +106,7 @@ def _best_model(
             estimatorParamMaps=some,
             # numBins=0: the curve has a point per distinct score.
             evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
-            numFolds=prepared.agg(F.max("fold")).first()[0] + 1,
+            numFolds=folds,
             foldCol="fold",
             parallelism=parallelism,
         ).fit(prepared)
@@ -131,7 +131,7 @@ def _best_model(
     return model, dict(settings[-place])
 
 
-def score_rows(model: PipelineModel, df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def score_rows(model: Model, df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Apply a fitted or loaded pipeline: keys, prediction, probability of class 1 and the label if present."""
     label = ["label"] if "label" in df.columns else []
     return model.transform(df).select(
@@ -168,7 +168,7 @@ def train_candidates(
         for candidate in candidates:
             started = time.time()
             try:
-                model, setting = _best_model(candidate, prepared, parallelism)
+                model, setting = _best_model(candidate, prepared, folds, parallelism)
             except Exception as error:  # noqa: BLE001
                 warnings.warn(f"left out {candidate.name}: {error}", stacklevel=2)
                 continue
@@ -176,21 +176,33 @@ def train_candidates(
             one = Trained(candidate.name, whole, setting, time.time() - started)
             # Written once; scores, confusion cells and predictions all read it.
             one.scored_test = write_out(score_rows(whole, test, keys), "scored")
-            scored_train = model.transform(prepared).select("label", vector_to_array("probability")[1].alias("prob"))
-            # One row of figures per model comes back.
-            one.scores = {
-                "auc_train": auc(scored_train).first()["auc"],
-                "auc_test": auc(one.scored_test).first()["auc"],
-                **weighted_scores(one.scored_test).first().asDict(),
-            }
             trained.append(one)
+        if not trained:
+            raise RuntimeError("no candidate could be trained")
+        _add_scores(trained, prepared)
     finally:
         prepared.unpersist()
-    if not trained:
-        raise RuntimeError("no candidate could be trained")
     return trained
 
 
+def _add_scores(trained: Sequence[Trained], prepared: DataFrame) -> None:
+    """Figures of all models on both parts from one ranked pass; two rows per model come back."""
+    by = ["model_name", "part"]
+    rows = None
+    for one in trained:
+        parts = {"train": score_rows(one.model.stages[-1], prepared), "test": one.scored_test}
+        for part, scored in parts.items():
+            tagged = scored.select(
+                F.lit(one.name).alias("model_name"), F.lit(part).alias("part"), "label", "prediction", "prob"
+            )
+            rows = tagged if rows is None else rows.unionByName(tagged)
+    figures = {(r.model_name, r.part): r for r in merge_groups(by, auc(rows, by), weighted_scores(rows, by)).collect()}
+    for one in trained:
+        test = figures[one.name, "test"].asDict()
+        one.scores = {k: test[k] for k in ("f1", "accuracy", "precision", "recall")}
+        one.scores.update(auc_train=figures[one.name, "train"].auc, auc_test=test["auc"])
+
+
 def champion_of(trained: Sequence[Trained]) -> Trained:
     """Highest test AUC; the first candidate wins ties."""
     return max(trained, key=lambda t: t.scores["auc_test"])

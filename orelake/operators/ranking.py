@@ -10,6 +10,7 @@ shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -96,12 +97,16 @@ def _value_at(rank: Column, value: str) -> Column:
 
 
 def discrete_quantiles(ranked: DataFrame, by: Sequence[str], value: str, points: Mapping[str, float]) -> DataFrame:
-    """Smallest value whose share of rows reaches each point."""
+    """Smallest value whose share of rows reaches each point.
+
+    The rank is computed in decimals: 0.1 of 30 rows is rank 3, not 4.
+    """
     total = F.col("upto_total")
-    exprs = [
-        _value_at(F.greatest(F.ceil(total * F.lit(p)), F.lit(1)), value).alias(name) for name, p in points.items()
-    ]
-    return ranked.groupBy(*by).agg(*exprs)
+
+    def rank(p: float) -> Column:
+        return F.greatest(F.ceil(total * F.lit(Decimal(str(p)))).cast("long"), F.lit(1))
+
+    return ranked.groupBy(*by).agg(*[_value_at(rank(p), value).alias(name) for name, p in points.items()])
 
 
 def interpolated_quantiles(ranked: DataFrame, by: Sequence[str], value: str, points: Mapping[str, float]) -> DataFrame:

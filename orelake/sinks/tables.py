@@ -101,7 +101,8 @@ def append_table(df: DataFrame, table: str, comment: str | None = None) -> DataF
             for f in target.fields
         ]
     )
-    aligned.write.insertInto(table)
+    partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    lay_out(aligned, partition_by).write.insertInto(table)
     if comment:
         set_comment(spark, table, comment)
     return spark.table(table)

@@ -139,12 +139,11 @@ def dropna_subset(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """SELECT 'customer:' || c_custkey AS id, 'customers' AS source,
               upper(left(n_name, 1)) || lower(substr(n_name, 2)) AS name
-       FROM customer JOIN (SELECT * FROM nation WHERE n_name NOT LIKE '% %') ON c_nationkey = n_nationkey"""
+       FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 )
 def build_labels(spark: SparkSession, folder: str) -> DataFrame:
     customers, nations = v.table(spark, folder, "customer"), v.table(spark, folder, "nation")
-    one_word = nations.filter(~F.col("n_name").like("% %"))
-    return customers.join(one_word, customers.c_nationkey == one_word.n_nationkey).select(
+    return customers.join(nations, customers.c_nationkey == nations.n_nationkey).select(
         c.prefixed("customer:", F.col("c_custkey").cast("string")).alias("id"),
         F.lit("customers").alias("source"),
         F.initcap("n_name").alias("name"),

@@ -128,16 +128,16 @@ def save_partitioned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT {_ORDER_COLUMNS}, NULL AS o_orderstatus FROM orders WHERE o_orderkey % 2 = 0
-        UNION ALL SELECT {_ORDER_COLUMNS}, o_orderstatus FROM orders WHERE o_orderkey % 2 = 1
+    f"""SELECT {_ORDER_COLUMNS}, NULL AS o_orderstatus FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL SELECT {_ORDER_COLUMNS}, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'
         UNION ALL SELECT o_orderkey, NULL, o_totalprice, NULL, o_orderstatus FROM orders"""
 )
 def append_new_columns(spark: SparkSession, folder: str) -> DataFrame:
     """Appends that bring a new column and leave out known ones."""
     name = _database(spark, "append") + ".orders"
     orders = v.table(spark, folder, "orders").drop("o_orderdate")
-    sinks.append_table(orders.filter("o_orderkey % 2 = 0").drop("o_orderstatus"), name)
-    sinks.append_table(orders.filter("o_orderkey % 2 = 1"), name)
+    sinks.append_table(orders.filter("o_orderstatus = 'F'").drop("o_orderstatus"), name)
+    sinks.append_table(orders.filter("o_orderstatus <> 'F'"), name)
     return sinks.append_table(orders.select("o_orderstatus", "o_totalprice", "o_orderkey"), name)
 
 

@@ -21,13 +21,13 @@ _FEATURES = [f for f in v.FEATURES if f != "l_quantity"]
 def _train(spark: SparkSession, folder: str, candidates: Sequence[ml.Candidate], folds: int = 3) -> list[ml.Trained]:
     rows = ml.training_set(v.silver_modules(spark, folder), "is_buggy", _FEATURES, v.MODULE_KEYS)
     train, test = sampling.split(rows, v.MODULE_KEYS, "label")
-    return ml.train_candidates(train, test, _FEATURES, v.MODULE_KEYS, candidates, folds=folds, parallelism=2)
+    return ml.train_candidates(train, test, _FEATURES, v.MODULE_KEYS, candidates, folds=folds, parallelism=4)
 
 
 def _small() -> list[ml.Candidate]:
     """One setting each, so that nothing but the final fits runs."""
     return [
-        ml.logistic([{"regParam": 0.0, "maxIter": 50}]),
+        ml.logistic([{"regParam": 0.0, "maxIter": 25}]),
         ml.random_forest([{"numTrees": 10, "maxDepth": 5}]),
         ml.boosting([{"maxIter": 5, "maxDepth": 3, "stepSize": 0.1}]),
     ]
@@ -40,7 +40,7 @@ def _scores(spark: SparkSession, folder: str, candidates: Sequence[ml.Candidate]
 
 @query()
 def ml_logistic(spark: SparkSession, folder: str) -> DataFrame:
-    grid = [{"regParam": 0.0, "maxIter": 50}, {"regParam": 0.01, "maxIter": 50}]
+    grid = [{"regParam": 0.0, "maxIter": 25}, {"regParam": 0.01, "maxIter": 25}]
     return _scores(spark, folder, [ml.logistic(grid)])
 
 

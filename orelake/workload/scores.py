@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orelake.functions.columns import pearson
 from orelake.operators import evaluate, ml
 from orelake.workload import views as v
 from orelake.workload.registry import half_up, query
@@ -135,6 +136,6 @@ def rank_features(spark: SparkSession, folder: str) -> DataFrame:
     """Features ranked by the strength of their correlation with the flag."""
     modules = v.silver_modules(spark, folder)
     one_row = modules.agg(
-        *[F.struct(F.lit(f).alias("feature"), F.round(F.abs(F.corr(f, "is_buggy")), 6).alias("importance")).alias(f) for f in v.FEATURES]
+        *[F.struct(F.lit(f).alias("feature"), F.round(F.abs(pearson(f, "is_buggy")), 6).alias("importance")).alias(f) for f in v.FEATURES]
     )
     return evaluate.rank_features(one_row.select(F.inline(F.array(*v.FEATURES))))

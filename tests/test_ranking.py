@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -68,10 +69,20 @@ def test_quantiles(frame, sorted_values, p):
     disc = {r.g: r.q for r in ranking.discrete_quantiles(ranked, ["g"], "x", {"q": p}).collect()}
     cont = {r.g: r.q for r in ranking.interpolated_quantiles(ranked, ["g"], "x", {"q": p}).collect()}
     for g, xs in sorted_values.items():
-        assert disc[g] == xs[max(1, math.ceil(p * len(xs))) - 1]
+        assert disc[g] == xs[max(1, math.ceil(Fraction(str(p)) * len(xs))) - 1]
         assert cont[g] == pytest.approx(np.percentile(xs, 100 * p))
 
 
+@pytest.mark.parametrize("p", [0.1, 0.7, 0.9, 0.95, 0.99])
+def test_quantile_rank_is_exact(spark, p):
+    """Values 1..n per group of n rows: the quantile is the smallest whole number >= p * n."""
+    n_groups = 300
+    rows = spark.range(1, n_groups + 1).select(F.col("id").alias("g"), F.explode(F.sequence(F.lit(1), "id")).alias("x"))
+    ranked = ranking.ranked_values(rows, ["g"], "x", bounded=True)
+    got = {r.g: r.q for r in ranking.discrete_quantiles(ranked, ["g"], "x", {"q": p}).collect()}
+    assert got == {n: math.ceil(Fraction(str(p)) * n) for n in range(1, n_groups + 1)}
+
+
 def _tiles(n, tiles):
     small, larger = divmod(n, tiles)
     return [t for t in range(1, tiles + 1) for _ in range(small + (t <= larger))]
