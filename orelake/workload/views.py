@@ -16,14 +16,14 @@ from pyspark.sql.types import StructType
 from orelake.functions.columns import flag
 from orelake.operators.clean import clean_issues, clean_modules
 from orelake.operators.dimension import project_dimension
-from orelake.storage import write_out
+from orelake.storage import new_path
 
 FEATURES = ["l_quantity", "l_discount", "l_tax", "l_extendedprice", "p_size", "p_retailprice"]
 MODULE_KEYS = ["name", "_project", "_version"]
 CODE, PROCESS = "code_repo", "ticket_hub"
 BUG_TYPE = "1-URGENT"
 
-_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+_WRITTEN: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 _SCHEMAS: dict[str, StructType] = {}
 
 
@@ -110,8 +110,12 @@ def dirty_issues(spark: SparkSession, folder: str) -> DataFrame:
 def _written(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _WRITTEN:
-        _WRITTEN[key] = write_out(build(), name)
-    return _WRITTEN[key]
+        rows = build()
+        path = new_path(spark, name)
+        rows.write.parquet(path)
+        _WRITTEN[key] = (path, rows.schema)
+    path, schema = _WRITTEN[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def silver_modules(spark: SparkSession, folder: str) -> DataFrame:
