@@ -12,6 +12,7 @@ import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 from typing import Any
 
 from pyspark import StorageLevel
@@ -186,21 +187,21 @@ def train_candidates(
 
 
 def _add_scores(trained: Sequence[Trained], prepared: DataFrame) -> None:
-    """Figures of all models on both parts from one ranked pass; two rows per model come back."""
-    by = ["model_name", "part"]
-    rows = None
-    for one in trained:
-        parts = {"train": score_rows(one.model.stages[-1], prepared), "test": one.scored_test}
-        for part, scored in parts.items():
-            tagged = scored.select(
-                F.lit(one.name).alias("model_name"), F.lit(part).alias("part"), "label", "prediction", "prob"
-            )
-            rows = tagged if rows is None else rows.unionByName(tagged)
-    figures = {(r.model_name, r.part): r for r in merge_groups(by, auc(rows, by), weighted_scores(rows, by)).collect()}
+    """Figures of all models from one ranked pass and one pass over the test rows; three rows per model come back."""
+
+    def tagged(name: str, part: str, scored: DataFrame) -> DataFrame:
+        return scored.select(
+            F.lit(name).alias("model_name"), F.lit(part).alias("part"), "label", "prediction", "prob"
+        )
+
+    test = reduce(DataFrame.unionByName, [tagged(t.name, "test", t.scored_test) for t in trained])
+    train = [tagged(t.name, "train", score_rows(t.model.stages[-1], prepared)) for t in trained]
+    areas = auc(reduce(DataFrame.unionByName, train, test), ["model_name", "part"]).collect()
+    area = {(r.model_name, r.part): r.auc for r in areas}
+    figures = {r.model_name: r.asDict() for r in weighted_scores(test, ["model_name"]).collect()}
     for one in trained:
-        test = figures[one.name, "test"].asDict()
-        one.scores = {k: test[k] for k in ("f1", "accuracy", "precision", "recall")}
-        one.scores.update(auc_train=figures[one.name, "train"].auc, auc_test=test["auc"])
+        one.scores = {k: figures[one.name][k] for k in ("f1", "accuracy", "precision", "recall")}
+        one.scores.update(auc_train=area[one.name, "train"], auc_test=area[one.name, "test"])
 
 
 def champion_of(trained: Sequence[Trained]) -> Trained:
