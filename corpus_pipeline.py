@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orelake.llm import quality_rules
+from orelake.llm import exact_dedup, quality_rules
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,8 +12,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs)
 
 
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts one document stays."""
+    return exact_dedup.keep(docs)
+
+
 STAGES = [
     ("quality_rules", quality),
+    ("exact_dedup", exact),
 ]
 
 # Minhash groups and sampled segmentations have no SQL form; tests compare with brute force.

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orelake.llm import quality_rules
+from orelake.llm import exact_dedup, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,3 +65,16 @@ SELECT *, (failed_bits & 3) <> 0 AS base_failed, 'v2' AS policy, (failed_bits &
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Measurements, failure bits and verdict of the default policy for every document."""
     return quality_rules.apply_policy(quality_rules.ledger(table(spark, folder, "documents")))
+
+
+@query(
+    r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS x FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY x) AS kept, sha256(x) AS text_sha256
+FROM t
+"""
+)
+def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the one of equal text that stays."""
+    return exact_dedup.groups(table(spark, folder, "documents"))
