@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orelake.llm import exact_dedup, quality_rules
+from orelake.llm import exact_dedup, near_dedup, quality_rules
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,9 +17,15 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-copies one document stays."""
+    return near_dedup.keep(docs)
+
+
 STAGES = [
     ("quality_rules", quality),
     ("exact_dedup", exact),
+    ("minhash_near_dedup", near),
 ]
 
 # Minhash groups and sampled segmentations have no SQL form; tests compare with brute force.

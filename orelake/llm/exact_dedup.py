@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orelake.llm import rows as _rows
 from orelake.storage import write_out
 
 # Bytes of text in a block of the first level; later levels name pairs.
@@ -155,17 +156,9 @@ def groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 def keep(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """Rows of ``docs`` that stay, all columns unchanged.
 
-    Rows with both id and text in common are cut to one in each map task, before
-    the one shuffle that the join needs.
+    Texts are found again by id and digest; rows with both in common are cut to
+    one in each map task, before the one shuffle that the join needs.
     """
-    kept = groups(docs, block).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    names = docs.columns
-    keyed = docs.select(
-        F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"),
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_key"),
-        F.sha2(plain(F.col("text")), 256).alias("_sha"),
-    )
-    one = F.expr("row_number() over (partition by _key, _sha order by _key)")
-    once = keyed.withColumn("_rank", one).filter("_rank = 1")
-    stay = kept.select(F.coalesce(F.col("_id").cast("string"), F.lit("")).alias("_key"), "_sha")
-    return once.join(stay, ["_key", "_sha"], "left_semi").select(*[F.col("_row").getField(n).alias(n) for n in names])
+    kept = groups(docs, block).filter("kept")
+    stay = kept.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_key"), F.col("text_sha256").alias("_mark"))
+    return _rows.keep(docs, stay, F.sha2(plain(F.col("text")), 256))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orelake.llm import exact_dedup, quality_rules
+from orelake.llm import exact_dedup, near_dedup, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,3 +78,9 @@ FROM t
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the one of equal text that stays."""
     return exact_dedup.groups(table(spark, folder, "documents"))
+
+
+@query()
+def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the class of near-copies it is in."""
+    return near_dedup.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
