@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orelake.llm import exact_dedup, near_dedup, quality_rules
+from orelake.llm import exact_dedup, mixing, near_dedup, quality_rules
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,10 +22,16 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_dedup.keep(docs)
 
 
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the target weights of their domains ask for."""
+    return mixing.mix(docs, mixing.label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 STAGES = [
     ("quality_rules", quality),
     ("exact_dedup", exact),
     ("minhash_near_dedup", near),
+    ("mixing", mixed),
 ]
 
 # Minhash groups and sampled segmentations have no SQL form; tests compare with brute force.

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orelake.llm import exact_dedup, near_dedup, quality_rules
+from orelake.llm import exact_dedup, mixing, near_dedup, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,3 +84,10 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the class of near-copies it is in."""
     return near_dedup.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
+
+
+@query()
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Domain posteriors, fitted rate and number of copies of every document."""
+    labelled = mixing.label_domains(table(spark, folder, "labels"))
+    return mixing.rates(table(spark, folder, "documents"), labelled)
