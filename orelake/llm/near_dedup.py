@@ -160,7 +160,8 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) ->
     while not state.isEmpty():
         rank = F.expr("row_number() over (partition by bucket order by node)")
         chosen = state.filter("open").withColumn("_rank", rank).filter(F.col("_rank") <= pivots)
-        chosen = chosen.select("bucket", F.col("node").alias("pivot"))
+        # Written, so that both sides of the join are plain shuffles, which Spark splits where a bucket is hot.
+        chosen = write_out(chosen.select("bucket", F.col("node").alias("pivot")), "pivots")
         met = state.join(chosen, "bucket").filter("node <> pivot").select(
             "bucket", "node", "open", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
         )
@@ -181,6 +182,7 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) ->
             F.sum(F.col("open").cast("long")).alias("n_open"),
         )
         go_on = per.filter("any_open AND (near AND n > 1 OR n_open > 1)").select("bucket", "near")
+        go_on = write_out(go_on, "going")
         state = write_out(best.join(go_on, "bucket").filter("open OR near").select("bucket", "node", "open"), "buckets")
         pivots *= GROWTH
     return found
@@ -218,8 +220,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     small = nodes.select("node", "first", "n")
     if found is not None:
         label = components(found)
-        grouped = small.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        per = grouped.groupBy("label").agg(F.min("first").alias("stay"), F.sum("n").alias("class_size"))
+        grouped = write_out(small.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+        per = write_out(grouped.groupBy("label").agg(F.min("first").alias("stay"), F.sum("n").alias("class_size")), "classes")
         small = grouped.join(per, "label").select("node", "stay", "class_size")
     else:
         small = small.select("node", F.col("first").alias("stay"), F.col("n").alias("class_size"))
