@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orelake.llm import exact_dedup, mixing, near_dedup, quality_rules
+from orelake.llm import exact_dedup, mixing, near_dedup, piece_sampling, quality_rules
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,11 +27,17 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, mixing.label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every text; they decode to it."""
+    return piece_sampling.encode(docs)
+
+
 STAGES = [
     ("quality_rules", quality),
     ("exact_dedup", exact),
     ("minhash_near_dedup", near),
     ("mixing", mixed),
+    ("sentencepiece", pieces),
 ]
 
 # Minhash groups and sampled segmentations have no SQL form; tests compare with brute force.

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orelake.llm import exact_dedup, mixing, near_dedup, quality_rules
+from orelake.llm import exact_dedup, mixing, near_dedup, piece_sampling, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,3 +92,13 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Domain posteriors, fitted rate and number of copies of every document."""
     labelled = mixing.label_domains(table(spark, folder, "labels"))
     return mixing.rates(table(spark, folder, "documents"), labelled)
+
+
+@query()
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Sampled pieces of every document, and whether they decode to its text."""
+    encoded = piece_sampling.encode(table(spark, folder, "documents").select("doc_id", "text"))
+    return piece_sampling.decode(encoded).select(
+        "doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
