@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelake.llm import exact_dedup, mixing, near_dedup, piece_sampling, quality_rules
+from orelake.llm import exact_dedup, mixing, near_dedup, page_text, personal_data, piece_sampling, quality_rules, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,3 +102,42 @@ def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces",
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
     )
+
+
+@query()
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: base counts and digest, and all spans."""
+    return personal_data.digest(personal_data.find(table(spark, folder, "documents")))
+
+
+@query()
+def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page and its length."""
+    return page_text.extract(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query(
+    r"""
+WITH s AS (
+  SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM s),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM p)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+    WHEN regexp_matches(host, '(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|$)') THEN 'block' ELSE 'allow' END AS verdict
+FROM r
+"""
+)
+def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    return url_filters.judge(table(spark, folder, "pages"))
