@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelake.llm import exact_dedup, mixing, near_dedup, page_text, personal_data, piece_sampling, quality_rules, url_filters
+from orelake.llm import (
+    exact_dedup,
+    kneser_ney,
+    mixing,
+    near_dedup,
+    page_text,
+    personal_data,
+    piece_sampling,
+    quality_rules,
+    toxicity,
+    url_filters,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -141,3 +152,16 @@ FROM r
 def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on the url of every page."""
     return url_filters.judge(table(spark, folder, "pages"))
+
+
+@query()
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Perplexity of every document under a model of trusted text, and its place among its language's quantiles."""
+    trusted = kneser_ney.trusted_ids(table(spark, folder, "labels"))
+    return kneser_ney.judge(table(spark, folder, "documents"), trusted)
+
+
+@query()
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
