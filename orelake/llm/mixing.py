@@ -33,6 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orelake.llm.rows import settled
 from orelake.storage import write_out
 
 DOMAINS = ("clean", "poor", "toxic")
@@ -44,7 +45,7 @@ TRAIN_ROWS = 6000
 STRINGS = 24
 RIDGE = 1e-3
 ITERATIONS = 30
-TOLERANCE = 1e-6
+TOLERANCE = 1e-4
 SEED = 42
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -194,6 +195,6 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: Sequence[float] = TARGETS
     model = train(docs, labelled)
     packed = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row"), "doc_id", "text")
     r = rate(fit(write_out(posteriors(docs, model), "mix-member"), targets, size))
-    times = posteriors(packed, model, "_row", "doc_id").select("_row", copies(r).alias("copies")).filter("copies > 0")
+    times = settled(posteriors(packed, model, "_row", "doc_id").select("_row", copies(r).alias("copies")), "copies").filter("copies > 0")
     each = times.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return each.select(*[F.col("_row").getField(n).alias(n) for n in docs.columns])

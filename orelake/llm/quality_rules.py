@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orelake.llm.rows import settled
+
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]+"
 # Windows of this many words count as repeated when found twice or more.
@@ -150,5 +152,5 @@ def keep(docs: DataFrame, version: str = DEFAULT_POLICY) -> DataFrame:
     """
     names = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("doc_id"), F.col("text"))
-    kept = apply_policy(ledger(packed), version).filter("kept")
+    kept = settled(apply_policy(ledger(packed), version).select("doc_id", "kept"), "kept").filter("kept")
     return kept.select(*[F.col("doc_id").getField(n).alias(n) for n in names])

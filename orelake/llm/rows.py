@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 KEY = ("_key", "_mark")
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a column that filters above it do not reach through.
+
+    Spark moves a filter below the projections that compute its column, and would
+    write their expressions out once per use, also within lambda functions.
+    """
+    others = [F.col(f"`{n}`") for n in df.columns if n != name]
+    return df.select(*others, F.explode_outer(F.array(F.col(name))).alias(name))
+
+
 def keyed(docs: DataFrame, mark: Column | None = None) -> DataFrame:
     """Each row packed in ``_row`` beside what tells rows apart: id and a hash of the text (or ``mark``)."""
     return docs.select(
