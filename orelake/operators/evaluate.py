@@ -103,13 +103,20 @@ def auc(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def roc_points(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One point per distinct score, highest first, without the point (0, 0)."""
-    return _ranked_scores(scored, by, F.col("prob").desc()).select(
+    """The start (0, 0), where ``prob`` is infinite, and one point per distinct score.
+
+    A group without rows has no start.
+    """
+    points = _ranked_scores(scored, by, F.col("prob").desc()).select(
         *by,
         "prob",
         _guarded(F.col("neg_upto"), F.col("neg_upto_total")).alias("fpr"),
         _guarded(F.col("pos_upto"), F.col("pos_upto_total")).alias("tpr"),
     )
+    start = scored.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 0").select(
+        *by, F.lit(float("inf")).alias("prob"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
+    )
+    return start.unionByName(points)
 
 
 def roc_area(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:

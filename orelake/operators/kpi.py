@@ -17,6 +17,11 @@ def _day_quantiles(df: DataFrame, by: Sequence[str], days: str, points: dict[str
     return discrete_quantiles(ranked_values(df, by, days, bounded=True), by, days, points)
 
 
+def _near_quantiles(value: str, points: dict[str, float], accuracy: int | None) -> list[Column]:
+    """Quantiles in the pass of the other aggregates, right to 1 / ``accuracy`` of the rows; none without it."""
+    return [F.percentile_approx(value, p, accuracy).alias(n) for n, p in points.items()] if accuracy else []
+
+
 def defect_by_group(
     df: DataFrame,
     group: str = "_project",
@@ -111,21 +116,21 @@ def density_quintiles(df: DataFrame, group: str = "_project", density: str = "bu
     ).orderBy("project", "quintile")
 
 
-def throughput_yearly(df: DataFrame, years: tuple[int, int] = YEAR_RANGE) -> DataFrame:
-    """Created and resolved tickets, days to resolve and active systems per year."""
+def throughput_yearly(df: DataFrame, years: tuple[int, int] = YEAR_RANGE, accuracy: int | None = None) -> DataFrame:
+    """Created and resolved tickets, days to resolve and active systems per year; ``accuracy`` as above."""
     inside = df.filter(F.col("year_created").between(*years))
+    points = {"median_cycle_days": 0.5, "p95_cycle_days": 0.95}
     counts = inside.groupBy("year_created").agg(
+        *_near_quantiles("cycle_time_days", points, accuracy),
         F.count(F.lit(1)).alias("issues_created"),
         F.sum("is_resolved").alias("issues_resolved"),
         c.rounded_avg("cycle_time_days", 1).alias("avg_cycle_days"),
         F.count_distinct("project_key").alias("active_systems"),
     )
-    days = _day_quantiles(
-        inside, ["year_created"], "cycle_time_days", {"median_cycle_days": 0.5, "p95_cycle_days": 0.95}
-    )
+    if not accuracy:
+        counts = merge_groups(["year_created"], counts, _day_quantiles(inside, ["year_created"], "cycle_time_days", points))
     return (
-        merge_groups(["year_created"], counts, days)
-        .select(
+        counts.select(
             F.col("year_created").alias("year"),
             "issues_created",
             "issues_resolved",
@@ -139,18 +144,22 @@ def throughput_yearly(df: DataFrame, years: tuple[int, int] = YEAR_RANGE) -> Dat
     )
 
 
-def cycle_time_by_type(df: DataFrame, group: str = "issue_type", min_rows: int = MIN_GROUP) -> DataFrame:
-    """Days to resolve per group of resolved tickets; small groups are left out."""
+def cycle_time_by_type(
+    df: DataFrame, group: str = "issue_type", min_rows: int = MIN_GROUP, accuracy: int | None = None
+) -> DataFrame:
+    """Days to resolve per group of resolved tickets; small groups are left out; ``accuracy`` as above."""
     resolved = df.filter(F.col("is_resolved") == 1)
+    points = {"median_cycle_days": 0.5, "p90_cycle_days": 0.9}
     counts = resolved.groupBy(group).agg(
+        *_near_quantiles("cycle_time_days", points, accuracy),
         F.count(F.lit(1)).alias("issues"),
         F.sum("is_resolved").alias("resolved"),
         c.rounded_avg("cycle_time_days", 1).alias("avg_cycle_days"),
     )
-    days = _day_quantiles(resolved, [group], "cycle_time_days", {"median_cycle_days": 0.5, "p90_cycle_days": 0.9})
+    if not accuracy:
+        counts = merge_groups([group], counts, _day_quantiles(resolved, [group], "cycle_time_days", points))
     return (
-        merge_groups([group], counts, days)
-        .filter(F.col("issues") >= min_rows)
+        counts.filter(F.col("issues") >= min_rows)
         .select(
             group,
             "issues",

@@ -31,7 +31,7 @@ from orelake.constants import FOLDS, SEED
 from orelake.operators.clean import complete_rows
 from orelake.operators.evaluate import auc, confusion_cells, pick_champion, rank_features, weighted_scores
 from orelake.operators.ranking import merge_groups
-from orelake.operators.sampling import hashed_folds
+from orelake.operators.sampling import balanced_folds
 from orelake.schemas import CONFUSION, IMPORTANCE, MODEL_SCORES, PREDICTIONS
 from orelake.storage import write_out
 
@@ -159,8 +159,9 @@ def train_candidates(
     """
     steps = fit_features(train, features)
     # Another seed than the split, so that folds do not follow its buckets.
+    folded = balanced_folds(train, keys, "label", folds, seed + 1)
     prepared = (
-        hashed_folds(steps.transform(train), keys, folds, seed + 1)
+        steps.transform(folded)
         .select("label", "features", "fold")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
@@ -277,7 +278,7 @@ def importance_table(spark: SparkSession, champion: Trained, features: Sequence[
 
 def save_champion(spark: SparkSession, champion: Trained, features: Sequence[str], folder: str, run_id: str, run_ts: datetime) -> str:
     """Save the whole pipeline (scaler included) and a JSON run record; returns the folder."""
-    target = f"{folder.rstrip('/')}/champion_{run_ts:%Y%m%d_%H%M%S}"
+    target = f"{folder.rstrip('/')}/champion_{run_ts:%Y%m%d_%H%M%S}_{run_id}"
     champion.model.write().overwrite().save(f"{target}/model")
     record = {
         "run_id": run_id,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,13 +81,29 @@ def _note(table: str, name: str, expected: Column, actual: Column, details: str
     return _check(table, name, "info", expected, actual, F.lit("PASS"), F.lit(details))
 
 
-def row_count_check(df: DataFrame, table: str, name: str, expected: int, level: str = "info") -> DataFrame:
+def row_count_check(df: DataFrame, table: str, name: str, expected: int | Column, level: str = "info") -> DataFrame:
     """PASS on the expected count, else FAIL for a critical check and WARN for others."""
-    counted = df.agg(F.count(F.lit(1)).alias("n"))
-    check = _check(table, name, level, F.lit(str(expected)), F.col("n"), status(F.col("n") == expected, level), F.lit(""))
+    wanted = expected if isinstance(expected, Column) else F.lit(expected)
+    counted = df.agg(F.count(F.lit(1)).alias("n")).select("n", wanted.cast("long").alias("wanted"))
+    same = status(F.col("n") == F.col("wanted"), level)
+    check = _check(table, name, level, F.col("wanted"), F.col("n"), same, F.lit(""))
     return counted.select(F.inline(F.array(check)))
 
 
+def left_out_checks(checked: DataFrame, table: str) -> DataFrame:
+    """One warning per landed file that does not conform; none when all do."""
+    columns = F.concat(F.col("n_columns").cast("string"), F.lit(" columns, "), F.col("data_rows").cast("string"), F.lit(" rows"))
+    check = _check(table, "file_left_out", "warning", F.lit("expected header and rows"), columns, F.lit("WARN"), F.col("_source_file"))
+    return checked.filter("NOT conforms").select(F.inline(F.array(check)))
+
+
+def constraint_checks(df: DataFrame, constraints: Sequence[tuple[str, str]], table: str) -> DataFrame:
+    """One failed critical check per constraint that some rows break; none when all hold."""
+    broken = constraint_violations(df, constraints).filter("violations > 0")
+    check = _check(table, "constraint", "critical", F.lit("0"), F.col("violations"), F.lit("FAIL"), F.col("constraint_name"))
+    return broken.select(F.inline(F.array(check)))
+
+
 def _before_after(raw: DataFrame, rules: Sequence[Rule], clean: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row with raw counts, clean rows and duplicate keys of the clean table."""
     # The clean table is grouped by its key anyway, which also gives its rows.
@@ -204,17 +221,13 @@ def raise_on_failure(checks: DataFrame) -> None:
 
 
 def retention(pairs: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
-    """Rows before and after a layer per table, with the share kept."""
-    tagged = None
+    """Rows before and after a layer per table, with the share kept; empty tables count 0."""
+    lines = []
     for name, before, after in pairs:
-        for rows, is_after in ((before, 0), (after, 1)):
-            part = rows.select(F.lit(name).alias("source"), F.lit(is_after).alias("_after"))
-            tagged = part if tagged is None else tagged.unionByName(part)
-    return (
-        tagged.groupBy("source")
-        .agg(F.count_if(F.col("_after") == 0).alias("bronze_rows"), F.count_if(F.col("_after") == 1).alias("silver_rows"))
-        .withColumn("retention_pct", c.percent("silver_rows", "bronze_rows", 2))
-    )
+        counted = before.agg(F.count(F.lit(1)).alias("bronze_rows"))
+        kept = after.agg(F.count(F.lit(1)).alias("silver_rows")).scalar()
+        lines.append(counted.select(F.lit(name).alias("source"), "bronze_rows", kept.alias("silver_rows")))
+    return reduce(DataFrame.unionByName, lines).withColumn("retention_pct", c.percent("silver_rows", "bronze_rows", 2))
 
 
 def reconcile(file_rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,7 +11,8 @@ from orelake.constants import FOLDS, SEED, TRAIN_SHARE
 from orelake.functions.columns import hash_number
 from orelake.operators.ranking import row_numbers
 
-_STEPS = 1000
+# Hash numbers are below this.
+_HASHES = 2**32
 
 
 def mark_train(
@@ -28,12 +29,12 @@ def mark_train(
     the same key fall on the same side, and no shuffle is needed.
     """
     if isinstance(shares, Mapping):
-        limit = F.lit(0)
+        limit = F.lit(0).cast("long")
         for value, share in shares.items():
-            limit = F.when(F.col(label) == value, F.lit(round(share * _STEPS))).otherwise(limit)
+            limit = F.when(F.col(label) == value, F.lit(round(share * _HASHES))).otherwise(limit)
     else:
-        limit = F.lit(round(shares * _STEPS))
-    return df.withColumn(name, hash_number(seed, *keys) % _STEPS < limit)
+        limit = F.lit(round(shares * _HASHES))
+    return df.withColumn(name, hash_number(seed, *keys) < limit)
 
 
 def split(df: DataFrame, keys: Sequence[str], label: str, shares: Mapping[int, float] | float = TRAIN_SHARE, seed: int = SEED) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orelake.constants import TICKET_COLUMNS, TICKET_DATE_FORMAT, VERSION_PATTERN
 from orelake.functions.columns import letter_bucket
@@ -13,20 +16,53 @@ from orelake.sinks.tables import save_table
 from orelake.sources import files
 
 
+def checked_files(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """Header check of every landed file per bronze table; files left out by name are not checked."""
+    return {
+        CODE_RAW: files.exclude_files(
+            files.check_headers(spark, lake.code_files(), len(CODE_METRICS)), lake.excluded_files
+        ),
+        TICKETS_RAW: files.exclude_files(
+            files.check_headers(spark, lake.ticket_files(), len(TICKET_COLUMNS)), lake.excluded_files
+        ),
+    }
+
+
+def file_checks(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Check rows of the landing: one row count per bronze table, and one row per file that was left out.
+
+    A table must hold as many rows as ``lake.expected_rows`` says, else as many
+    as its conforming files have lines.
+    """
+    rows = None
+    for table, checked in checked_files(spark, lake).items():
+        expected = dict(lake.expected_rows).get(table)
+        lines = checked.filter("conforms").agg(F.coalesce(F.sum("data_rows"), F.lit(0)).alias("n")).scalar()
+        counted = quality.row_count_check(
+            spark.table(f"{lake.bronze}.{table}"), table, f"bronze_row_count_{table}",
+            lines if expected is None else expected, "critical",
+        )
+        both = counted.unionByName(quality.left_out_checks(checked, table))
+        rows = both if rows is None else rows.unionByName(both)
+    return rows
+
+
 def landed_code(spark: SparkSession, lake: Lake) -> DataFrame:
-    rows = files.exclude_files(files.read_typed_csv(spark, lake.code_files(), CODE_METRICS), lake.excluded_files)
+    rows = files.read_typed_csv(spark, lake.code_files(), CODE_METRICS)
+    rows = files.keep_conforming(files.exclude_files(rows, lake.excluded_files), checked_files(spark, lake)[CODE_RAW])
     return files.with_path_columns(
-        clean.with_ingestion_time(rows), {"_project": rf"/{lake.code_area}/([^/]+)/", "_version": VERSION_PATTERN}
+        clean.with_ingestion_time(rows), {"_project": rf"/{re.escape(lake.code_area)}/([^/]+)/[^/]+\.csv$", "_version": VERSION_PATTERN}
     )
 
 
 def landed_tickets(spark: SparkSession, lake: Lake) -> DataFrame:
-    rows = files.exclude_files(files.read_text_csv(spark, lake.ticket_files()), lake.excluded_files)
+    rows = files.read_text_csv(spark, lake.ticket_files())
+    rows = files.keep_conforming(files.exclude_files(rows, lake.excluded_files), checked_files(spark, lake)[TICKETS_RAW])
     dated = clean.parse_dates(
         clean.rename(rows, TICKET_COLUMNS), {"created": "created_str", "resolved": "resolved_str"}, TICKET_DATE_FORMAT
     )
     named = files.with_path_columns(
-        clean.with_ingestion_time(dated), {"_system": rf"/{lake.ticket_area}/([^/]+)\.csv$"}
+        clean.with_ingestion_time(dated), {"_system": rf"/{re.escape(lake.ticket_area)}/([^/]+)\.csv$"}
     )
     return named.withColumn("_system_bucket", letter_bucket("project_key"))
 
@@ -54,6 +90,6 @@ def reconcile_code(spark: SparkSession, lake: Lake) -> DataFrame:
     """Lines per landed file against rows of the bronze table."""
     lines = files.with_path_columns(
         files.file_line_counts(spark, lake.code_files()),
-        {"_project": rf"/{lake.code_area}/([^/]+)/", "_version": VERSION_PATTERN},
+        {"_project": rf"/{re.escape(lake.code_area)}/([^/]+)/[^/]+\.csv$", "_version": VERSION_PATTERN},
     )
     return quality.reconcile(lines, spark.table(f"{lake.bronze}.{CODE_RAW}"), ["_project", "_version"])

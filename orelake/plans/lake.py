@@ -30,6 +30,8 @@ class Lake:
     code_source: str = "code"
     ticket_source: str = "tickets"
     excluded_files: tuple[str, ...] = ()
+    # (bronze table, rows it must hold); without an entry the lines of its files count.
+    expected_rows: tuple[tuple[str, int], ...] = ()
 
     def code_files(self) -> str:
         return f"{self.landing}/{self.code_area}/*/*.csv"

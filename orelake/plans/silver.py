@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
+from datetime import timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelake.operators import clean, dimension, quality
+from orelake.plans import bronze
 from orelake.plans.lake import CHECKS, CODE_CLEAN, CODE_RAW, PROJECTS, TICKETS_CLEAN, TICKETS_RAW, Lake, Run
 from orelake.sinks.tables import append_table, save_checked, save_table
+from orelake.storage import write_out
 
 CODE_RULES = [
     ("bug_non_negative", "bug >= 0"),
     ("loc_non_negative", "loc >= 0"),
     ("is_buggy_binary", "is_buggy IN (0, 1)"),
 ]
-TICKET_RULES = [
-    ("created_not_future", "created <= current_timestamp()"),
-    ("cycle_time_non_negative", "cycle_time_days IS NULL OR cycle_time_days >= 0"),
-    ("is_resolved_binary", "is_resolved IN (0, 1)"),
-]
+
+
+def ticket_rules(run: Run) -> list[tuple[str, str]]:
+    """A ticket is judged by the clock of its run, whenever the rule is applied."""
+    return [
+        ("created_not_future", f"created <= to_timestamp('{run.ts.astimezone(timezone.utc):%Y-%m-%d %H:%M:%S.%f}+00:00')"),
+        ("cycle_time_non_negative", "cycle_time_days IS NULL OR cycle_time_days >= 0"),
+        ("is_resolved_binary", "is_resolved IN (0, 1)"),
+    ]
 
 
 def latest_first(df: DataFrame) -> list[Column]:
@@ -27,41 +35,34 @@ def latest_first(df: DataFrame) -> list[Column]:
 
 
 def build(spark: SparkSession, lake: Lake, run: Run, fail_on_critical: bool = False) -> None:
-    """Write silver tables, then check what was written against bronze in one pass per side."""
+    """Compute silver rows once, log all checks on them, then replace the tables.
+
+    The log is written before a broken constraint or a failed critical check
+    stops the run, and the tables are only replaced after that.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "GMT", "Z"):
+        raise ValueError("dates are parsed and compared in UTC: set spark.sql.session.timeZone to UTC")
     as_of = F.lit(run.ts).cast("timestamp")
     raw_code = spark.table(f"{lake.bronze}.{CODE_RAW}")
     raw_tickets = spark.table(f"{lake.bronze}.{TICKETS_RAW}")
 
     code = clean.clean_modules(raw_code, latest_first(raw_code)).drop("_source_file")
-    code = save_checked(
-        clean.with_audit(code, run.run_id, run.ts),
-        f"{lake.silver}.{CODE_CLEAN}",
-        CODE_RULES,
-        partition_by=["_project"],
-        cluster_by=["is_buggy", "_version"],
-        comment="Code metrics, one row per module and version, with flag and density.",
-    )
+    code = write_out(clean.with_audit(code, run.run_id, run.ts), "silver-code")
     tickets = clean.clean_issues(raw_tickets, latest_first(raw_tickets), as_of)
-    tickets = save_checked(
-        clean.with_audit(tickets.drop("_source_file", "_system", "_system_bucket"), run.run_id, run.ts),
-        f"{lake.silver}.{TICKETS_CLEAN}",
-        TICKET_RULES,
-        partition_by=["year_created"],
-        cluster_by=["project_key", "issue_type"],
-        comment="Tickets, one row per key, with days to resolve; inverted dates left out.",
+    tickets = write_out(
+        clean.with_audit(tickets.drop("_source_file", "_system", "_system_bucket"), run.run_id, run.ts), "silver-tickets"
     )
     projects = dimension.project_dimension(code, tickets, lake.code_source, lake.ticket_source)
-    projects = save_table(
-        clean.with_audit(projects, run.run_id, run.ts),
-        f"{lake.silver}.{PROJECTS}",
-        cluster_by=["source_system", "domain_layer"],
-        comment="Projects of both subject areas under one id.",
-    )
+    projects = write_out(clean.with_audit(projects, run.run_id, run.ts), "silver-projects")
+    rules = ticket_rules(run)
 
     checks = (
-        quality.module_suite(raw_code, code, CODE_CLEAN)
+        bronze.file_checks(spark, lake)
+        .unionByName(quality.module_suite(raw_code, code, CODE_CLEAN))
         .unionByName(quality.issue_suite(raw_tickets, tickets, as_of, TICKETS_CLEAN))
         .unionByName(quality.dimension_suite(projects, PROJECTS))
+        .unionByName(quality.constraint_checks(code, CODE_RULES, CODE_CLEAN))
+        .unionByName(quality.constraint_checks(tickets, rules, TICKETS_CLEAN))
     )
     log = append_table(
         quality.as_log(checks, run.run_id, run.ts),
@@ -71,6 +72,31 @@ def build(spark: SparkSession, lake: Lake, run: Run, fail_on_critical: bool = Fa
     if fail_on_critical:
         quality.raise_on_failure(log.filter(F.col("run_id") == run.run_id))
 
+    save_checked(
+        code,
+        f"{lake.silver}.{CODE_CLEAN}",
+        CODE_RULES,
+        partition_by=["_project"],
+        cluster_by=["is_buggy", "_version"],
+        comment="Code metrics, one row per module and version, with flag and density.",
+        staged=True,
+    )
+    save_checked(
+        tickets,
+        f"{lake.silver}.{TICKETS_CLEAN}",
+        rules,
+        partition_by=["year_created"],
+        cluster_by=["project_key", "issue_type"],
+        comment="Tickets, one row per key, with days to resolve; inverted dates left out.",
+        staged=True,
+    )
+    save_table(
+        projects,
+        f"{lake.silver}.{PROJECTS}",
+        cluster_by=["source_system", "domain_layer"],
+        comment="Projects of both subject areas under one id.",
+    )
+
 
 def retention(spark: SparkSession, lake: Lake) -> DataFrame:
     return quality.retention(

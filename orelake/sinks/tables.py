@@ -6,6 +6,17 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    NullType,
+    ShortType,
+)
 
 from orelake.operators.quality import constraint_violations
 from orelake.storage import write_out
@@ -29,16 +40,21 @@ def create_layers(spark: SparkSession, comments: Mapping[str, str], location: st
 
 
 def lay_out(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
-    """Rows with equal partition and cluster keys together and sorted, in files of a good size.
+    """Rows of a partition together, sorted by the cluster keys, in few files of a good size.
 
-    REBALANCE lets Spark merge small shuffle partitions and split hot ones by
-    measured size, so one project with a third of all rows gets many writers.
-    The sort gives row groups narrow key ranges, which readers skip by.
+    Partitions are dealt by their key alone, so a cold one has one writer;
+    REBALANCE merges small shuffle partitions and splits hot ones by measured
+    size, so one project with a third of all rows gets many.  Without partitions
+    rows are dealt by ranges of the cluster keys.  Either way the sort gives files
+    and row groups narrow key ranges, which readers skip by.
     """
-    keys = [*partition_by, *cluster_by]
-    if not keys:
+    if partition_by:
+        dealt = df.hint("rebalance", *[F.col(k) for k in partition_by])
+    elif cluster_by:
+        dealt = df.repartitionByRange(*cluster_by)
+    else:
         return df
-    return df.hint("rebalance", *[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+    return dealt.sortWithinPartitions(*partition_by, *cluster_by)
 
 
 def set_comment(spark: SparkSession, table: str, comment: str) -> None:
@@ -78,31 +94,60 @@ def save_table(
     return spark.table(table)
 
 
-def append_table(df: DataFrame, table: str, comment: str | None = None) -> DataFrame:
+_WHOLE = (ByteType, ShortType, IntegerType, LongType)
+
+
+def _keeps_values(given: DataType, stored: DataType) -> bool:
+    """Whether every value of one type is also a value of the other."""
+    if given == stored or isinstance(given, NullType):
+        return True
+    if type(given) in _WHOLE and type(stored) in _WHOLE:
+        return _WHOLE.index(type(given)) <= _WHOLE.index(type(stored))
+    if isinstance(stored, DoubleType):
+        return isinstance(given, (ByteType, ShortType, IntegerType, FloatType))
+    if isinstance(given, DecimalType) and isinstance(stored, DecimalType):
+        return given.scale <= stored.scale and given.precision - given.scale <= stored.precision - stored.scale
+    return given.simpleString() == stored.simpleString()
+
+
+def append_table(df: DataFrame, table: str, comment: str | None = None, cluster_by: Sequence[str] = ()) -> DataFrame:
     """Append by column name; new columns are added, missing ones are NULL.
 
-    A table with stored rules only takes rows that meet them.
+    Names match as Spark matches them, without case.  A type that could lose
+    values on the way into the stored one raises.  A table with stored rules only
+    takes rows that meet them: the rows are computed once and checked, then the
+    table gets its new columns, then the checked rows are written.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        return save_table(df, table, comment=comment)
-    known = {f.name: f.dataType for f in spark.table(table).schema.fields}
-    added = [f for f in df.schema.fields if f.name not in known]
-    if added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-    target = spark.table(table).schema
+        return save_table(df, table, cluster_by=cluster_by, comment=comment)
+    stored = {f.name.lower(): f for f in spark.table(table).schema.fields}
+    given = {f.name.lower(): f for f in df.schema.fields}
+    if len(given) < len(df.columns):
+        raise ValueError(f"{table}: column names that differ in case only: {df.columns}")
+    lost = [
+        f"{f.name}: {f.dataType.simpleString()} into {stored[name].dataType.simpleString()}"
+        for name, f in given.items()
+        if name in stored and not _keeps_values(f.dataType, stored[name].dataType)
+    ]
+    if lost:
+        raise TypeError(f"{table}: types would lose values: {', '.join(lost)}")
     rules = constraints_of(spark, table)
     if rules:
+        df = write_out(df, "append")
         _require(df, rules, table)
+    added = [f for name, f in given.items() if name not in stored]
+    if added:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     aligned = df.select(
         *[
-            (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in target.fields
+            (F.col(f"`{given[f.name.lower()].name}`") if f.name.lower() in given else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in spark.table(table).schema.fields
         ]
     )
     partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    lay_out(aligned, partition_by).write.insertInto(table)
+    lay_out(aligned, partition_by, cluster_by).write.insertInto(table)
     if comment:
         set_comment(spark, table, comment)
     return spark.table(table)
@@ -141,24 +186,25 @@ def save_checked(
     cluster_by: Sequence[str] = (),
     comment: str | None = None,
     quarantine: str | None = None,
+    staged: bool = False,
 ) -> DataFrame:
     """Replace a table with rows that meet all rules.
 
     The rows are computed once into the shared folder and checked there, so
-    what is checked is what is kept.  Without ``quarantine`` a violation raises
+    what is checked is what is kept; ``staged`` says that ``df`` is such rows.  Without ``quarantine`` a violation raises
     and the old table stays; with it, bad rows go to that table.
     """
     spark = df.sparkSession
-    staged = write_out(df, "staging")
+    rows = df if staged else write_out(df, "staging")
     if quarantine is None:
-        _require(staged, rules, table)
-        save_table(staged, table, partition_by, cluster_by)
+        _require(rows, rules, table)
+        save_table(rows, table, partition_by, cluster_by)
     else:
         good = F.lit(True)
         for _, rule in rules:
             good = good & F.coalesce(F.expr(rule), F.lit(False))
-        save_table(staged.filter(~good), quarantine)
-        save_table(staged.filter(good), table, partition_by, cluster_by)
+        save_table(rows.filter(~good), quarantine)
+        save_table(rows.filter(good), table, partition_by, cluster_by)
     if rules:
         set_properties(spark, table, {_RULE + name: rule for name, rule in rules})
     if comment:

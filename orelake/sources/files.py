@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SOURCE_FILE = "_source_file"
 
 
+def _file_path() -> Column:
+    """Path of the file a row comes from, with spaces and letters as they are on disk."""
+    uri = F.col("_metadata.file_path")
+    return F.coalesce(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), uri).alias(SOURCE_FILE)
+
+
 def with_source_file(df: DataFrame) -> DataFrame:
-    """Add the path (a percent-encoded URI) of the file each row comes from."""
-    return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    """Add the path of the file each row comes from."""
+    return df.select("*", _file_path())
+
+
+def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Every file with its length, empty ones too; contents are not read."""
+    found = spark.read.format("binaryFile").load(paths)
+    return found.select(_file_path(), F.col("length").alias("bytes"))
 
 
 def with_path_columns(df: DataFrame, patterns: Mapping[str, str], path: str = SOURCE_FILE) -> DataFrame:
@@ -38,11 +50,12 @@ def read_text_csv(spark: SparkSession, paths: str | list[str], **options: str) -
 
 
 def file_line_counts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Physical lines minus the header per file (blank lines and line breaks in cells count)."""
+    """Physical lines minus the header per file (blank lines and line breaks in cells count); 0 for an empty file."""
+    lines = spark.read.text(paths).select(_file_path()).groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("_lines"))
     return (
-        with_source_file(spark.read.text(paths))
-        .groupBy(SOURCE_FILE)
-        .agg((F.count(F.lit(1)) - 1).alias("data_rows"))
+        list_files(spark, paths)
+        .join(lines, SOURCE_FILE, "left")
+        .select(SOURCE_FILE, F.greatest(F.coalesce("_lines", F.lit(0)) - 1, F.lit(0)).alias("data_rows"))
     )
 
 
@@ -56,17 +69,22 @@ def landing_totals(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def check_headers(spark: SparkSession, paths: str | list[str], n_columns: int, separator: str = ",") -> DataFrame:
     """Per file: header columns, data rows and whether both are as expected.
 
-    The header is the first line of the split that starts at byte 0.
+    The header is the first line of the split that starts at byte 0.  An empty
+    file has no columns and does not conform.  ``separator`` is plain text.
     """
     lines = spark.read.text(paths).select(
         "value",
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        _file_path(),
         (F.col("_metadata.file_block_start") == 0).alias("_first_split"),
         F.monotonically_increasing_id().alias("_line"),
     )
     header = F.min_by(F.when(F.col("_first_split"), F.col("value")), F.when(F.col("_first_split"), F.col("_line")))
-    per_file = lines.groupBy(SOURCE_FILE).agg(header.alias("_header"), (F.count(F.lit(1)) - 1).alias("data_rows"))
-    columns = F.size(F.split("_header", F.lit(separator), -1))
+    per_file = lines.groupBy(SOURCE_FILE).agg(header.alias("_header"), F.count(F.lit(1)).alias("_lines"))
+    per_file = list_files(spark, paths).join(per_file, SOURCE_FILE, "left").withColumn(
+        "data_rows", F.greatest(F.coalesce("_lines", F.lit(0)) - 1, F.lit(0))
+    )
+    quoted = "".join(f"[{c}]" if c not in "^\\" else "\\" + c for c in separator)
+    columns = F.when(F.col("_header").isNull(), 0).otherwise(F.size(F.split("_header", F.lit(quoted), -1)))
     return per_file.select(
         SOURCE_FILE,
         columns.alias("n_columns"),

@@ -68,9 +68,9 @@ _RISK_SQL = f"""SELECT project, count(*) AS n_test_modules, {half_up("avg(prob_b
     {half_up("100.0 * avg(prediction)", 1)} AS pct_predicted_buggy FROM pred GROUP BY project"""
 
 
-@query(v.with_views("pred", _RISK_SQL))
+@query(v.with_views("pred_all", _RISK_SQL.replace("FROM pred ", "FROM pred_all ")))
 def risk_by_group(spark: SparkSession, folder: str) -> DataFrame:
-    return decision.risk_by_group(v.predictions(spark, folder))
+    return decision.risk_by_group(v.predictions(spark, folder, left_out=()))
 
 
 @query(

@@ -81,7 +81,7 @@ _SUMMARY = ["bug", "loc", "bug_density", "is_buggy", *v.FEATURES]
     )
 )
 def numeric_summary(spark: SparkSession, folder: str) -> DataFrame:
-    out = profile.numeric_summary(v.silver_modules(spark, folder), _SUMMARY)
+    out = profile.numeric_summary(v.silver_modules(spark, folder), _SUMMARY, accuracy=None)
     return out.withColumns({n: F.round(n, 6) for n in ("mean", "stddev")})
 
 
@@ -104,13 +104,27 @@ def box_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _BUCKET = "('0x' || left(md5('42|' || name || '|' || _project || '|' || _version), 8))::BIGINT"
-_SPLIT = f"SELECT name, _project, _version, is_buggy, {_BUCKET} % 1000 < 800 AS is_train FROM m"
+TRAIN_SQL = f"{_BUCKET} < {round(0.8 * 2**32)}"
+_SPLIT = f"SELECT name, _project, _version, is_buggy, {TRAIN_SQL} AS is_train FROM m"
+# One share per class, one of them below a thousandth.
+_SHARES = {0: 0.0004, 1: 0.7505}
 
 
-@query(v.with_views("m", _SPLIT))
-def stratified_split(spark: SparkSession, folder: str) -> DataFrame:
+def _marked(spark: SparkSession, folder: str, shares: dict[int, float]) -> DataFrame:
     rows = v.silver_modules(spark, folder).select(*v.MODULE_KEYS, "is_buggy")
-    return sampling.mark_train(rows, v.MODULE_KEYS, "is_buggy", {0: 0.8, 1: 0.8})
+    return sampling.mark_train(rows, v.MODULE_KEYS, "is_buggy", shares)
+
+
+@query(
+    v.with_views(
+        "m",
+        f"""SELECT name, _project, _version, is_buggy,
+                   {_BUCKET} < CASE is_buggy WHEN 0 THEN {round(_SHARES[0] * 2**32)} ELSE {round(_SHARES[1] * 2**32)} END AS is_train
+            FROM m""",
+    )
+)
+def stratified_split(spark: SparkSession, folder: str) -> DataFrame:
+    return _marked(spark, folder, _SHARES)
 
 
 @query(
@@ -138,7 +152,7 @@ def stratified_folds(spark: SparkSession, folder: str) -> DataFrame:
     )
 )
 def class_balance(spark: SparkSession, folder: str) -> DataFrame:
-    marked = stratified_split(spark, folder)
+    marked = _marked(spark, folder, {0: 0.8, 1: 0.8})
     parts = F.explode(F.array(F.lit("all"), F.when(F.col("is_train"), F.lit("train")).otherwise(F.lit("test"))))
     return profile.class_balance(marked.select("is_buggy", parts.alias("part")), "is_buggy", ["part"])
 
@@ -150,7 +164,7 @@ def class_balance(spark: SparkSession, folder: str) -> DataFrame:
             f"""SELECT '{f}' AS feature, {half_up(f"avg({f})", 6)} AS mean, {half_up(f"stddev({f})", 6)} AS std
                 FROM t""" for f in v.FEATURES
         ),
-        t=f"SELECT * FROM m WHERE {_BUCKET} % 1000 < 800",
+        t=f"SELECT * FROM m WHERE {TRAIN_SQL}",
     )
 )
 def scaling_params(spark: SparkSession, folder: str) -> DataFrame:
@@ -168,7 +182,7 @@ _Z = [*v.FEATURES, "constant"]
         f"""SELECT name, _project, _version, {", ".join(half_up(f"({f} - {f}_m) / coalesce(nullif({f}_s, 0), 1)", 6) + f" AS {f}_z" for f in _Z)}
             FROM c, t""",
         c="SELECT *, 1.0 AS constant FROM m",
-        t="SELECT " + ", ".join(f"avg({f}) AS {f}_m, stddev({f}) AS {f}_s" for f in _Z) + f" FROM c WHERE {_BUCKET} % 1000 < 800",
+        t="SELECT " + ", ".join(f"avg({f}) AS {f}_m, stddev({f}) AS {f}_s" for f in _Z) + f" FROM c WHERE {TRAIN_SQL}",
     )
 )
 def zscore(spark: SparkSession, folder: str) -> DataFrame:

@@ -103,7 +103,8 @@ _ROC = """SELECT model_name, prob, sum(n) OVER w / sum(n) OVER g AS fpr, sum(p)
     WINDOW w AS (PARTITION BY model_name ORDER BY prob DESC), g AS (PARTITION BY model_name)"""
 
 
-@query(v.with_views("p3", f"SELECT model_name, prob, {half_up('fpr', 8)} AS fpr, {half_up('tpr', 8)} AS tpr FROM ({_ROC})"))
+@query(v.with_views("p3", f"""SELECT model_name, prob, {half_up('fpr', 8)} AS fpr, {half_up('tpr', 8)} AS tpr FROM ({_ROC})
+                    UNION ALL SELECT DISTINCT model_name, CAST('Infinity' AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE FROM p3"""))
 def roc_points(spark: SparkSession, folder: str) -> DataFrame:
     out = evaluate.roc_points(v.scored_models(spark, folder), ["model_name"])
     return out.select("model_name", "prob", F.round("fpr", 8).alias("fpr"), F.round("tpr", 8).alias("tpr"))

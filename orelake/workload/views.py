@@ -23,7 +23,9 @@ MODULE_KEYS = ["name", "_project", "_version"]
 CODE, PROCESS = "code_repo", "ticket_hub"
 BUG_TYPE = "1-URGENT"
 
-_WRITTEN: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+_WRITTEN: dict[tuple, tuple[str, StructType]] = {}
+# The given tables behind the written views.
+_BASE = ("lineitem", "orders", "part", "customer", "nation")
 _SCHEMAS: dict[str, StructType] = {}
 
 
@@ -107,8 +109,19 @@ def dirty_issues(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def version_of(spark: SparkSession, folder: str, *names: str) -> tuple:
+    """Paths, lengths and times of the files of given tables: another version is another key."""
+    found = []
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+        status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path)
+        latest = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).getModificationTime()
+        found.append((name, status.getFileCount(), status.getLength(), latest))
+    return tuple(found)
+
+
 def _written(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (spark.sparkContext.applicationId, folder, name)
+    key = (spark.sparkContext.applicationId, folder, name, version_of(spark, folder, *_BASE))
     if key not in _WRITTEN:
         rows = build()
         path = new_path(spark, name)
@@ -174,11 +187,11 @@ def scored_models(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def predictions(spark: SparkSession, folder: str) -> DataFrame:
-    """Rule scores in the shape of the prediction table, for some of the projects."""
+def predictions(spark: SparkSession, folder: str, left_out: tuple[str, ...] = ("Brand#11", "Brand#22")) -> DataFrame:
+    """Rule scores in the shape of the prediction table; projects left out show what a left join does without them."""
     return (
         scored(spark, folder)
-        .filter(~F.col("_project").isin("Brand#11", "Brand#22"))
+        .filter(~F.col("_project").isin(*left_out))
         .select(
             F.col("name").alias("module_name"),
             F.col("_project").alias("project"),
@@ -259,6 +272,8 @@ _SQL = {
     "pred": """
         SELECT name AS module_name, _project AS project, _version AS version, label, prediction, prob AS prob_buggy
         FROM p WHERE _project NOT IN ('Brand#11', 'Brand#22')""",
+    "pred_all": """
+        SELECT name AS module_name, _project AS project, _version AS version, label, prediction, prob AS prob_buggy FROM p""",
     "runs": """
         SELECT date_trunc('day', ts) AS run_ts, event_type AS cell, event_id, user_id, value FROM events""",
     "dim": f"""
@@ -273,7 +288,7 @@ _SQL = {
 
 _NEEDS = {
     "m_dirty": ["m_raw"], "m": ["m_raw"], "i_dirty": ["i_raw"], "i": ["i_raw"],
-    "p": ["m"], "p3": ["m"], "pred": ["p"], "dim": ["m", "i"],
+    "p": ["m"], "p3": ["m"], "pred": ["p"], "pred_all": ["p"], "dim": ["m", "i"],
 }
 
 

@@ -13,6 +13,7 @@ from orelake.constants import FEATURES, TICKET_COLUMNS
 from orelake.operators import evaluate, ml, profile, quality
 from orelake.plans import bronze, decisions, full_build, lake as names, silver
 from orelake.plans.lake import Lake, Run
+from orelake.sinks.tables import ConstraintViolation
 
 N_CODE, N_TICKETS = 600, 900
 
@@ -79,7 +80,7 @@ def test_rows_per_layer(spark, lake, run):
 
 def test_check_log_passes_or_warns(spark, lake, run):
     log = spark.table(f"{lake.silver}.{names.CHECKS}")
-    assert log.count() == 17 and log.select("run_id").distinct().count() == 1
+    assert log.count() == 19 and log.select("run_id").distinct().count() == 1
     assert {r.check_name for r in quality.check_exceptions(log, "run-1").collect()} == {"inverted_created_resolved"}
 
 
@@ -116,3 +117,27 @@ def test_second_run_appends_logs_and_replaces_tables(spark, lake, run):
     assert log.select("run_id").distinct().count() == 2
     assert spark.table(f"{lake.silver}.{names.CODE_CLEAN}").count() == N_CODE
     assert evaluate.roc_points(spark.table(f"{lake.gold}.{names.PREDICTIONS}").withColumnRenamed("prob_buggy", "prob")).count() > 2
+
+
+def test_faults_are_logged_before_the_run_stops(spark, lake, run, tmp_path):
+    """A wrong header, an empty file, a lost row and a negative size: the log holds each, the tables stay."""
+    root = str(tmp_path / "landing")
+    _land(root)
+    with open(f"{root}/code/ant/ant-9.csv", "w") as f:
+        f.write("a,b\n1,2\n")
+    open(f"{root}/code/ant/ant-8.csv", "w").close()
+    header = ["name", *FEATURES, "bug"]
+    with open(f"{root}/code/ivy/ivy-7.csv", "w") as f:
+        f.write(",".join(header) + "\n" + ",".join(["x.Y", *["-1" if c == "loc" else "1" for c in FEATURES], "0"]) + "\n")
+    bad = Lake(
+        landing=root, artifacts=str(tmp_path), warehouse=lake.warehouse, bronze=lake.bronze + "_bad", silver=lake.silver + "_bad",
+        gold=lake.gold + "_bad", expected_rows=((names.CODE_RAW, 1),),
+    )
+    bad.bootstrap(spark)
+    bronze.build(spark, bad)
+    with pytest.raises(ConstraintViolation, match="loc_non_negative"):
+        silver.build(spark, bad, Run("bad", datetime(2020, 1, 1, tzinfo=timezone.utc)))
+    failed = {(r.check_name, r.status, (r.details or "").rsplit("/", 1)[-1]) for r in spark.table(f"{bad.silver}.{names.CHECKS}").filter("status <> 'PASS'").collect()}
+    assert {("file_left_out", "WARN", "ant-9.csv"), ("file_left_out", "WARN", "ant-8.csv"), ("constraint", "FAIL", "loc_non_negative"),
+            (f"bronze_row_count_{names.CODE_RAW}", "FAIL", "")} <= failed
+    assert not spark.catalog.tableExists(f"{bad.silver}.{names.CODE_CLEAN}")

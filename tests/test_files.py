@@ -7,6 +7,8 @@ import os
 import pytest
 
 from orelake.constants import FEATURES, TICKET_COLUMNS, VERSION_PATTERN
+from orelake.plans import bronze
+from orelake.plans.lake import Lake
 from orelake.schemas import CODE_METRICS
 from orelake.sources import files
 
@@ -28,6 +30,8 @@ def landing(tmp_path):
     write("code/ant/ant-1.4.4.csv", HEADER, code_line("a.A", bug="1.0"), "short,1.0")
     write("code/my proj/nodash.csv", HEADER, code_line("b.B", bug="x"))
     write("code/ant/ant-9.csv", HEADER)
+    write("code/ant/ant-8.csv")
+    (tmp_path / "code/ant/ant-8.csv").write_text("")
     write("code/odd/odd-1.csv", HEADER.rsplit(",", 1)[0], ",".join(["c", *["1"] * len(FEATURES)]))
     write("tickets/SYS.csv", ",".join(TICKET_COLUMNS), "S-1,Bug,Done,SYS,System,software,Fixed,16/06/2022 23:13,")
     return str(tmp_path)
@@ -44,7 +48,7 @@ def test_path_columns(spark, landing):
     rows = files.read_typed_csv(spark, f"{landing}/code/*/*.csv", CODE_METRICS)
     named = files.with_path_columns(rows, {"_project": "/code/([^/]+)/", "_version": VERSION_PATTERN})
     got = {(r._project, r._version) for r in named.collect()}
-    assert got == {("ant", "1.3"), ("ant", "1.4.4"), ("my%20proj", ""), ("odd", "1")}
+    assert got == {("ant", "1.3"), ("ant", "1.4.4"), ("my proj", ""), ("odd", "1")}
 
 
 def test_untyped_scan_is_all_text(spark, landing):
@@ -61,6 +65,7 @@ def test_header_check(spark, landing):
         "ant-1.4.4.csv": (22, 2, True),
         "nodash.csv": (22, 1, True),
         "ant-9.csv": (22, 0, False),
+        "ant-8.csv": (0, 0, False),
         "odd-1.csv": (21, 1, False),
     }
     rows = files.read_typed_csv(spark, f"{landing}/code/*/*.csv", CODE_METRICS)
@@ -74,10 +79,29 @@ def test_header_check_on_split_files(spark, landing):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
     try:
         got = {r._source_file.rsplit("/", 1)[-1]: r.n_columns for r in files.check_headers(spark, f"{landing}/code/ant/*.csv", 22).collect()}
-        assert got == {"ant-1.3.csv": 22, "ant-1.4.4.csv": 22, "ant-9.csv": 22}
+        assert got == {"ant-1.3.csv": 22, "ant-1.4.4.csv": 22, "ant-9.csv": 22, "ant-8.csv": 0}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_totals(spark, landing):
-    assert tuple(files.landing_totals(spark, f"{landing}/code/*/*.csv").first()) == (5, 6)
+    assert tuple(files.landing_totals(spark, f"{landing}/code/*/*.csv").first()) == (6, 6)
+    counts = {r._source_file.rsplit("/", 1)[-1]: r.data_rows for r in files.file_line_counts(spark, f"{landing}/code/ant/*.csv").collect()}
+    assert counts == {"ant-1.3.csv": 2, "ant-1.4.4.csv": 2, "ant-9.csv": 0, "ant-8.csv": 0}
+
+
+def test_separator_is_plain_text(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ab|cd^ef\n1|2^3\n")
+    for separator, n in (("|", 2), ("^", 2), (",", 1)):
+        assert files.check_headers(spark, f"{tmp_path}/*.csv", 2, separator).first().n_columns == n
+
+
+def test_project_is_the_folder_of_the_file(spark, tmp_path):
+    """The area's name may come up higher in the path, and a folder may hold a space."""
+    root = tmp_path / "code" / "landing"
+    os.makedirs(root / "code" / "my proj")
+    (root / "code" / "my proj" / "my proj-2.0.csv").write_text("\n".join([HEADER, code_line("a.A")]) + "\n")
+    lake = Lake(landing=str(root), artifacts=str(tmp_path))
+    row = bronze.landed_code(spark, lake).first()
+    assert (row._project, row._version) == ("my proj", "2.0")
+    assert bronze.landed_code(spark, Lake(landing=str(root), artifacts="", excluded_files=("my proj-2.0.csv",))).count() == 0

@@ -26,7 +26,8 @@ def test_same_rows_as_sql(spark, tables, name):
 def test_contract_is_complete(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
     unchecked = set(contract.queries()) - set(contract.oracle_sql())
-    assert all(name.startswith("ml_") for name in unchecked)
+    # Only operators that SQL cannot state have no check; their tests compare with brute force.
+    assert all(name == "pipeline" or name.startswith("op") for name in unchecked)
     assert contract.entry(spark).count() > 0
 
 

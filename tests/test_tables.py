@@ -125,3 +125,42 @@ def test_shared_folder_is_read_from_the_session(spark):
 def test_rows_to_frame(spark):
     schema = spark.createDataFrame([], "a int, b string").schema
     assert rows_to_frame(spark, [(1, "x")], schema).first().b == "x"
+
+
+def test_append_keeps_values_or_raises(spark, database):
+    name = f"{database}.kept"
+    tables.append_table(spark.createDataFrame([(1, 10)], "id int, big bigint"), name)
+    with pytest.raises(TypeError, match="id: double into int"):
+        tables.append_table(spark.createDataFrame([(2.9, 1)], "id double, big bigint"), name)
+    tables.append_table(spark.createDataFrame([(2, 20)], "ID int, Big int"), name)
+    assert spark.table(name).columns == ["id", "big"]
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, 10), (2, 20)]
+
+
+def test_refused_append_leaves_the_table_alone(spark, database):
+    name = f"{database}.ruled"
+    tables.save_checked(spark.createDataFrame([(1,)], "id int"), name, [("positive", "id > 0")])
+    with pytest.raises(tables.ConstraintViolation):
+        tables.append_table(spark.createDataFrame([(-1, "x")], "id int, more string"), name)
+    assert spark.table(name).columns == ["id"] and spark.table(name).count() == 1
+    seen = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda x: (seen.add(1), x)[1], "int")
+    tables.append_table(spark.createDataFrame([(5,)], "id int").select(counted("id").alias("id")), name)
+    assert seen.value == 1 and spark.table(name).count() == 2
+
+
+def test_files_per_partition_and_key_spans(spark, database):
+    df = spark.range(0, 200_000, 1, 16).select(
+        (F.col("id") % 20).alias("p"), F.pmod(F.xxhash64("id"), F.lit(1000)).alias("k"), F.md5(F.col("id").cast("string")).alias("payload")
+    )
+    where = spark.catalog.getDatabase(database).locationUri.removeprefix("file:")
+    tables.save_table(df, f"{database}.parts", ["p"], ["k"])
+    per = [len(glob.glob(os.path.join(d, "*.parquet"))) for d in glob.glob(os.path.join(where, "parts", "p=*"))]
+    assert len(per) == 20 and max(per) <= 2
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = tables.save_table(df.drop("p"), f"{database}.ranged", cluster_by=["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = out.groupBy(F.input_file_name()).agg((F.max("k") - F.min("k")).alias("span")).collect()
+    assert len(spans) > 4 and max(r.span for r in spans) < 400
