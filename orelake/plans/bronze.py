@@ -16,16 +16,12 @@ from orelake.sinks.tables import save_table
 from orelake.sources import files
 
 
-def checked_files(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    """Header check of every landed file per bronze table; files left out by name are not checked."""
-    return {
-        CODE_RAW: files.exclude_files(
-            files.check_headers(spark, lake.code_files(), len(CODE_METRICS)), lake.excluded_files
-        ),
-        TICKETS_RAW: files.exclude_files(
-            files.check_headers(spark, lake.ticket_files(), len(TICKET_COLUMNS)), lake.excluded_files
-        ),
-    }
+def checked_files(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    """Header check of every landed file of a bronze table; files left out by name are not checked."""
+    paths, columns = {
+        CODE_RAW: (lake.code_files(), len(CODE_METRICS)), TICKETS_RAW: (lake.ticket_files(), len(TICKET_COLUMNS))
+    }[table]
+    return files.exclude_files(files.check_headers(spark, paths, columns), lake.excluded_files)
 
 
 def file_checks(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -35,7 +31,8 @@ def file_checks(spark: SparkSession, lake: Lake) -> DataFrame:
     as its conforming files have lines.
     """
     rows = None
-    for table, checked in checked_files(spark, lake).items():
+    for table in (CODE_RAW, TICKETS_RAW):
+        checked = checked_files(spark, lake, table)
         expected = dict(lake.expected_rows).get(table)
         lines = checked.filter("conforms").agg(F.coalesce(F.sum("data_rows"), F.lit(0)).alias("n")).scalar()
         counted = quality.row_count_check(
@@ -49,7 +46,7 @@ def file_checks(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def landed_code(spark: SparkSession, lake: Lake) -> DataFrame:
     rows = files.read_typed_csv(spark, lake.code_files(), CODE_METRICS)
-    rows = files.keep_conforming(files.exclude_files(rows, lake.excluded_files), checked_files(spark, lake)[CODE_RAW])
+    rows = files.keep_conforming(files.exclude_files(rows, lake.excluded_files), checked_files(spark, lake, CODE_RAW))
     return files.with_path_columns(
         clean.with_ingestion_time(rows), {"_project": rf"/{re.escape(lake.code_area)}/([^/]+)/[^/]+\.csv$", "_version": VERSION_PATTERN}
     )
@@ -57,7 +54,7 @@ def landed_code(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def landed_tickets(spark: SparkSession, lake: Lake) -> DataFrame:
     rows = files.read_text_csv(spark, lake.ticket_files())
-    rows = files.keep_conforming(files.exclude_files(rows, lake.excluded_files), checked_files(spark, lake)[TICKETS_RAW])
+    rows = files.keep_conforming(files.exclude_files(rows, lake.excluded_files), checked_files(spark, lake, TICKETS_RAW))
     dated = clean.parse_dates(
         clean.rename(rows, TICKET_COLUMNS), {"created": "created_str", "resolved": "resolved_str"}, TICKET_DATE_FORMAT
     )

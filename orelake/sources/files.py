@@ -11,10 +11,11 @@ from pyspark.sql.types import StructType
 SOURCE_FILE = "_source_file"
 
 
-def _file_path() -> Column:
+def _file_path(uri: str = "_metadata.file_path") -> Column:
     """Path of the file a row comes from, with spaces and letters as they are on disk."""
-    uri = F.col("_metadata.file_path")
-    return F.coalesce(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), uri).alias(SOURCE_FILE)
+    plain = F.try_url_decode(F.replace(F.col(uri), F.lit("+"), F.lit("%2B")))
+    # Listings and scans write the root of a local path differently.
+    return F.regexp_replace(F.coalesce(plain, F.col(uri)), "^file:/+", "file:///").alias(SOURCE_FILE)
 
 
 def with_source_file(df: DataFrame) -> DataFrame:
@@ -23,9 +24,12 @@ def with_source_file(df: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Every file with its length, empty ones too; contents are not read."""
-    found = spark.read.format("binaryFile").load(paths)
-    return found.select(_file_path(), F.col("length").alias("bytes"))
+    """Every file, empty ones too, which no scan would show.
+
+    It is the listing that the driver holds for any scan of these paths.
+    """
+    uris = spark.read.text(paths).inputFiles()
+    return spark.createDataFrame([(u,) for u in uris], "uri string").select(_file_path("uri"))
 
 
 def with_path_columns(df: DataFrame, patterns: Mapping[str, str], path: str = SOURCE_FILE) -> DataFrame:
