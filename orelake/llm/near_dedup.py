@@ -7,11 +7,11 @@ five-word shingles is at least 0.8; a class is a connected component of links.
    with one multiset are one *node*, so copies never meet in a bucket.
 2. 25 bands of 4 registers put nodes in buckets; a pair at 0.8 misses all of
    them with a probability under 2e-6.
-3. In each bucket a few open nodes are pivots, and every other node of the
-   bucket is compared with the pivots only, so a bucket of n close texts costs
-   n comparisons.  Nodes linked to a pivot stay as partners exactly when the
-   triangle inequality of the Jaccard distance allows a link with a node still
-   open; open nodes go to the next round with four times the pivots.
+3. In each bucket one pivot is compared with every other node, and components are
+   formed.  A bucket that is one component by then is done, so n close texts cost
+   n comparisons.  In the others every node outside the largest component meets
+   every node of another component, in blocks of bounded size inside the tasks:
+   only pairs whose 16-bit elements reach the similarity leave them.
 4. Pairs are verified by the overlap of the whole multisets.
 5. Components by repeated least labels with pointer jumping; each step is
    written to the shared folder.
@@ -36,8 +36,8 @@ from orelake.llm import rows as _rows
 from orelake.storage import write_out
 
 SIMILARITY = 0.8
-# Pivots of a bucket grow by this factor per round.
-GROWTH = 4
+# Nodes on either side of a block.
+CHUNK = 512
 
 _SIGNED = "_key string, _mark bigint, doc_id bigint, node binary, bands array<bigint>"
 
@@ -86,19 +86,25 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles of a node as six bytes each, then their counts where any is over 1."""
+    """Shingles of a node as six bytes each, their counts where any is over 1, and all elements as two bytes each."""
     import numpy as np
 
+    from orelake.llm import bag_minhash
+
     for batch in batches:
-        bags, counts = [], []
+        bags, counts, small = [], [], []
         for own, _, item, count, cut in _pieces(_texts(batch)):
             six = np.ascontiguousarray(item.view(np.uint8).reshape(-1, 8)[:, :6])
             for a, b in zip(cut[:-1], cut[1:]):
                 bags.append(six[a:b].tobytes())
                 more = count[a:b]
                 counts.append(more.astype("uint32").tobytes() if more.max(initial=1) > 1 else b"")
+                # The k-th copy of a shingle is an element of its own.
+                copy = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
+                small.append((bag_minhash.mix(np.repeat(item[a:b], more) + (copy.astype(np.uint64) << np.uint64(48))) & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.array(bags, pa.binary()), pa.array(counts, pa.binary())], ["node", "bag", "counts"]
+            [batch.column("node"), pa.array(bags, pa.binary()), pa.array(counts, pa.binary()), pa.array(small, pa.binary())],
+            ["node", "bag", "counts", "small"],
         )
 
 
@@ -138,7 +144,7 @@ def signed(docs: DataFrame) -> DataFrame:
 def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Multisets of the wanted nodes, from one row of each."""
     rows = _rows.once(docs).join(wanted, list(_rows.KEY)).select("node", F.col("_row.text").alias("text"))
-    return rows.mapInArrow(_multisets, "node binary, bag binary, counts binary")
+    return rows.mapInArrow(_multisets, "node binary, bag binary, counts binary, small binary")
 
 
 def _similarities(pairs: DataFrame, bags: DataFrame) -> DataFrame:
@@ -146,64 +152,143 @@ def _similarities(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_overlap, "a binary, b binary, j double")
 
 
+def _star(state: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each bucket's pivot with its other nodes; pivots differ from bucket to bucket."""
+    order = F.struct(F.xxhash64("bucket", "node").alias("h"), "node")
+    pivots = write_out(state.groupBy("bucket").agg(F.min(order).getField("node").alias("pivot")), "pivots")
+    met = state.join(pivots, "bucket").filter("node <> pivot")
+    return met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+
+
+def _compare(similarity: float):
+    """Rows sorted by group: every minor node of a group against its other rows, by matrix products.
+
+    The 16-bit elements of two texts share at least as many as the texts do, so
+    no pair at the similarity is missed.
+    """
+
+    def close(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
+        import numpy as np
+
+        minor = [r for r in rows if r[1]]
+        if not minor or len(minor) == len(rows):
+            return []
+        rest = [r for r in rows if not r[1]]
+        shared = np.zeros((len(minor), len(rest)), np.float32)
+        sides = []
+        for side in (minor, rest):
+            elements = [np.frombuffer(r[3], np.uint16) for r in side]
+            sides.append((np.repeat(np.arange(len(side)), [len(e) for e in elements]), np.concatenate(elements)))
+        known = np.intersect1d(sides[0][1], sides[1][1])
+        for at in range(0, len(known), 4096):
+            part = known[at : at + 4096]
+            dense = []
+            for (owner, element), side in zip(sides, (minor, rest)):
+                place = np.minimum(np.searchsorted(part, element), len(part) - 1)
+                hit = part[place] == element
+                block = np.zeros((len(side), len(part)), np.float32)
+                np.add.at(block, (owner[hit], place[hit]), 1)
+                dense.append(block)
+            if dense[0].max(initial=0) <= 1 or dense[1].max(initial=0) <= 1:
+                # Where one side holds an element once, the lesser count is a product.
+                shared += np.minimum(dense[0], 1) @ np.minimum(dense[1], 1).T
+            else:
+                top = int(min(dense[0].max(), dense[1].max()))
+                for k in range(1, top + 1):
+                    shared += (dense[0] >= k).astype(np.float32) @ (dense[1] >= k).astype(np.float32).T
+        size = lambda side: np.array([len(r[3]) // 2 for r in side], np.float32)
+        union = size(minor)[:, None] + size(rest)[None, :] - shared
+        labels = np.unique([r[2] for r in [*minor, *rest]], return_inverse=True)[1]
+        apart = labels[: len(minor), None] != labels[None, len(minor) :]
+        i, j = np.nonzero(apart & (shared >= similarity * union - 1e-3))
+        return [(min(minor[x][0], rest[y][0]), max(minor[x][0], rest[y][0])) for x, y in zip(i, j)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(pairs: set) -> pa.RecordBatch:
+            a, b = zip(*pairs) if pairs else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+        group, rows, found = None, [], set()
+        for batch in batches:
+            keys = zip(*[batch.column(c).to_pylist() for c in ("bucket", "i", "j")])
+            data = zip(*[batch.column(c).to_pylist() for c in ("node", "minor", "label", "small")])
+            for key, row in zip(keys, data):
+                if key != group:
+                    found.update(close(rows))
+                    group, rows = key, []
+                rows.append(row)
+            if len(found) > 100_000:
+                yield out(found)
+                found = set()
+        found.update(close(rows))
+        yield out(found)
+
+    return run
+
+
+def _blocks(named: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """Pairs between components that the buckets leave to be tested, found block by block.
+
+    Every node outside a bucket's largest component meets every node of the
+    bucket: both sides are cut into chunks of at most about ``CHUNK`` nodes, and a
+    group holds one chunk of each.
+    """
+    parts = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("labels"), F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("largest")
+    ).filter("labels > 1")
+    chunks = lambda n: F.ceil(n / F.lit(CHUNK)).cast("int")
+    mixed = mixed.select(
+        "bucket", F.col("largest.label").alias("largest"), chunks(F.col("n")).alias("all_chunks"),
+        chunks(F.col("n") - F.col("largest.n")).alias("minor_chunks"),
+    )
+    live = named.join(write_out(mixed, "mixed"), "bucket")
+    chunk = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = live.select("bucket", "node", "label", F.lit(False).alias("minor"), chunk("all_chunks").alias("i"),
+                        F.explode(F.sequence(F.lit(0), F.col("minor_chunks") - 1)).alias("j"))
+    minor = live.filter("label <> largest").select(
+        "bucket", "node", "label", F.lit(True).alias("minor"),
+        F.explode(F.sequence(F.lit(0), F.col("all_chunks") - 1)).alias("i"), chunk("minor_chunks").alias("j"))
+    rows = every.union(minor).join(bags.select("node", "small"), "node")
+    sorted_ = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return sorted_.mapInArrow(_compare(similarity), "a binary, b binary").distinct()
+
+
 def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame | None:
-    """Verified links (a, b, j) that connect every class; None when no bucket holds two nodes."""
-    state = nodes.select("node", F.explode("bands").alias("bucket")).withColumn("open", F.lit(True))
-    counts = state.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    """Component labels (node, label) of the nodes that verified links connect; None when no bucket holds two nodes."""
+    state = nodes.select("node", F.explode("bands").alias("bucket"))
+    counts = write_out(state.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "counts")
     state = write_out(state.join(counts, "bucket", "left_semi"), "buckets")
     if state.isEmpty():
         return None
     wanted = nodes.join(state.select("node").distinct(), "node").select("node", "first._key", "first._mark")
     bags = write_out(_bags(docs, wanted), "bags")
-    found, pivots = None, 1
-    reach = 1 - 2 * (1 - similarity)
-    while not state.isEmpty():
-        rank = F.expr("row_number() over (partition by bucket order by node)")
-        chosen = state.filter("open").withColumn("_rank", rank).filter(F.col("_rank") <= pivots)
-        # Written, so that both sides of the join are plain shuffles, which Spark splits where a bucket is hot.
-        chosen = write_out(chosen.select("bucket", F.col("node").alias("pivot")), "pivots")
-        met = state.join(chosen, "bucket").filter("node <> pivot").select(
-            "bucket", "node", "open", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
-        )
-        met = write_out(met, "met")
-        judged = write_out(_similarities(met.select("a", "b").distinct(), bags), "judged")
-        linked = judged.filter(F.col("j") >= similarity)
-        found = linked if found is None else found.union(linked)
-        best = (
-            met.join(judged, ["a", "b"]).groupBy("bucket", "node", "open").agg(F.max("j").alias("best"))
-            .join(chosen.withColumnRenamed("pivot", "node"), ["bucket", "node"], "left_anti")
-            .withColumn("open", F.col("open") & (F.col("best") < similarity))
-        )
-        best = write_out(best, "state")
-        # A node linked to a pivot can only meet an open one that is within twice the distance of it.
-        per = best.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("n"), F.max("open").alias("any_open"),
-            F.max(F.col("open") & (F.col("best") >= reach)).alias("near"),
-            F.sum(F.col("open").cast("long")).alias("n_open"),
-        )
-        go_on = per.filter("any_open AND (near AND n > 1 OR n_open > 1)").select("bucket", "near")
-        go_on = write_out(go_on, "going")
-        state = write_out(best.join(go_on, "bucket").filter("open OR near").select("bucket", "node", "open"), "buckets")
-        pivots *= GROWTH
-    return found
+    linked = lambda pairs: write_out(_similarities(pairs, bags).filter(F.col("j") >= similarity), "links")
+    first = linked(_star(state))
+    labels = components(first)
+    named = write_out(state.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
+    rest = linked(_blocks(named, bags, similarity))
+    return labels if rest.isEmpty() else components(first.union(rest))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of the links: the least node of its component."""
     both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a"))
     both = write_out(both.distinct(), "edges")
+    if both.isEmpty():
+        return both.select("node", F.col("other").alias("label"))
     labels = write_out(
         both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("label")), "labels"
     )
     while True:
-        heard = both.join(labels.select(F.col("node").alias("other"), "label"), "other").select("node", "label")
-        least = heard.union(labels).groupBy("node").agg(F.min("label").alias("label"))
+        heard = both.join(labels.select(F.col("node").alias("other"), "label"), "other").select("node", "label", F.lit(None).cast("binary").alias("was"))
+        own = labels.select("node", "label", F.col("label").alias("was"))
+        least = heard.union(own).groupBy("node").agg(F.min("label").alias("label"), F.max("was").alias("was"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        after = write_out(least.join(jump, "label").select("node", F.col("further").alias("label")), "labels")
-        moved = after.join(labels.withColumnRenamed("label", "was"), "node").filter("label <> was")
-        if moved.isEmpty():
-            return after
-        labels = after
+        after = write_out(least.join(jump, "label").select("node", F.col("further").alias("label"), "was"), "labels")
+        if after.filter("label <> was").isEmpty():
+            return after.select("node", "label")
+        labels = after.select("node", "label")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -216,10 +301,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         ),
         "nodes",
     )
-    found = links(docs, nodes, similarity)
+    label = links(docs, nodes, similarity)
     small = nodes.select("node", "first", "n")
-    if found is not None:
-        label = components(found)
+    if label is not None:
         grouped = write_out(small.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
         per = write_out(grouped.groupBy("label").agg(F.min("first").alias("stay"), F.sum("n").alias("class_size")), "classes")
         small = grouped.join(per, "label").select("node", "stay", "class_size")
