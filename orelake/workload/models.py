@@ -25,7 +25,7 @@ _RUN = ("run-1", datetime(2001, 1, 1, tzinfo=timezone.utc))
 _FEATURES = [f for f in v.FEATURES if f != "l_quantity"]
 # Bound on the labelled rows that models are fitted on: the training rows with
 # the least hash.  Holdout and scoring cover all rows.
-FIT_ROWS = 3000
+FIT_ROWS = 1500
 _FITTED: dict[tuple, list[ml.Trained]] = {}
 
 
