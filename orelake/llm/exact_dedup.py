@@ -1,7 +1,7 @@
 """Exact duplicates by deterministic block naming.
 
 A text is cut into blocks of a fixed size.  Equal blocks get one integer name
-by sorting all distinct blocks; the names of a text form a shorter text, whose
+by sorting blocks, dealt by their content, within each share; the names of a text form a shorter text, whose
 adjacent pairs are named in the same way, until one name is left.  Names come
 from sorted contents and never from hashes, so two texts have the same final
 (level, name) exactly when they are equal.
@@ -90,7 +90,7 @@ def _cut(size: int, first: bool):
 
 
 def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted blocks of one range: equal neighbours share the next name."""
+    """Sorted blocks of one share: equal neighbours have one name, others the next."""
     from pyspark import TaskContext
 
     name, last = TaskContext.get().partitionId() << 40, None
@@ -118,7 +118,7 @@ def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         staged = write_out(current.mapInArrow(cut, _STAGED), "blocks")
         names = (
             staged.select("task", F.inline("fresh"))
-            .repartitionByRange("block")
+            .repartition("block")
             .sortWithinPartitions("block")
             .mapInArrow(_number, "task int, ref bigint, name bigint")
         )
@@ -144,6 +144,8 @@ def groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     named = identities(docs, block)
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "uid")
     per_text = named.groupBy("level", "name").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size"))
+    # Written, so that both sides of the join are plain shuffles, which Spark splits where a text is hot.
+    per_text = write_out(per_text, "texts")
     return named.join(per_text, ["level", "name"]).select(
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),
