@@ -1,30 +1,27 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-Symbols are letter classes: a-z without case and accents, white space, digits,
-punctuation, marks, other letters, and the bound of a text: ``CLASSES`` = 32 in
-all.  The model is of order ``ORDER`` = 4, so it has at most 32 ** 4 entries
-whatever the size of the corpus, and grams are small integers.
-
-Counting covers all trusted text: each task counts its texts in one array and
-sends one row per gram.  The estimates come from joins of the count tables,
-sharded by the hash of the context and of the shorter gram: discounted count and
-mass of the context, times the lower order's probability.  Lower orders use
-continuation counts, and every order has the three discounts of the modified
-form, from its counts of counts.
-
-A document's perplexity is taken over its whole text.  Joining the grams of all
-documents with the model would shuffle several times the text; as the model has
-a proven bound (4 MB of numbers), it is sent to the tasks instead and texts stay
-where they are.  Thresholds are quantiles of the trusted documents' perplexity
-in each language: up to the first two a document is ``head`` or ``middle``, and
-beyond the last it is not kept.
-
-Trusted are rows labelled with quality 1.  A null language is a language of its
-own; one without trusted rows uses the thresholds over all trusted rows.  Null
-and empty texts have no perplexity and are not kept.  Without trusted text every
-symbol is equally likely and all texts are kept.  A repeated id is trusted once
-it is labelled so; repeated rows are scored alike; an empty table gives an empty
-result; columns other than ``doc_id``, ``text`` and ``lang`` are not read.
+The verdict rests on words (``word_grams``): counts over all trusted text, in
+tables that grow with it, and joins that estimate every gram of the documents.
+The model over letter classes below (``count`` to ``perplexities``, at most
+32 ** 4 entries) is a function of its own that the verdict does not use.
+
+A document's perplexity is taken over its whole text.  Thresholds are set in
+each language on text the model has not seen: a second model leaves out the
+trusted rows with crc32(doc_id) mod 5 = 0, and these and the rows labelled poor
+are scored under it.  Up to the first two ``QUANTILES`` of the unseen trusted
+rows a document is ``head`` or ``middle``.  It is kept up to that quantile of
+``CUTS`` that sets trusted and poor rows apart most (share of trusted rows kept
+less share of poor rows kept; of equals the highest), or up to the last of
+``QUANTILES`` where no poor row has a perplexity; never less than that last
+quantile of all trusted rows under the model that has counted them.
+
+Trusted are rows labelled with quality 1, poor those with 0 and never 1.  A null
+language is a language of its own; one without unseen trusted rows uses the
+thresholds over all languages.  Null texts and texts without words have no
+perplexity and are not kept.  Without trusted text every word is equally likely
+and all texts are kept.  A repeated id is trusted once it is labelled so;
+repeated rows are scored alike; an empty table gives an empty result; columns
+other than ``doc_id``, ``text`` and ``lang`` are not read.
 """
 
 from __future__ import annotations
@@ -35,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orelake.llm import word_grams
 from orelake.storage import write_out
 
 BITS = 5
@@ -42,6 +40,10 @@ CLASSES = 1 << BITS
 ORDER = 4
 # Quantiles of trusted perplexity: head, middle, kept.
 QUANTILES = (0.3, 0.6, 0.999)
+# Quantiles of trusted perplexity among which poor rows choose the bound of what is kept.
+CUTS = tuple(i / 100 for i in range(50, 100)) + (0.995, 0.999)
+# One in so many trusted rows sets the thresholds.
+_UNSEEN = 5
 # Characters counted or scored at a time.
 _CHUNK = 2 << 20
 
@@ -226,21 +228,79 @@ def train(docs: DataFrame, trusted: DataFrame, order: int = ORDER):
     return dense(estimate(count(docs.join(trusted, "doc_id", "left_semi"), order), order))
 
 
-def judge(docs: DataFrame, trusted: DataFrame, quantiles: tuple[float, float, float] = QUANTILES) -> DataFrame:
+def poor_ids(labels: DataFrame) -> DataFrame:
+    known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("best"))
+    return known.filter("best = 0").select("doc_id")
+
+
+def _thresholds(tokens: DataFrame, trusted: DataFrame, poor: DataFrame | None, quantiles: tuple[float, float, float]):
+    """[(lang, points)] of the languages with unseen trusted rows, and the points over all of them."""
+    unseen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % _UNSEEN == 0
+    model = word_grams.train(tokens.join(trusted.filter(~unseen), "doc_id", "left_semi"), discounts)
+    asked = trusted.filter(unseen).withColumn("good", F.lit(1))
+    if poor is not None:
+        asked = asked.unionByName(poor.join(trusted, "doc_id", "left_anti").select("doc_id").distinct().withColumn("good", F.lit(0)))
+    rows = write_out(tokens.join(asked, "doc_id"), "kn-asked")
+    scored = word_grams.score(rows, model).select("doc_id", "mark", F.exp(-F.col("logp") / F.col("n_symbols")).alias("p"))
+    known = write_out(scored.join(rows.select("doc_id", "mark", "lang", "good").distinct(), ["doc_id", "mark"]), "kn-known")
+    good = F.col("good") == 1
+    want = [*quantiles, *CUTS]
+    found: list[tuple[str | None, list[float]]] = []
+    everything = known.withColumn("lang", F.lit(None).cast("string"))
+    whole = [float("inf")] * 3
+    for per_language, frame in ((False, everything), (True, known)):
+        # One row per language.
+        points = frame.filter(good).groupBy("lang").agg(F.percentile_approx("p", want, 10000).alias("points"))
+        beside = frame.filter(~good).join(points.withColumnRenamed("lang", "of"), F.expr("lang <=> of")).select("lang", "p", "points")
+        passed = [F.sum((F.col("p") <= F.col("points")[i]).cast("long")).alias(f"k{i}") for i in range(3, len(want))]
+        bad = {r["lang"]: r for r in beside.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *passed).collect()}
+        for row in points.collect():
+            at = [float(x) for x in row["points"]]
+            if row["lang"] in bad:
+                b = bad[row["lang"]]
+                # Trusted rows at a quantile of theirs are kept in its share.
+                best = max(range(3, len(want)), key=lambda i: (want[i] - b[f"k{i}"] / b["n"], i))
+                at[2] = at[best]
+            if per_language:
+                found.append((row["lang"], at[:3]))
+            else:
+                whole = at[:3]
+    return found, whole
+
+
+def judge(
+    docs: DataFrame, trusted: DataFrame, quantiles: tuple[float, float, float] = QUANTILES, poor: DataFrame | None = None
+) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, threshold, bucket and kept of every row of ``docs``."""
-    scored = write_out(perplexities(docs, train(docs, trusted)), "kn-scored")
-    points = F.percentile_approx("perplexity", list(quantiles), 10000).alias("points")
-    known = write_out(scored.join(trusted, "doc_id", "left_semi").select("lang", "perplexity"), "kn-trusted")
-    # One row per language.
-    per = known.groupBy("lang").agg(points).collect()
-    whole = known.agg(points).first()["points"]
-    if whole is None:
-        whole = [float("inf")] * 3
+    mark = F.xxhash64("text", F.isnull("text"), "lang", F.isnull("lang")).alias("mark")
+    read = docs.select(F.col("doc_id").cast("long"), "lang", "text", mark)
+    tokens = write_out(word_grams.words(read, "doc_id", "lang", "mark"), "kn-words")
+    model = word_grams.train(tokens.join(trusted, "doc_id", "left_semi"), discounts)
+    sums = word_grams.score(tokens, model)
+    none = lambda kind: F.lit(None).cast(kind)
+    # Rows and sums meet in one aggregate; equal rows are counted there and come out as often.
+    both = tokens.select("doc_id", "mark", "lang", F.lit(1).alias("copies"), none("bigint").alias("n"), none("double").alias("logp")).unionByName(
+        sums.select("doc_id", "mark", none("string").alias("lang"), F.lit(0).alias("copies"), F.col("n_symbols").alias("n"), "logp")
+    )
+    one = both.groupBy("doc_id", "mark").agg(
+        F.max("lang").alias("lang"), F.sum("copies").alias("copies"), F.sum("n").alias("n"), F.sum("logp").alias("logp")
+    )
+    one = one.select(
+        "doc_id", "lang", "copies", F.coalesce((F.col("n") / F.col("copies")).cast("long"), F.lit(0).cast("long")).alias("n_symbols"),
+        F.exp(-F.col("logp") / F.col("n")).alias("perplexity"),
+    )
+    one = write_out(one, "kn-scored")
+    per, whole = _thresholds(tokens, trusted, poor, quantiles)
+    # The bound is not below what the counted trusted texts themselves come to.
+    own = one.join(trusted, "doc_id", "left_semi").groupBy("lang").agg(F.percentile_approx("perplexity", quantiles[2], 10000).alias("p"))
+    own = {r["lang"]: r["p"] for r in own.collect() if r["p"] is not None}
+    per = [(lang, [*at[:2], max(at[2], own.get(lang, 0.0))]) for lang, at in per]
+    per += [(lang, [*whole[:2], max(whole[2], p)]) for lang, p in own.items() if lang not in dict(per)]
     cut = F.lit(None).cast("array<double>")
-    for row in per:
-        cut = F.when(F.col("lang").eqNullSafe(F.lit(row["lang"])), F.array(*[F.lit(float(x)) for x in (row["points"] or whole)])).otherwise(cut)
+    for lang, points in per:
+        cut = F.when(F.col("lang").eqNullSafe(F.lit(lang)), F.array(*[F.lit(x) for x in points])).otherwise(cut)
     cut = F.coalesce(cut, F.array(*[F.lit(float(x)) for x in whole]))
-    df = scored.withColumn("_cut", cut)
+    df = one.withColumn("_cut", cut).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     p = F.col("perplexity")
     bucket = F.when(p.isNull(), None).when(p <= F.col("_cut")[0], "head").when(p <= F.col("_cut")[1], "middle").otherwise("tail")
     return df.select(

@@ -156,9 +156,9 @@ def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    """Perplexity of every document under a model of trusted text, and its place among its language's quantiles."""
-    trusted = kneser_ney.trusted_ids(table(spark, folder, "labels"))
-    return kneser_ney.judge(table(spark, folder, "documents"), trusted)
+    """Perplexity of every document under a model of trusted text, and its place among its language's thresholds."""
+    labels = table(spark, folder, "labels")
+    return kneser_ney.judge(table(spark, folder, "documents"), kneser_ney.trusted_ids(labels), poor=kneser_ney.poor_ids(labels))
 
 
 @query()

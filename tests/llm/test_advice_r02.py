@@ -1,0 +1,74 @@
+"""Cases of the second round of advice."""
+
+from __future__ import annotations
+
+import collections
+import math
+import random
+
+import edge
+import pytest
+
+from orelake.llm import kneser_ney, word_grams
+
+
+def brute_words(texts, order=3):
+    """Modified Kneser-Ney over word tuples straight from the definition."""
+    seqs = [["^"] * (order - 1) + t.split() + ["^"] for t in texts]
+    counts = {order: collections.Counter(tuple(s[i : i + order]) for s in seqs for i in range(len(s) - order + 1))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = collections.Counter(g[1:] for g in counts[k + 1])
+
+    def p(gram):
+        k = len(gram)
+        if k == 0:
+            return 1 / max(32, len(counts[1]) + 1)
+        c = counts[k]
+        n = collections.Counter(c.values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0.5
+        d = [1 - 2 * y * n[2] / n[1] if n[1] else 0.5, 2 - 3 * y * n[3] / n[2] if n[2] else 1.0, 3 - 4 * y * n[4] / n[3] if n[3] else 1.5]
+        d = [min(max(x, 0.05), i + 0.95) for i, x in enumerate(d)]
+        own = {g: v for g, v in c.items() if g[:-1] == gram[:-1]}
+        if not own:
+            return p(gram[1:])
+        mass = sum(own.values())
+        v = own.get(gram, 0)
+        return (v - d[min(v, 3) - 1] if v else 0) / mass + sum(d[min(x, 3) - 1] for x in own.values()) / mass * p(gram[1:])
+
+    return p
+
+
+def test_word_perplexity_matches_the_definition(spark):
+    known = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog", "кот сел на мат"]
+    asked = ["the cat sat on the log", "mat the on sat cat the", "zebra quagga", "кот на мат"]
+    docs = edge.rows(spark, [(i, t, "en") for i, t in enumerate([*known, *asked])])
+    got = {r.doc_id: r for r in kneser_ney.judge(docs, docs.filter("doc_id < 4").select("doc_id")).collect()}
+    p = brute_words(known)
+    for i, text in enumerate([*known, *asked]):
+        seq = ["^", "^", *text.split(), "^"]
+        logs = [math.log(p(tuple(seq[k - 2 : k + 1]))) for k in range(2, len(seq))]
+        assert got[i].n_symbols == len(logs)
+        assert got[i].perplexity == pytest.approx(math.exp(-sum(logs) / len(logs)), rel=1e-9), text
+    # Order and vocabulary tell, and so do letters beyond U+017F.
+    assert min(got[5].perplexity, got[6].perplexity) > 3 * got[4].perplexity
+    assert got[7].perplexity < got[6].perplexity
+
+
+def test_model_grows_with_the_trusted_text(spark):
+    texts = [(i, " ".join(f"w{i}x{k}" for k in range(20)), "en") for i in range(200)]
+    tokens = word_grams.words(edge.rows(spark, texts), "doc_id")
+    sizes = [word_grams.train(tokens.filter(f"doc_id < {n}"), kneser_ney.discounts).grams[3].count() for n in (50, 200)]
+    assert sizes == [50 * 21, 200 * 21]
+
+
+def test_poor_rows_set_the_threshold(spark):
+    rng = random.Random(5)
+    names = [f"w{i}" for i in range(40)]
+    good = [" ".join(names[(s + k) % 40] for k in range(60)) for s in (rng.randrange(40) for _ in range(150))]
+    bad = [" ".join(rng.sample(names, 40)) for _ in range(60)]
+    docs = edge.rows(spark, [(i, t, "en") for i, t in enumerate([*good, *bad])])
+    labels = edge.labels(spark, [(i, int(i < 150), 0) for i in range(190)])
+    out = kneser_ney.judge(docs, kneser_ney.trusted_ids(labels), poor=kneser_ney.poor_ids(labels)).collect()
+    # Shuffled words are rejected, also on rows without a label.
+    assert not [r for r in out if r.doc_id >= 150 and r.kept]
+    assert sum(r.kept for r in out if r.doc_id < 150) >= 140
