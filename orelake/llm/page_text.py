@@ -8,10 +8,11 @@ density
 with C characters and T tags in it, LC characters and LT tags of links, and LB,
 CB the same of the body (zeros count as one), so that link lists score low.  A
 node's sum adds the densities of its children and of its own text.  The node of
-the largest sum is the centre of the main text (of equals the first).  If it
-lies in an ``article`` or ``main`` element, that element is taken; otherwise the
-threshold is the least density on the path from the body to it, and siblings
-along the path that reach the threshold are taken with it.
+the largest sum is the centre of the main text (of equals the first) and is
+taken whole.  The threshold is the least density on the path from the body to
+it; siblings along the path, and runs of bare text of the nodes on it, that reach
+the threshold are taken with it.  ``article`` and ``main`` elements decide
+nothing; ``marked_text`` gives their text for comparison.
 
 Elements that are page furniture by tag, role or a word of their class or id
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
@@ -185,7 +186,8 @@ def _in_order(root: _Node) -> list[_Node]:
     return out
 
 
-def _measure(nodes: list[_Node]) -> None:
+def _measure(nodes: list[_Node]):
+    """Set the figures of all nodes; gives the density as a function."""
     for node in reversed(nodes):
         own = sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str))
         node.own, node.chars, node.tags, node.link_chars, node.link_tags = own, own, 1, 0, 0
@@ -210,26 +212,45 @@ def _measure(nodes: list[_Node]) -> None:
         node.density = density(node.chars, node.tags, node.link_chars, node.link_tags)
         inner = sum(c.density for c in node.children if isinstance(c, _Node))
         node.total = inner + (0.0 if node.tag == "a" else density(node.own, 1, 0, 0))
+    return density
 
 
-def _blocks(node: _Node, out: list[list[str]]) -> None:
-    """Text of a subtree; blocks begin and end at block elements."""
-    todo: list[tuple[_Node, int]] = [(node, 0)]
+def _blocks(node: _Node, out: list[list[str]], taken: set[int] | None = None) -> None:
+    """Text of a subtree, or of the children in ``taken`` and what lies in them; blocks begin and end at block elements."""
+    todo: list[tuple[_Node, int, bool]] = [(node, 0, taken is None or id(node) in taken)]
     out.append([])
     while todo:
-        current, i = todo.pop()
+        current, i, whole = todo.pop()
         if i == len(current.children):
             if current.tag != "a":
                 out.append([])
             continue
-        todo.append((current, i + 1))
+        todo.append((current, i + 1, whole))
         child = current.children[i]
         if isinstance(child, str):
-            out[-1].append(child)
+            if whole or (id(current), i) in taken:
+                out[-1].append(child)
         else:
             if child.tag != "a":
                 out.append([])
-            todo.append((child, 0))
+            todo.append((child, 0, whole or id(child) in taken))
+
+
+def _lines(blocks: list[list[str]]) -> str:
+    lines = (" ".join(_html.unescape("".join(parts)).split()) for parts in blocks)
+    return "\n".join(line for line in lines if line)
+
+
+def marked_text(page: str) -> str | None:
+    """Text of the page's only ``article`` (or else only ``main``) element; None if it has none or several."""
+    nodes = _in_order(parse(page))
+    for tag in ("article", "main"):
+        found = [x for x in nodes if x.tag == tag]
+        if found:
+            blocks: list[list[str]] = []
+            _blocks(found[0], blocks)
+            return _lines(blocks) if len(found) == 1 else None
+    return None
 
 
 def main_text(page: str | None) -> str:
@@ -237,27 +258,25 @@ def main_text(page: str | None) -> str:
         return ""
     root = parse(page)
     nodes = _in_order(root)
-    _measure(nodes)
+    density = _measure(nodes)
     if not root.chars:
         return ""
     best = max(nodes, key=lambda x: x.total)
     path = [best]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
-    marked = next((x for x in path if x.tag == "article"), None) or next((x for x in path if x.tag == "main"), None)
-    if marked is not None:
-        taken = [marked]
-    else:
-        threshold = min(x.density for x in path)
-        taken_ids = {id(best)}
-        for parent in path[1:]:
-            taken_ids.update(id(c) for c in parent.children if isinstance(c, _Node) and c not in path and c.density >= threshold > 0)
-        taken = [x for x in nodes if id(x) in taken_ids]
+    threshold = min(x.density for x in path)
+    taken: set = {id(best)}
+    for on, parent in zip(path, path[1:]):
+        for i, c in enumerate(parent.children):
+            if c is on:
+                continue
+            reached = density(len(" ".join(c.split())), 1, 0, 0) if isinstance(c, str) else c.density
+            if reached >= threshold > 0:
+                taken.add((id(parent), i) if isinstance(c, str) else id(c))
     blocks: list[list[str]] = []
-    for node in taken:
-        _blocks(node, blocks)
-    lines = (" ".join(_html.unescape("".join(parts)).split()) for parts in blocks)
-    return "\n".join(line for line in lines if line)
+    _blocks(root, blocks, taken)
+    return _lines(blocks)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import random
 import edge
 import pytest
 
-from orelake.llm import kneser_ney, word_grams
+from orelake.llm import kneser_ney, page_text, word_grams
 
 
 def brute_words(texts, order=3):
@@ -72,3 +72,23 @@ def test_poor_rows_set_the_threshold(spark):
     # Shuffled words are rejected, also on rows without a label.
     assert not [r for r in out if r.doc_id >= 150 and r.kept]
     assert sum(r.kept for r in out if r.doc_id < 150) >= 140
+
+
+# --- page text ---------------------------------------------------------------
+
+
+def _prose(word, n):
+    return " ".join([word] * n)
+
+
+def test_density_decides_beyond_one_article():
+    part = lambda w: f"<p>{_prose(w, 40)}</p>"
+    links = "<div>" + "".join(f"<a href='/{i}'>go {i}</a>" for i in range(12)) + "</div>"
+    text = lambda *words: "\n".join(_prose(w, 40) for w in words)
+    inner = "<article>" + part("card") * 3 + "</article>"
+    nested = f"{links}<article>{part('outer')}{inner}{part('after')}</article>{links}"
+    assert page_text.main_text(nested) == text("outer", "card", "card", "card", "after")
+    siblings = f"{links}<section><article>{part('one') * 3}</article><article>{part('two') * 2}</article></section>{links}"
+    assert page_text.main_text(siblings) == text("one", "one", "one", "two", "two")
+    bare = f"{links}<div>{_prose('bare', 40)}<div>{part('in') * 3}</div></div>{links}"
+    assert page_text.main_text(bare) == text("bare", "in", "in", "in")
