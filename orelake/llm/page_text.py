@@ -14,9 +14,12 @@ it; siblings along the path, and runs of bare text of the nodes on it, that reac
 the threshold are taken with it.  ``article`` and ``main`` elements decide
 nothing; ``marked_text`` gives their text for comparison.
 
-Elements that are page furniture by tag, role or a word of their class or id
-(menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-reader comments) are taken out before anything is counted.
+Elements that are page furniture by tag or role (menus, headers, footers, forms,
+scripts, styles) are taken out before anything is counted.  A word of the class
+or id (sidebar, notice, advert, reader comments) only raises a doubt: such an
+element goes if links are a third of its text, or unless it has ``PROSE``
+characters and is half of the page's text or half as dense (in characters a tag).
+One that holds all of the page's text stays.
 
 Character references are decoded, white space within a block becomes one space,
 and blocks are joined by a line feed in page order.  Null and empty pages, and
@@ -40,7 +43,10 @@ from pyspark.sql import functions as F
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:-->|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
 )
-_ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# Every attribute is read, so that no value is taken for a name.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# Characters from which a doubted element can be running text.
+PROSE = 100
 _NAME_PART = re.compile(r"[a-z]+")
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -68,28 +74,33 @@ _LIMITS = frozenset("ul ol dl table tbody thead tfoot select article body sectio
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "text", "chars", "tags", "link_chars", "link_tags", "own", "density", "total")
+    __slots__ = ("tag", "parent", "children", "text", "chars", "tags", "link_chars", "link_tags", "own", "density", "total", "doubted")
 
-    def __init__(self, tag: str, parent: _Node | None):
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str, parent: _Node | None, doubted: bool = False):
+        self.tag, self.parent, self.doubted = tag, parent, doubted
         # Texts and nodes in page order.
         self.children: list[str | _Node] = []
 
 
-def _is_furniture(tag: str, attributes: str, stack: list[_Node]) -> bool:
-    if tag in _FURNITURE or (tag == "header" and not any(n.tag == "article" for n in stack)):
-        return True
-    if tag in ("body", "html", "article", "main") or not attributes:
-        return False
+def _named(attributes: str, names: tuple[str, ...], words: frozenset[str]) -> bool:
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        words = _NAME_PART.findall((a or b or c).lower())
-        if any(w in (_ROLES if name.lower() == "role" else _WORDS) for w in words):
+        if name.lower() in names and any(w in words for w in _NAME_PART.findall((a or b or c).lower())):
             return True
     return False
 
 
+def _is_furniture(tag: str, attributes: str, stack: list[_Node]) -> bool:
+    if tag in _FURNITURE or (tag == "header" and not any(n.tag == "article" for n in stack)):
+        return True
+    return tag not in ("body", "html", "article", "main") and _named(attributes, ("role",), _ROLES)
+
+
+def _is_doubted(tag: str, attributes: str) -> bool:
+    return tag not in ("body", "html", "article", "main") and _named(attributes, ("class", "id"), _WORDS)
+
+
 def parse(page: str) -> _Node:
-    """Tree of what is left of a page without its furniture."""
+    """Tree of what is left of a page without what is furniture by tag or role."""
     root = _Node("body", None)
     stack = [root]
     # Open elements inside furniture: nothing of it is kept.
@@ -118,9 +129,10 @@ def parse(page: str) -> _Node:
                     continue
                 if tag not in ("body", "html", "article", "main"):
                     continue
-            if tag in _INLINE and tag != "a":
-                continue
             for i in range(len(stack) - 1, 0, -1):
+                # Inline elements stand in the tree only in doubt, and never close a block.
+                if tag in _INLINE and tag != "a" and stack[i].tag not in _INLINE:
+                    break
                 if stack[i].tag == tag:
                     del stack[i:]
                     break
@@ -164,14 +176,17 @@ def parse(page: str) -> _Node:
             if not void:
                 hidden.append(tag)
             continue
+        doubted = _is_doubted(tag, token[3])
+        # Within a doubted inline element its like are counted too, so that it ends at its own end tag.
+        kept_inline = tag in _INLINE and (doubted or any(x.tag == tag for x in stack))
         if tag in ("br", "wbr"):
             stack[-1].children.append("\n" if tag == "br" else "")
-        elif void or (tag in _INLINE and tag != "a"):
+        elif void or (tag in _INLINE and tag != "a" and not kept_inline):
             if tag == "hr":
                 stack[-1].children.append(_Node("hr", stack[-1]))
             continue
         else:
-            node = _Node(tag, stack[-1])
+            node = _Node(tag, stack[-1], doubted)
             stack[-1].children.append(node)
             stack.append(node)
     return root
@@ -215,6 +230,22 @@ def _measure(nodes: list[_Node]):
     return density
 
 
+def _settle(root: _Node) -> list[_Node]:
+    """Take the doubted elements out that are furniture by what they hold; the nodes that are left."""
+    nodes = _in_order(root)
+    if not any(x.doubted for x in nodes):
+        return nodes
+    _measure(nodes)
+    gone = set()
+    for x in nodes:
+        dense = 2 * x.chars >= root.chars or 2 * x.chars * root.tags >= root.chars * x.tags
+        if x.doubted and (3 * x.link_chars >= x.chars or not (x.chars == root.chars or x.chars >= PROSE and dense)):
+            gone.add(id(x))
+    for x in nodes:
+        x.children = [c for c in x.children if isinstance(c, str) or id(c) not in gone]
+    return _in_order(root)
+
+
 def _blocks(node: _Node, out: list[list[str]], taken: set[int] | None = None) -> None:
     """Text of a subtree, or of the children in ``taken`` and what lies in them; blocks begin and end at block elements."""
     todo: list[tuple[_Node, int, bool]] = [(node, 0, taken is None or id(node) in taken)]
@@ -222,7 +253,7 @@ def _blocks(node: _Node, out: list[list[str]], taken: set[int] | None = None) ->
     while todo:
         current, i, whole = todo.pop()
         if i == len(current.children):
-            if current.tag != "a":
+            if current.tag not in _INLINE:
                 out.append([])
             continue
         todo.append((current, i + 1, whole))
@@ -231,7 +262,7 @@ def _blocks(node: _Node, out: list[list[str]], taken: set[int] | None = None) ->
             if whole or (id(current), i) in taken:
                 out[-1].append(child)
         else:
-            if child.tag != "a":
+            if child.tag not in _INLINE:
                 out.append([])
             todo.append((child, 0, whole or id(child) in taken))
 
@@ -243,7 +274,7 @@ def _lines(blocks: list[list[str]]) -> str:
 
 def marked_text(page: str) -> str | None:
     """Text of the page's only ``article`` (or else only ``main``) element; None if it has none or several."""
-    nodes = _in_order(parse(page))
+    nodes = _settle(parse(page))
     for tag in ("article", "main"):
         found = [x for x in nodes if x.tag == tag]
         if found:
@@ -257,7 +288,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    nodes = _in_order(root)
+    nodes = _settle(root)
     density = _measure(nodes)
     if not root.chars:
         return ""

@@ -92,3 +92,18 @@ def test_density_decides_beyond_one_article():
     assert page_text.main_text(siblings) == text("one", "one", "one", "two", "two")
     bare = f"{links}<div>{_prose('bare', 40)}<div>{part('in') * 3}</div></div>{links}"
     assert page_text.main_text(bare) == text("bare", "in", "in", "in")
+
+
+def test_class_words_alone_remove_nothing():
+    body = "".join(f"<p>{_prose(w, 40)}</p>" for w in ("one", "two", "three"))
+    text = "\n".join(_prose(w, 40) for w in ("one", "two", "three"))
+    for name in ("content with-sidebar", "no-sidebar", "has-comments", "page-with-menu"):
+        assert page_text.main_text(f"<div class='{name}'>{body}</div>") == text
+    assert page_text.main_text(f"<article>{body}<section id='related-work'><p>{_prose('four', 40)}</p></section></article>").endswith("four")
+    assert _prose("five", 40) in page_text.main_text(f"<article><p class='notice'>{_prose('five', 40)}</p>{body}</article>")
+    assert page_text.main_text(f"<article><p data-id='menu' data-class='ad'>x y</p>{body}</article>") == "x y\n" + text
+    assert page_text.main_text(f"<article><p title=' class=ad '>x y</p>{body}</article>") == "x y\n" + text
+    # What holds little or links still goes.
+    links = "".join(f"<a href='/{i}'>{_prose('link', 9)}</a>" for i in range(5))
+    assert page_text.main_text(f"<article>{body}<div class='related'>{links}</div><p class='ad'>Buy now</p></article>") == text
+    assert page_text.main_text(f"<article><p>a <span class='ad'>b <span>c</span> d</span> e</p>{body}</article>") == "a e\n" + text
