@@ -51,29 +51,26 @@ def mask(rules: tuple[str, ...]) -> int:
 def _repeat_words(df: DataFrame) -> DataFrame:
     """Add ``n_repeat_words`` from the word array ``_words``.
 
-    Each window becomes one number, its hash above its position, so that one
-    primitive sort puts equal windows side by side; neighbours with an equal
-    hash are compared word by word before they count.
+    Windows are sorted by their hash, then their words, then their position, so
+    that equal windows are neighbours in texts of every size, whatever the hash.
     """
-    bits = "if(size(_words) < 1048576, 20, 31)"
+    parts = [f"get(_words, i + {k}) as w{k}" for k in range(WINDOW)]
+    hashed = ", ".join(f"get(_words, i + {k})" for k in range(WINDOW))
     df = df.withColumn(
         "_windows",
         F.expr(
             f"""sort_array(transform(
                   slice(_words, 1, greatest(size(_words) - {WINDOW - 1}, 0)),
-                  (w, i) -> shiftleft(xxhash64(w, get(_words, i + 1), get(_words, i + 2)), {bits})
-                            | cast(i as bigint)))"""
+                  (w, i) -> struct(xxhash64({hashed}) as h, {", ".join(parts)}, i as at)))"""
         ),
     )
-    at = lambda x: f"cast({x} & (shiftleft(1L, {bits}) - 1) as int)"
-    same = " AND ".join(f"get(_words, {at('a')} + {k}) = get(_words, {at('b')} + {k})" for k in range(WINDOW))
+    same = " AND ".join(f"a.{x} = b.{x}" for x in ("h", *[f"w{k}" for k in range(WINDOW)]))
     df = df.withColumn(
         "_found",
         F.expr(
             f"""flatten(filter(
                   zip_with(_windows, slice(_windows, 2, greatest(size(_windows) - 1, 0)),
-                    (a, b) -> if(shiftrightunsigned(a, {bits}) = shiftrightunsigned(b, {bits}) AND {same},
-                                 array({at('a')}, {at('b')}), null)),
+                    (a, b) -> if({same}, array(a.at, b.at), null)),
                   x -> x is not null))"""
         ),
     )

@@ -9,7 +9,7 @@ import random
 import edge
 import pytest
 
-from orelake.llm import kneser_ney, page_text, word_grams
+from orelake.llm import kneser_ney, page_text, quality_rules, word_grams
 
 
 def brute_words(texts, order=3):
@@ -107,3 +107,16 @@ def test_class_words_alone_remove_nothing():
     links = "".join(f"<a href='/{i}'>{_prose('link', 9)}</a>" for i in range(5))
     assert page_text.main_text(f"<article>{body}<div class='related'>{links}</div><p class='ad'>Buy now</p></article>") == text
     assert page_text.main_text(f"<article><p>a <span class='ad'>b <span>c</span> d</span> e</p>{body}</article>") == "a e\n" + text
+
+
+# --- quality rules -----------------------------------------------------------
+
+
+def test_repeats_of_windows_that_share_a_cut_hash(spark):
+    names = spark.range(600_000).selectExpr("concat('a', id) as w", "xxhash64(concat('a', id), 'b', 'c') & ((1L << 33) - 1) as h")
+    a, b = sorted(names.groupBy("h").agg({"w": "collect_list"}).filter("size(`collect_list(w)`) = 2").first()[1])
+    fill = [f"f{i}" for i in range(1 << 20)]
+    window = lambda w: [w, "b", "c"]
+    words = [*window(a), "x1", *window(b), "x2", *window(a), *fill]
+    row = quality_rules.ledger(edge.rows(spark, [(1, " ".join(words), "en")])).first()
+    assert row.n_words == len(words) and row.n_repeat_words == 6
