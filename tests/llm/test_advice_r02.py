@@ -9,7 +9,7 @@ import random
 import edge
 import pytest
 
-from orelake.llm import kneser_ney, page_text, quality_rules, word_grams
+from orelake.llm import kneser_ney, mixing, page_text, quality_rules, word_grams
 
 
 def brute_words(texts, order=3):
@@ -120,3 +120,16 @@ def test_repeats_of_windows_that_share_a_cut_hash(spark):
     words = [*window(a), "x1", *window(b), "x2", *window(a), *fill]
     row = quality_rules.ledger(edge.rows(spark, [(1, " ".join(words), "en")])).first()
     assert row.n_words == len(words) and row.n_repeat_words == 6
+
+
+# --- mixing ------------------------------------------------------------------
+
+
+def test_clean_documents_stay_where_most_words_are_clean(spark):
+    rows = [(i, 100, 1.0, 0.0, 0.0) for i in range(970)] + [(i, 100, 0.0, 1.0, 0.0) for i in range(970, 990)]
+    rows += [(i, 100, 0.3, 0.0, 0.7) for i in range(990, 1000)]
+    member = spark.createDataFrame(rows, "doc_id bigint, n_tokens bigint, p0 double, p1 double, p2 double")
+    out = member.select("*", mixing.rate(mixing.fit(member)).alias("rate")).toPandas()
+    assert out.rate[out.p0 == 1].min() >= 1 - 1e-6
+    words = (out[["p0", "p1", "p2"]].values * out.rate.values[:, None]).sum(axis=0)
+    assert abs(words / words.sum() - mixing.TARGETS).max() < 2 * mixing.RESIDUAL
