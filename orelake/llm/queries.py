@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orelake.llm import (
     exact_dedup,
     kneser_ney,
+    merkle_manifest,
     mixing,
     near_dedup,
     page_text,
@@ -165,3 +166,56 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document."""
     return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def _manifest_sql(levels: int, upper: int) -> str:
+    """Trees of up to 8 ** levels leaves a language, and 8 ** upper languages, level by level."""
+
+    def level(made: str, path: str, k: int) -> str:
+        run = "PARTITION BY tree, pos // 8 ORDER BY pos ROWS BETWEEN"
+        return f""",
+{made}s{k} AS (
+  SELECT *, count(*) OVER (PARTITION BY tree) AS n,
+         coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {made}{k}),
+{made}{k + 1} AS (
+  SELECT tree, pos // 8 AS pos, CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY pos)) END AS d
+  FROM {made}s{k} GROUP BY tree, pos // 8),
+{path}{k + 1} AS (
+  SELECT p.* REPLACE (p.pos // 8 AS pos, CASE WHEN n = 1 THEN folded ELSE sha256(before || folded || after) END AS folded,
+                      CASE WHEN n = 1 THEN proof ELSE proof || before || after END AS proof)
+  FROM {path}{k} AS p JOIN {made}s{k} USING (tree, pos))"""
+
+    field = lambda x: f"coalesce(strlen(({x})::VARCHAR) || ':' || ({x}), '-')"
+    leaf = lambda text: "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+    # One bit of the checksum a step; a byte of the id enters every eighth.
+    byte = "(CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(doc_id::VARCHAR, i // 8 + 1, 1))) ELSE c END)"
+    return f"""
+WITH crc AS (
+  SELECT *, xor(4294967295, list_reduce(range(8 * strlen(doc_id::VARCHAR)), lambda c, i:
+      xor({byte} // 2, CASE WHEN {byte} % 2 = 1 THEN 3988292384 ELSE 0 END), 4294967295::BIGINT)) % 3 = 0 AS tampered
+  FROM documents),
+leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {leaf("text")} AS d,
+         CASE WHEN tampered THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS fresh
+  FROM crc),
+p0 AS (
+  SELECT doc_id, tree, d AS leaf, coalesce(fresh, d) AS folded, '' AS proof,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, d) - 1 AS pos
+  FROM leaves),
+t0 AS (SELECT tree, pos, leaf AS d FROM p0){"".join(level("t", "p", k) for k in range(levels))},
+u0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, d FROM t{levels}),
+named AS (SELECT tree AS language, row_number() OVER (ORDER BY tree) - 1 AS pos, d AS subroot FROM t{levels}),
+q0 AS (
+  SELECT doc_id, leaf, folded, proof, subroot, '' AS tree, named.pos AS pos
+  FROM p{levels} AS p JOIN named ON named.language = p.tree){"".join(level("u", "q", k) for k in range(upper))}
+SELECT doc_id, leaf, subroot, u.d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = u.d AS verified
+FROM q{upper} CROSS JOIN u{upper} AS u
+"""
+
+
+@query(_manifest_sql(8, 2))
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of every document, checked after a third of the texts was changed."""
+    return merkle_manifest.audit(table(spark, folder, "documents"))
