@@ -17,8 +17,10 @@ from orelake.llm import (
     personal_data,
     piece_sampling,
     quality_rules,
+    source_audit,
     toxicity,
     url_filters,
+    warc_archive,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,3 +221,57 @@ FROM q{upper} CROSS JOIN u{upper} AS u
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Leaf, roots and proof of every document, checked after a third of the texts was changed."""
     return merkle_manifest.audit(table(spark, folder, "documents"))
+
+
+@query(
+    """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, n AS payload_bytes, sha256(h) AS payload_digest,
+       CASE WHEN n < 100 OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM p
+"""
+)
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page after it was written to an archive and read back."""
+    return warc_archive.archived(table(spark, folder, "pages"))
+
+
+@query(
+    r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+kept AS (SELECT lang, t FROM (SELECT lang, unnest(list_distinct(w)) AS t FROM d) GROUP BY ALL HAVING count(*) >= 10),
+seen AS (SELECT lang, source, t, count(*) AS c FROM (SELECT lang, source, unnest(w) AS t FROM d) JOIN kept USING (lang, t) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM d),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+cells AS (
+  SELECT g.lang, g.source, kept.t, coalesce(c, 0) AS c, v, sum(coalesce(c, 0)) OVER (PARTITION BY g.lang, g.source) AS n
+  FROM groups AS g JOIN kept USING (lang) JOIN sizes USING (lang) LEFT JOIN seen ON (seen.lang, seen.source, seen.t) = (g.lang, g.source, kept.t)),
+p AS (SELECT *, (1 + 1000000000::HUGEINT * (c + 2) // (n + 2 * v))::BIGINT AS p FROM cells),
+whole AS (SELECT lang, t, v, sum(c) AS c, sum(sum(c)) OVER (PARTITION BY lang) AS n FROM cells GROUP BY lang, t, v),
+q AS (SELECT lang, t, (1 + 1000000000::HUGEINT * (c + 2) // (n + 2 * v))::BIGINT AS q FROM whole),
+met AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN met ON (met.lang, met.source, met.item) = (a.lang, a.source, b.source)),
+terms AS (
+  SELECT lang, source, 'term' AS part, t AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM p JOIN q USING (lang, t) WHERE c > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (FROM pairs UNION ALL FROM terms))
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+)
+def op12_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Divergence of every two sources of a language, and the terms that stand out in each source."""
+    return source_audit.audit(table(spark, folder, "documents"))
