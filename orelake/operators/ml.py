@@ -2,6 +2,10 @@
 
 Data stays in Spark from split to prediction table; the driver sees scores,
 parameters and one importance per feature.
+
+Ensembles are compared in stages: the settings of a grid that differ in the
+number of trees only share one fit per fold, whose first trees are scored as the
+smaller models (``prefix``).  Fits of different folds and settings run side by side.
 """
 
 from __future__ import annotations
@@ -13,16 +17,16 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -33,18 +37,19 @@ from orelake.operators.evaluate import auc, confusion_cells, pick_champion, rank
 from orelake.operators.ranking import merge_groups
 from orelake.operators.sampling import balanced_folds
 from orelake.schemas import CONFUSION, IMPORTANCE, MODEL_SCORES, PREDICTIONS
-from orelake.storage import write_out
+from orelake.storage import shared_folder, write_out
 
 FRAMEWORK = "spark.ml"
 
 
 @dataclass(frozen=True)
 class Candidate:
-    """A classifier with the settings to try."""
+    """A classifier with the settings to try; ``size`` names the parameter that counts an ensemble's trees."""
 
     name: str
     estimator: Estimator
     grid: Sequence[Mapping[str, Any]] = ({},)
+    size: str | None = None
 
 
 @dataclass
@@ -67,12 +72,12 @@ def logistic(grid: Sequence[Mapping[str, Any]] | None = None) -> Candidate:
 def random_forest(grid: Sequence[Mapping[str, Any]] | None = None, seed: int = SEED) -> Candidate:
     """Depth 30 is the deepest tree Spark grows and stands for unlimited."""
     grid = grid or [{"numTrees": n, "maxDepth": d} for n in (50, 100) for d in (5, 10, 30)]
-    return Candidate("RandomForest", RandomForestClassifier(seed=seed), grid)
+    return Candidate("RandomForest", RandomForestClassifier(seed=seed), grid, "numTrees")
 
 
 def boosting(grid: Sequence[Mapping[str, Any]] | None = None, seed: int = SEED) -> Candidate:
     grid = grid or [{"maxIter": n, "maxDepth": d, "stepSize": 0.1} for n in (50, 100) for d in (3, 5)]
-    return Candidate("GradientBoosting", GBTClassifier(seed=seed), grid)
+    return Candidate("GradientBoosting", GBTClassifier(seed=seed), grid, "maxIter")
 
 
 def training_set(df: DataFrame, label: str, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -91,45 +96,87 @@ def fit_features(train: DataFrame, features: Sequence[str]) -> PipelineModel:
     return PipelineModel([assembler, scaler.fit(assembler.transform(train))])
 
 
+def prefix(model: Model, size: int) -> Model:
+    """The ensemble of the first ``size`` trees of a fitted one, a model like any other.
+
+    Boosted trees are fitted one after another, so their prefix is what fewer rounds
+    would have given; a forest's trees are drawn alike, so any of them are a forest.
+    ``pyspark.ml`` has no public constructor for it: the one of the JVM class is called.
+    """
+    java = model._java_obj
+    trees = list(java.trees())
+    if size >= len(trees):
+        return model
+    gateway = SparkContext._active_spark_context._gateway
+    kind = java.getClass().getName()
+    part = gateway.new_array(getattr(gateway.jvm, trees[0].getClass().getName()), size)
+    for i, tree in enumerate(trees[:size]):
+        part[i] = tree
+    parts = [f"{model.uid}_{size}", part]
+    if kind.endswith("GBTClassificationModel"):
+        weights = gateway.new_array(gateway.jvm.double, size)
+        for i, weight in enumerate(list(java.treeWeights())[:size]):
+            weights[i] = weight
+        parts.append(weights)
+    smaller = getattr(gateway.jvm, kind)(*parts, java.numFeatures(), java.numClasses())
+    settings = gateway.jvm.org.apache.spark.ml.param.ParamMap()
+    settings.put(java.getParam("maxIter" if kind.endswith("GBTClassificationModel") else "numTrees"), size)
+    java.copyValues(smaller, settings)
+    return type(model)(smaller)
+
+
+def _families(candidate: Candidate) -> list[tuple[dict[str, Any], list[tuple[int, int | None]]]]:
+    """Settings that one fit serves: what they share (with the largest size), and each one's place in the grid and size."""
+    families: dict[tuple, list[int]] = {}
+    for i, setting in enumerate(candidate.grid):
+        alone = candidate.size is None or candidate.size not in setting
+        shared = (i,) if alone else tuple(sorted((k, repr(v)) for k, v in setting.items() if k != candidate.size))
+        families.setdefault(shared, []).append(i)
+    found = []
+    for places in families.values():
+        sizes = [candidate.grid[i].get(candidate.size) if candidate.size else None for i in places]
+        largest = max(range(len(places)), key=lambda k: sizes[k] or 0)
+        found.append((dict(candidate.grid[places[largest]]), list(zip(places, sizes))))
+    return found
+
+
 def _best_model(
     candidate: Candidate, prepared: DataFrame, folds: int, parallelism: int
 ) -> tuple[Model, dict[str, Any]]:
-    """Cross-validated choice; a setting that fails is left out."""
+    """Choice by mean AUC over the folds; a setting that fails is left out."""
     estimator = candidate.estimator
-    settings = list(candidate.grid)
-    maps = [{estimator.getParam(k): v for k, v in s.items()} for s in settings]
-    if len(maps) == 1:
-        return estimator.fit(prepared, maps[0]), dict(settings[0])
-
-    def search(some: list[dict]) -> tuple[Model, float, int]:
-        validator = CrossValidator(
-            estimator=estimator,
-            estimatorParamMaps=some,
-            # numBins=0: the curve has a point per distinct score.
-            evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-        ).fit(prepared)
-        best = max(range(len(some)), key=lambda i: validator.avgMetrics[i])
-        return validator.bestModel, validator.avgMetrics[best], best
-
-    try:
-        model, _, place = search(maps)
-        return model, dict(settings[place])
-    except Exception as error:  # noqa: BLE001 - any setting may fail in its own way
-        warnings.warn(f"{candidate.name}: {error}; trying its settings one by one", stacklevel=2)
-    tried = []
-    for i, single in enumerate(maps):
+    params = lambda setting: {estimator.getParam(k): v for k, v in setting.items()}
+    settings = [dict(s) for s in candidate.grid]
+    if len(settings) == 1:
+        return estimator.fit(prepared, params(settings[0])), settings[0]
+    # numBins=0: the curve has a point per distinct score.
+    evaluator = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
+
+    def fold_scores(task: tuple[tuple, int]) -> list[tuple[int, float]]:
+        (setting, members), fold = task
         try:
-            model, score, _ = search([single])
-            tried.append((score, -i, model))
+            model = estimator.fit(prepared.filter(F.col("fold") != fold), params(setting))
+            held_out = prepared.filter(F.col("fold") == fold)
+            return [(i, evaluator.evaluate((prefix(model, n) if n else model).transform(held_out))) for i, n in members]
+        except Exception as error:  # noqa: BLE001 - any setting may fail in its own way
+            warnings.warn(f"{candidate.name} {setting}: {error}", stacklevel=2)
+            return []
+
+    tasks = [(family, fold) for family in _families(candidate) for fold in range(folds)]
+    # The longest fits first, so that none is left for the end.
+    tasks.sort(key=lambda t: str(sorted(t[0][0].items())), reverse=True)
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        scores = [found for some in pool.map(fold_scores, tasks, chunksize=1) for found in some]
+    sums: dict[int, list[float]] = {}
+    for i, score in scores:
+        sums.setdefault(i, []).append(score)
+    whole = {i: sum(s) / folds for i, s in sums.items() if len(s) == folds}
+    for place in sorted(whole, key=lambda i: (-whole[i], i)):
+        try:
+            return estimator.fit(prepared, params(settings[place])), settings[place]
         except Exception as error:  # noqa: BLE001
-            warnings.warn(f"{candidate.name} {settings[i]}: {error}", stacklevel=2)
-    if not tried:
-        raise RuntimeError(f"{candidate.name}: no setting could be trained")
-    score, place, model = max(tried, key=lambda t: t[:2])
-    return model, dict(settings[-place])
+            warnings.warn(f"{candidate.name} {settings[place]}: {error}", stacklevel=2)
+    raise RuntimeError(f"{candidate.name}: no setting could be trained")
 
 
 def score_rows(model: Model, df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -152,19 +199,23 @@ def train_candidates(
     folds: int = FOLDS,
     seed: int = SEED,
     parallelism: int = 1,
+    partitions: int | None = None,
 ) -> list[Trained]:
     """Fit every candidate and score it on train and test.
 
     A candidate that cannot be trained is left out; none at all is an error.
+    ``partitions`` lays a small training set together: a boosted model takes hundreds
+    of short jobs, each with a task per partition.
     """
+    context = train.sparkSession.sparkContext
+    # Boosting cuts its growing lineage there.
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{shared_folder(train.sparkSession)}/checkpoints")
     steps = fit_features(train, features)
     # Another seed than the split, so that folds do not follow its buckets.
     folded = balanced_folds(train, keys, "label", folds, seed + 1)
-    prepared = (
-        steps.transform(folded)
-        .select("label", "features", "fold")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    prepared = steps.transform(folded).select("label", "features", "fold")
+    prepared = (prepared if partitions is None else prepared.coalesce(partitions)).persist(StorageLevel.MEMORY_AND_DISK)
     trained = []
     try:
         for candidate in candidates:
@@ -295,6 +346,34 @@ def save_champion(spark: SparkSession, champion: Trained, features: Sequence[str
     return target
 
 
+def keep_models(trained: Sequence[Trained], folder: str) -> None:
+    """Keep fitted candidates with their scores and scored rows under ``folder``, for ``kept_models``; the marker comes last."""
+    for one in trained:
+        one.model.write().overwrite().save(f"{folder}/{one.name}/model")
+        one.scored_test.write.mode("overwrite").parquet(f"{folder}/{one.name}/scored")
+    spark = trained[0].scored_test.sparkSession
+    rows = [(i, t.name, json.dumps(t.best_params), t.seconds, json.dumps(t.scores)) for i, t in enumerate(trained)]
+    spark.createDataFrame(rows, _KEPT).coalesce(1).write.mode("overwrite").parquet(f"{folder}/index")
+
+
+_KEPT = "place int, name string, best_params string, seconds double, scores string"
+
+
+def kept_models(spark: SparkSession, folder: str) -> list[Trained] | None:
+    """What ``keep_models`` left under ``folder``, or None."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/index/_SUCCESS")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None
+    rows = spark.read.schema(_KEPT).parquet(f"{folder}/index").orderBy("place").collect()
+    return [
+        Trained(
+            r.name, PipelineModel.load(f"{folder}/{r.name}/model"), json.loads(r.best_params), r.seconds,
+            spark.read.parquet(f"{folder}/{r.name}/scored"), json.loads(r.scores),
+        )
+        for r in rows
+    ]
+
+
 def load_champion(folder: str) -> PipelineModel:
     return PipelineModel.load(f"{folder.rstrip('/')}/model")
 

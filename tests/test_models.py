@@ -99,7 +99,7 @@ def test_result_tables(spark, rows, trained):
 def test_saved_champion_scores_alike(spark, rows, trained, folder):
     champion = ml.champion_of(trained)
     target = ml.save_champion(spark, champion, FEATURES, folder, *RUN)
-    assert target.endswith("champion_20200102_030405")
+    assert target.endswith("champion_20200102_030405_r1")
     record = json.loads(spark.read.text(f"{target}/metadata").first().value)
     assert record["champion"] == champion.name and record["feature_cols"] == FEATURES
     _, test = sampling.split(rows, KEYS, "label")
@@ -108,6 +108,72 @@ def test_saved_champion_scores_alike(spark, rows, trained, folder):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, first.collect()))
 
 
+def test_prefix_scores_like_its_trees_one_by_one(rows):
+    train, test = sampling.split(rows, KEYS, "label")
+    steps = ml.fit_features(train, FEATURES)
+    prepared, held_out = steps.transform(train), steps.transform(test)
+    points = [(r.name, r.features) for r in held_out.select("name", "features").collect()]
+
+    def vote(tree, x):
+        """Class counts of the leaf that ``x`` falls into, or the leaf's value."""
+        node = tree._java_obj.rootNode()
+        while node.getClass().getSimpleName() == "InternalNode":
+            split = node.split()
+            node = node.leftChild() if x[split.featureIndex()] <= split.threshold() else node.rightChild()
+        return node
+
+    forest = ml.RandomForestClassifier(seed=3, numTrees=6, maxDepth=4).fit(prepared)
+    some = ml.prefix(forest, 4)
+    assert (some.getNumTrees, forest.getNumTrees) == (4, 6) and some.getFeaturesCol() == "features"
+    got = {r.name: r.prob for r in ml.score_rows(some, held_out, ["name"]).collect()}
+    for name, x in points:
+        votes = [list(vote(t, x).impurityStats().stats()) for t in forest.trees[:4]]
+        assert got[name] == pytest.approx(sum(s[1] / sum(s) for s in votes) / 4, abs=1e-12)
+
+    boosted = ml.GBTClassifier(seed=3, maxIter=6, maxDepth=2, stepSize=0.1).fit(prepared)
+    got = {r.name: r.prob for r in ml.score_rows(ml.prefix(boosted, 4), held_out, ["name"]).collect()}
+    for name, x in points:
+        margin = sum(w * vote(t, x).prediction() for w, t in zip(boosted.treeWeights[:4], boosted.trees[:4]))
+        assert got[name] == pytest.approx(1 / (1 + np.exp(-2 * margin)), abs=1e-12)
+    fewer = ml.GBTClassifier(seed=3, maxIter=4, maxDepth=2, stepSize=0.1).fit(prepared)
+    assert {r.name: r.prob for r in ml.score_rows(fewer, held_out, ["name"]).collect()} == got
+
+
+def test_sizes_of_an_ensemble_share_fits(rows, monkeypatch):
+    fits = []
+    fit = ml.RandomForestClassifier.fit
+    monkeypatch.setattr(ml.RandomForestClassifier, "fit", lambda self, df, params=None: (fits.append(params), fit(self, df, params))[1])
+    train, test = sampling.split(rows, KEYS, "label")
+    grid = [{"numTrees": n, "maxDepth": d} for n in (2, 4) for d in (2, 3)]
+    one = ml.train_candidates(train, test, FEATURES, KEYS, [ml.random_forest(grid)], folds=3, parallelism=4, partitions=1)[0]
+    # Three folds of two depths, and the chosen setting.
+    assert len(fits) == 7 and one.best_params in grid and one.model.stages[-1].getNumTrees == one.best_params["numTrees"]
+
+
+def test_logistic_coefficients_match_newton_steps(rows):
+    train, _ = sampling.split(rows, KEYS, "label")
+    prepared = ml.fit_features(train, FEATURES).transform(train)
+    model = ml.LogisticRegression(standardization=False, regParam=0.01, maxIter=200, tol=1e-12).fit(prepared)
+    pairs = [(list(r.features), r.label) for r in prepared.select("features", "label").collect()]
+    x = np.hstack([np.array([p for p, _ in pairs]), np.ones((len(pairs), 1))])
+    y = np.array([label for _, label in pairs])
+    weights, penalty = np.zeros(3), np.diag([0.01, 0.01, 0.0])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-x @ weights))
+        gradient = x.T @ (p - y) / len(y) + penalty @ weights
+        weights -= np.linalg.solve((x.T * (p * (1 - p))) @ x / len(y) + penalty, gradient)
+    assert [*model.coefficients, model.intercept] == pytest.approx(list(weights), abs=1e-6)
+
+
+def test_kept_models_come_back(spark, trained, folder):
+    assert ml.kept_models(spark, folder) is None
+    ml.keep_models(trained, folder)
+    again = ml.kept_models(spark, folder)
+    assert [(t.name, t.best_params, t.scores) for t in again] == [(t.name, t.best_params, t.scores) for t in trained]
+    for one, other in zip(trained, again):
+        assert sorted(map(tuple, one.scored_test.collect())) == sorted(map(tuple, other.scored_test.collect()))
+
+
 def test_failing_settings_and_candidates_are_left_out(rows):
     train, test = sampling.split(rows, KEYS, "label")
     # Depth 31 is more than Spark grows: it fails when set.
