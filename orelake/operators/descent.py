@@ -14,6 +14,7 @@ starting weights, 0.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -31,7 +32,7 @@ from orelake.operators.scaling import zscore
 from orelake.storage import write_out
 
 MOMENTUM = 0.9
-BATCHES = 4
+BATCHES = 2
 
 # The settings that are tried: learning rate and epochs.
 GRID = ({"learningRate": 0.001, "epochs": 50}, {"learningRate": 0.001, "epochs": 100}, {"learningRate": 0.0005, "epochs": 100})
@@ -54,18 +55,18 @@ class Descent:
     scores: dict[str, float] | None = None
 
     def probability(self, features: str = "features") -> Column:
-        return _sigmoid(_margin(features, self.weights))
+        return F.expr(_probability(f"`{features}`", self.weights))
 
 
-def _margin(features: str, weights: Sequence[float]) -> Column:
-    """Weights are one array, so that steps share their generated code."""
-    held = F.array(*[F.lit(float(w)) for w in weights])
-    with_one = F.concat(F.col(features), F.array(F.lit(1.0)))
-    return F.aggregate(F.zip_with(with_one, held, lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
+def _number(x: float) -> str:
+    return f"{x!r}D" if math.isfinite(x) else f"double('{x}')"
 
 
-def _sigmoid(x: Column) -> Column:
-    return 1.0 / (1.0 + F.exp(-x))
+def _probability(features: str, weights: Sequence[float]) -> str:
+    """SQL of the probability of class 1; one text per model keeps a step's planning short."""
+    *inner, start = map(_number, map(float, weights))
+    dot = f"aggregate(zip_with({features}, array({', '.join(inner)}), (a, b) -> a * b), {start}, (total, x) -> total + x)"
+    return f"1D / (1D + exp(-{dot}))"
 
 
 def with_batches(df: DataFrame, keys: Sequence[str], batches: int = BATCHES, seed: int = SEED) -> DataFrame:
@@ -95,15 +96,13 @@ def descend(
         for batch in by_batch:
             gaps = []
             for i, (learner, own) in enumerate(zip(learners, weights)):
-                seen = F.lit(True) if learner.without is None else F.col("fold") != learner.without
-                gaps.append(F.when(seen, _sigmoid(_margin("features", own)) - F.col("label")).alias(f"gap{i}"))
-            inputs = [*[F.col("features")[j] for j in range(n_features)], F.lit(1.0)]
-            sums = batch.select(*gaps, "features").agg(
-                *[
-                    F.array(F.count(f"gap{i}").cast("double"), *[F.sum(F.col(f"gap{i}") * x) for x in inputs])
-                    for i in range(len(learners))
-                ]
-            ).first()
+                seen = "true" if learner.without is None else f"fold <> {learner.without}"
+                gaps.append(f"CASE WHEN {seen} THEN {_probability('features', own)} - label END AS gap{i}")
+            inputs = [*[f"features[{j}]" for j in range(n_features)], "1D"]
+            totals = [
+                f"array(double(count(gap{i})), {', '.join(f'sum(gap{i} * {x})' for x in inputs)}) AS m{i}" for i in range(len(learners))
+            ]
+            sums = batch.selectExpr("features", *gaps).selectExpr(*totals).first()
             for i, learner in enumerate(learners):
                 n, *total = sums[i]
                 if not n:
@@ -118,7 +117,7 @@ def descend(
 def _scored(rows: DataFrame, models: Sequence[tuple[str, Sequence[float], Column]]) -> DataFrame:
     """Rows (model_name, label, prediction, prob), one per model that scores the row."""
     one_each = [
-        F.when(where, F.struct(F.lit(name).alias("model_name"), _sigmoid(_margin("features", weights)).alias("prob")))
+        F.when(where, F.struct(F.lit(name).alias("model_name"), F.expr(_probability("features", weights)).alias("prob")))
         for name, weights, where in models
     ]
     scored = rows.select(F.col("label").cast("int").alias("label"), F.explode(F.array_compact(F.array(*one_each))).alias("m"))
