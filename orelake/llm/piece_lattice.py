@@ -10,7 +10,12 @@ Forward filtering sums the weight of all paths into every vertex; backward
 sampling then draws, from the end of each segment to its start, an edge in
 proportion to the weight of the paths that end with it.  The draws of a text
 come from its row key, the number of the segment and of the step, so they do
-not depend on the batch, the partition or the executor.
+not depend on the batch, the partition or the executor.  Shares and draws are
+multiples of 2**-30, which the tables hold exactly beside a place in them.
+
+Lattices are kept in two generations of at most ``_EDGES`` edges together: when the
+younger one is full, the older one goes.  A text is read in pieces of ``_CHUNK``
+characters or the segment that is longer.
 
 A piece of rank r has the weight 1 / (r + 1) ** sharpness.  Characters without
 a piece become their bytes.
@@ -27,8 +32,11 @@ _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _A, _B = _U(0xD1B54A32D192ED03), _U(0x8CB92BA72F3D8DD7)
 _SEGMENT = re.compile(r" *[^ \n]+| +|\n")
-# Edges that are kept before the lattices are built anew.
-_EDGES = 5_000_000
+# Edges that are kept in both generations together.
+_EDGES = 1_000_000
+# Characters that are sampled at a time.
+_CHUNK = 256 << 10
+_GRID = float(1 << 30)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -63,6 +71,35 @@ class Vocabulary:
         return Vocabulary(tuple(pieces), tuple(-model.get_score(i) for i in range(n)), tuple(bytes_))
 
 
+class _Generation:
+    """Lattices of segments: per edge where its share ends (vertex + share), the vertex before and the piece; grown in place."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, int] = {}
+        self.bound, self.before, self.piece = np.empty(0), np.empty(0, np.int32), np.empty(0, np.int32)
+        self.last, self.first = np.empty(0, np.int32), np.empty(0, np.int32)
+        self.edges = self.vertices = self.segments = 0
+
+    @staticmethod
+    def _put(held: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+        if used + len(more) > len(held):
+            grown = np.empty(max(used + len(more), len(held) * 3 // 2, 1024), held.dtype)
+            grown[:used] = held[:used]
+            held = grown
+        held[used : used + len(more)] = more
+        return held
+
+    def add(self, bound: np.ndarray, before: np.ndarray, piece: np.ndarray, last: np.ndarray, first: np.ndarray, vertices: int) -> None:
+        self.bound = self._put(self.bound, self.edges, bound + self.vertices)
+        self.before = self._put(self.before, self.edges, before + self.vertices)
+        self.piece = self._put(self.piece, self.edges, piece)
+        self.last = self._put(self.last, self.segments, last + self.vertices)
+        self.first = self._put(self.first, self.segments, first + self.vertices)
+        self.edges += len(bound)
+        self.segments += len(last)
+        self.vertices += vertices
+
+
 class Sampler:
     """Lattices of the segments met so far and the draws over them."""
 
@@ -93,18 +130,10 @@ class Sampler:
         self.spelling = [(p or "").encode() for p in vocabulary.pieces]
         for b, i in enumerate(vocabulary.bytes_):
             self.spelling[i] = bytes([b])
-        self.reset()
-
-    def reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ends: list[np.ndarray] = []
-        self.starts: list[np.ndarray] = []
-        self.tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.vertices = self.edges = 0
-        self.joined = None
+        self.young, self.old = _Generation(), _Generation()
 
     def _build(self, segments: list[str]) -> None:
-        """Append the lattices of new segments."""
+        """Append the lattices of new segments to the younger generation."""
         length = np.array([len(s) for s in segments])
         code = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), np.uint32).astype(_U)
         n = len(code)
@@ -162,80 +191,110 @@ class Sampler:
         run = np.cumsum(chance)
         run -= np.repeat(run[first] - chance[first], width)
         run[np.append(first[1:], len(end)) - 1] = 1.0
-        self.tables.append((end + self.vertices + np.minimum(run, 1.0), start + self.vertices, piece))
-        last = np.cumsum(length + 1) - 1 + self.vertices
-        self.ends.append(last)
-        self.starts.append(last - length)
-        self.vertices += total
-        self.edges += len(end)
-        self.joined = None
+        share = np.minimum(np.rint(np.minimum(run, 1.0) * _GRID), _GRID) / _GRID
+        last = np.cumsum(length + 1) - 1
+        self.young.add(end + share, start, piece, last, last - length, total)
 
-    def encode(self, keys: list[int], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces of all texts one after another, and how many each text has."""
-        if self.edges > _EDGES:
-            self.reset()
-        known, new = self.known, []
-        numbers: list[int] = []
-        per_text = []
-        for text in texts:
-            parts = _SEGMENT.findall(" " + text) if text else []
-            per_text.append(len(parts))
-            for part in parts:
-                i = known.get(part)
-                if i is None:
-                    i = known[part] = len(known)
-                    new.append(part)
-                numbers.append(i)
-        if not numbers:
-            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-        if new:
-            self._build(new)
-        if self.joined is None:
-            tables = [np.concatenate(x) for x in zip(*self.tables)]
-            self.tables = [tuple(tables)]
-            self.ends, self.starts = [np.concatenate(self.ends)], [np.concatenate(self.starts)]
-            self.joined = tables
-        bound, before, piece = self.joined
-        per_text = np.array(per_text)
-        n = len(numbers)
-        numbers = np.array(numbers)
-        own = np.arange(n) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-        row = np.repeat(_mix(np.array(keys, np.int64).view(_U) + _U(self.seed) * _A + _B), per_text)
-        seed = _mix(row + own.astype(_U) * _A)
+    def _draw(self, held: _Generation, numbers: np.ndarray, seed: np.ndarray, token: np.ndarray, drawn: list, count: np.ndarray) -> None:
+        """Walk from the end of each token's segment to its start; ``drawn`` gets (tokens, pieces) of each step."""
+        bound, before, piece = held.bound[: held.edges], held.before, held.piece
         # Neighbouring look-ups stay near each other.
-        token = np.argsort(numbers, kind="stable")
-        at, stop, seed = self.ends[0][numbers[token]], self.starts[0][numbers[token]], seed[token]
-        drawn, count, step = [], np.zeros(n, np.int64), 0
+        order = np.argsort(numbers, kind="stable")
+        at, stop, seed, token = held.last[numbers[order]], held.first[numbers[order]], seed[order], token[order]
+        step = 0
         while len(token):
             turn = _U((step + 1) * int(_B) & 0xFFFFFFFFFFFFFFFF)
-            u = (_mix(seed + turn) >> _U(11)).astype(np.float64) * 2.0**-53
+            u = (_mix(seed + turn) >> _U(34)).astype(np.float64) / _GRID
             edge = np.searchsorted(bound, at + u, "right")
-            drawn.append((token, piece[edge]))
+            if step == len(drawn):
+                drawn.append([])
+            drawn[step].append((token, piece[edge]))
             count[token] += 1
             at = before[edge]
             on = at > stop
             token, at, stop, seed = token[on], at[on], stop[on], seed[on]
             step += 1
+
+    def _sample(self, parts: list[str], seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of segments one after another, and how many each has."""
+        if self.young.edges > _EDGES // 2:
+            self.old, self.young = self.young, _Generation()
+        young, old = self.young.known, self.old.known
+        numbers = np.empty(len(parts), np.int64)
+        new: list[str] = []
+        for k, part in enumerate(parts):
+            i = young.get(part)
+            if i is None:
+                # Segments of the older generation are the numbers below 0.
+                i = old.get(part)
+                if i is None:
+                    i = young[part] = len(young)
+                    new.append(part)
+                else:
+                    i = -i - 1
+            numbers[k] = i
+        if new:
+            self._build(new)
+        drawn: list[list[tuple[np.ndarray, np.ndarray]]] = []
+        count = np.zeros(len(parts), np.int64)
+        for held, own in ((self.young, np.flatnonzero(numbers >= 0)), (self.old, np.flatnonzero(numbers < 0))):
+            if len(own):
+                place = numbers[own]
+                self._draw(held, place if held is self.young else -place - 1, seed[own], own, drawn, count)
         last = np.cumsum(count) - 1
         out = np.empty(int(last[-1]) + 1, np.int64)
-        for step, (token, found) in enumerate(drawn):
-            out[last[token] - step] = found
-        ends = np.cumsum(per_text)
-        sizes = np.append(0, np.cumsum(count))[ends]
-        sizes = np.diff(np.append(0, sizes))
+        for step, walks in enumerate(drawn):
+            for token, found in walks:
+                out[last[token] - step] = found
         spelled = np.flatnonzero(out >= self.size)
         if len(spelled):
             # A virtual piece stands for a character; its bytes take its place.
             width = np.ones(len(out), np.int64)
-            parts = [chr(int(c)).encode("utf-8", "surrogatepass") for c in out[spelled] - self.size]
-            width[spelled] = [len(p) for p in parts]
-            text_of = np.repeat(np.arange(len(texts)), sizes)
-            sizes = np.bincount(text_of, weights=width, minlength=len(texts)).astype(np.int64)
+            codes = [chr(int(c)).encode("utf-8", "surrogatepass") for c in out[spelled] - self.size]
+            width[spelled] = [len(p) for p in codes]
+            count = np.bincount(np.repeat(np.arange(len(parts)), count), weights=width, minlength=len(parts)).astype(np.int64)
             begin = np.cumsum(width) - width
             out = np.repeat(out, width)
-            for i, p in zip(spelled, parts):
+            for i, p in zip(spelled, codes):
                 out[begin[i] : begin[i] + len(p)] = self.bytes_[list(p)]
-        return out.astype(np.int32), sizes
+        return out.astype(np.int32), count
+
+    def encode(self, keys: list[int], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of all texts one after another, and how many each text has."""
+        start = np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], _U)
+        rows = _mix(start + _U(self.seed * int(_A) + int(_B) & 0xFFFFFFFFFFFFFFFF))
+        sizes = np.zeros(len(texts), np.int64)
+        pieces: list[np.ndarray] = []
+        parts: list[str] = []
+        of_row: list[int] = []
+        of_text: list[int] = []
+        held = 0
+
+        def done() -> None:
+            nonlocal held
+            if parts:
+                row = np.array(of_row)
+                seed = _mix(rows[row] + np.array(of_text).astype(_U) * _A)
+                found, count = self._sample(parts, seed)
+                pieces.append(found)
+                np.add.at(sizes, row, count)
+            for some in (parts, of_row, of_text):
+                some.clear()
+            held = 0
+
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            for own, match in enumerate(_SEGMENT.finditer(" " + text)):
+                part = match.group()
+                parts.append(part)
+                of_row.append(i)
+                of_text.append(own)
+                held += len(part)
+                if held > _CHUNK:
+                    done()
+        done()
+        return (np.concatenate(pieces) if pieces else np.zeros(0, np.int32)), sizes
 
     def decode(self, pieces: list[int]) -> str:
         """The text that ``pieces`` spell, without the space that ``encode`` put before it."""

@@ -30,8 +30,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 42
 # Exponent of 1 / (rank + 1): 0 draws all segmentations alike, large values the most frequent pieces.
 SHARPNESS = 1.0
-# Characters of text that are encoded at a time.
-_CHUNK = 2 << 20
+# Characters of text in a batch that goes back to Spark (a longer text comes alone).
+_BATCH = 1 << 20
 
 
 @lru_cache(maxsize=2)
@@ -39,56 +39,80 @@ def _vocabulary(path: str) -> Vocabulary:
     return Vocabulary.load(path)
 
 
-def _slices(texts: list[str]):
-    start = held = 0
-    for i, text in enumerate(texts):
-        if i > start and held + len(text) > _CHUNK:
-            yield slice(start, i)
-            start, held = i, 0
-        held += len(text)
-    if start < len(texts):
-        yield slice(start, len(texts))
+def _slices(batch: pa.RecordBatch, text: pa.Array):
+    """Neighbouring rows of a batch with about ``_BATCH`` bytes of text."""
+    import numpy as np
+    import pyarrow.compute as pc
 
+    ends = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(int(np.searchsorted(ends, before + _BATCH, "right")), start + 1)
+        yield start, stop
+        start = stop
 
-def encode(df: DataFrame, path: str = MODEL, seed: int = SEED, sharpness: float = SHARPNESS, column: str = "pieces") -> DataFrame:
-    """Add the sampled pieces of ``text``."""
-    shared = df.sparkSession.sparkContext.broadcast(_vocabulary(path))
 
+def _encoder(shared, seed: int, sharpness: float, place: int, checked: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         sampler = Sampler(shared.value, seed, sharpness)
         for batch in batches:
-            texts = [t or "" for t in batch.column("_text").to_pylist()]
-            keys = [k or 0 for k in batch.column("_row_key").to_pylist()]
-            found = [sampler.encode(keys[s], texts[s]) for s in _slices(texts)]
-            ids = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int32)
-            sizes = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
-            ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
-            pieces = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), pieces], ["_row", "_pieces"])
-
-    return _beside(df, run, F.col("text").alias("_text"), column, "array<int>", "_pieces")
+            rows = batch.column("_row")
+            text = rows.field(place)
+            for start, stop in _slices(batch, text):
+                texts = [t or "" for t in text.slice(start, stop - start).to_pylist()]
+                keys = [k or 0 for k in batch.column("_row_key").slice(start, stop - start).to_pylist()]
+                ids, sizes = sampler.encode(keys, texts)
+                ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+                columns = [rows.slice(start, stop - start), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))]
+                names = ["_row", "_pieces"]
+                if checked:
+                    same = [sampler.decode(ids[a:b].tolist()) == t for a, b, t in zip(ends[:-1], ends[1:], texts)]
+                    columns.append(pa.array(same, pa.bool_()))
+                    names.append("_lossless")
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return run
+
+
+def encode(
+    df: DataFrame, path: str = MODEL, seed: int = SEED, sharpness: float = SHARPNESS, column: str = "pieces", check: str | None = None
+) -> DataFrame:
+    """Add the sampled pieces of ``text`` and, as ``check``, whether they decode to it (null counts as empty)."""
+    shared = df.sparkSession.sparkContext.broadcast(_vocabulary(path))
+    names = [n for n in df.columns if n not in (column, check)]
+    # A text that the new column replaces is read all the same.
+    carried = names if "text" in names else [*names, "text"]
+    made = {"_pieces": (column, "array<int>")} | ({"_lossless": (check, "boolean")} if check else {})
+    run = _encoder(shared, seed, sharpness, carried.index("text"), check is not None)
+    return _beside(df, run, names, carried, made)
 
 
 def decode(df: DataFrame, path: str = MODEL, pieces: str = "pieces", column: str = "decoded") -> DataFrame:
     """Add the text that the pieces spell."""
     shared = df.sparkSession.sparkContext.broadcast(_vocabulary(path))
+    names = [n for n in df.columns if n != column]
+    carried = names if pieces in names else [*names, pieces]
+    place = carried.index(pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(shared.value)
         for batch in batches:
-            texts = [sampler.decode(p or []) for p in batch.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(texts, pa.string())], ["_row", "_decoded"])
-
-    return _beside(df, run, F.col(f"`{pieces}`").alias("_text"), column, "string", "_decoded")
-
-
-def _beside(df: DataFrame, run, read, column: str, kind: str, made: str) -> DataFrame:
-    """Run over rows packed in one column, so that no name can clash, and unpack them beside the new column."""
-    names = [n for n in df.columns if n != column]
-    row = F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row")
-    packed = df.select(row, read, F.col("doc_id").cast("long").alias("_row_key"))
-    schema = StructType([*packed.select("_row").schema.fields, *StructType.fromDDL(f"{made} {kind}").fields])
-    out = packed.mapInArrow(run, schema)
-    return out.select(*[F.col("_row").getField(n).alias(n) for n in names], F.col(made).alias(column))
+            rows = batch.column("_row")
+            for start in range(0, batch.num_rows, 256):
+                some = rows.slice(start, 256)
+                texts = [sampler.decode(p or []) for p in some.field(place).to_pylist()]
+                yield pa.RecordBatch.from_arrays([some, pa.array(texts, pa.string())], ["_row", "_decoded"])
+
+    return _beside(df, run, names, carried, {"_decoded": (column, "string")})
+
+
+def _beside(df: DataFrame, run, names: list[str], carried: list[str], made: dict[str, tuple[str, str]]) -> DataFrame:
+    """Run over rows packed in one column, so that no name can clash, and unpack them beside the new columns."""
+    row = F.struct(*[F.col(f"`{n}`") for n in carried]).alias("_row")
+    packed = df.select(row, F.col("doc_id").cast("long").alias("_row_key"))
+    new = StructType.fromDDL(", ".join(f"{n} {kind}" for n, (_, kind) in made.items()))
+    out = packed.mapInArrow(run, StructType([*packed.select("_row").schema.fields, *new.fields]))
+    return out.select(*[F.col("_row").getField(n).alias(n) for n in names], *[F.col(n).alias(as_) for n, (as_, _) in made.items()])
