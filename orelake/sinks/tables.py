@@ -1,4 +1,8 @@
-"""Table writes: overwrite, append with new columns, clustered layout, checked writes."""
+"""Table writes: overwrite, append with new columns, clustered and bucketed layout, checked writes.
+
+Rules of a table hold for what ``save_checked`` and ``append_table`` write; a plain
+``write`` to the table's files by other means is not stopped.
+"""
 
 from __future__ import annotations
 
@@ -19,6 +23,7 @@ from pyspark.sql.types import (
 )
 
 from orelake.operators.quality import constraint_violations
+from orelake.sinks.interleave import lay_out as _interleaved
 from orelake.storage import write_out
 
 _RULE = "constraint."
@@ -39,7 +44,9 @@ def create_layers(spark: SparkSession, comments: Mapping[str, str], location: st
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} COMMENT {_quoted(comment)}{place}")
 
 
-def lay_out(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
+def lay_out(
+    df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (), interleave: bool = False
+) -> DataFrame:
     """Rows of a partition together, sorted by the cluster keys, in few files of a good size.
 
     Partitions are dealt by their key alone, so a cold one has one writer;
@@ -47,7 +54,12 @@ def lay_out(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequenc
     size, so one project with a third of all rows gets many.  Without partitions
     rows are dealt by ranges of the cluster keys.  Either way the sort gives files
     and row groups narrow key ranges, which readers skip by.
+
+    With ``interleave`` the cluster keys count alike (``sinks.interleave``): readers skip
+    by any of them, not only by the first.
     """
+    if interleave and len(cluster_by) > 1:
+        return _interleaved(df, cluster_by, partition_by)
     if partition_by:
         dealt = df.hint("rebalance", *[F.col(k) for k in partition_by])
     elif cluster_by:
@@ -77,13 +89,14 @@ def save_table(
     cluster_by: Sequence[str] = (),
     comment: str | None = None,
     properties: Mapping[str, str] | None = None,
+    interleave: bool = False,
 ) -> DataFrame:
     """Replace a table (rows, schema and layout) and return a scan of it.
 
     ``df`` must not read the table it replaces.
     """
     spark = df.sparkSession
-    writer = lay_out(df, partition_by, cluster_by).write.format("parquet").mode("overwrite")
+    writer = lay_out(df, partition_by, cluster_by, interleave).write.format("parquet").mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
@@ -110,6 +123,26 @@ def _keeps_values(given: DataType, stored: DataType) -> bool:
     return given.simpleString() == stored.simpleString()
 
 
+def save_bucketed(
+    df: DataFrame, table: str, keys: Sequence[str], buckets: int, sort_by: Sequence[str] = (), path: str | None = None, comment: str | None = None
+) -> DataFrame:
+    """Replace a table with one in ``buckets`` buckets of its keys, each sorted, and return a scan of it.
+
+    Tables with the same keys and number of buckets join without a shuffle, and a
+    window or group over the keys needs none either.  Rows are dealt to the buckets'
+    own tasks first, so there is one file per bucket; a key that holds much of the table
+    makes its bucket large, so keys that are unique, or nearly, are meant.
+    """
+    spark = df.sparkSession
+    sort_by = [*keys, *[c for c in sort_by if c not in keys]]
+    writer = df.repartition(buckets, *keys).sortWithinPartitions(*sort_by).write.format("parquet").mode("overwrite")
+    writer = writer.bucketBy(buckets, *keys).sortBy(*sort_by)
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+    if comment:
+        set_comment(spark, table, comment)
+    return spark.table(table)
+
+
 def append_table(df: DataFrame, table: str, comment: str | None = None, cluster_by: Sequence[str] = ()) -> DataFrame:
     """Append by column name; new columns are added, missing ones are NULL.
 
