@@ -61,22 +61,30 @@ def words(text: bytes) -> Iterator[list[bytes]]:
         at = cut
 
 
+def _table(columns: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    """Columns put together from (values, or one value and how often) of each group."""
+    arrays = []
+    for kind, parts in zip(kinds, zip(*columns) if columns else [()] * len(kinds)):
+        made = [pa.repeat(pa.scalar(p[0], kind), p[1]) if isinstance(p, tuple) else pa.array(p, kind) for p in parts]
+        arrays.append(pa.concat_arrays(made) if made else pa.array([], kind))
+    return pa.RecordBatch.from_arrays(arrays, names)
+
+
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from collections import Counter
 
     counts: dict[str, Counter] = {}
 
     def emptied() -> pa.RecordBatch:
-        rows = [(lang, term, n) for lang, own in counts.items() for term, n in own.items()]
+        rows = [((lang, len(own)), list(own), list(own.values())) for lang, own in counts.items()]
         counts.clear()
-        columns = zip(*rows) if rows else ((), (), ())
-        kinds = (pa.string(), pa.binary(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "term", "n"])
+        return _table(rows, [pa.string(), pa.binary(), pa.int64()], ["lang", "term", "n"])
 
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            distinct: set[bytes] = set()
-            for part in words(text):
+            parts = words(text)
+            distinct = set(next(parts, ()))
+            for part in parts:
                 distinct.update(part)
             counts.setdefault(lang, Counter()).update(distinct)
         if sum(map(len, counts.values())) > ENTRIES:
@@ -158,13 +166,10 @@ class _Shards:
 _COUNTED = "lang string, source string, at bigint, n bigint"
 
 
-def _counted(counts: dict) -> pa.RecordBatch:
-    rows = [(*group, key, n) for group, own in counts.items() for key, n in own.items()]
+def _counted(counts: dict, key: pa.DataType) -> pa.RecordBatch:
+    rows = [((lang, len(own)), (source, len(own)), list(own), list(own.values())) for (lang, source), own in counts.items()]
     counts.clear()
-    columns = zip(*rows) if rows else ((), (), (), ())
-    named = rows and isinstance(rows[0][2], bytes)
-    kinds = (pa.string(), pa.string(), pa.binary() if named else pa.int64(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "source", "at", "n"])
+    return _table(rows, [pa.string(), pa.string(), key, pa.int64()], ["lang", "source", "at", "n"])
 
 
 def _grouped(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, str], list[bytes]]]:
@@ -193,18 +198,24 @@ def _streamed(shared, shard: int):
         counts: dict[tuple[str, str], Counter] = {}
         for batch in batches:
             for (lang, source), part in _grouped(batch):
-                own, seen = counts.setdefault((lang, source), Counter()), known[lang]
-                for term, n in Counter(part).items():
-                    at = seen.get(term)
-                    if at is None:
-                        at = seen[term] = shards.lookup(lang, term)
-                    if at >= 0:
-                        own[at] += n
+                seen = known[lang]
+                ordinals = list(map(seen.get, part))
+                if None in ordinals:
+                    for term in {t for t, at in zip(part, ordinals) if at is None}:
+                        seen[term] = shards.lookup(lang, term)
+                    ordinals = list(map(seen.get, part))
+                # Terms that are not kept are counted as -1 and left out below.
+                counts.setdefault((lang, source), Counter()).update(ordinals)
                 if sum(map(len, known.values())) > ENTRIES:
                     known.clear()
             if sum(map(len, counts.values())) > ENTRIES:
-                yield _counted(counts)
-        yield _counted(counts)
+                yield kept(counts)
+        yield kept(counts)
+
+    def kept(counts: dict) -> pa.RecordBatch:
+        for own in counts.values():
+            own.pop(-1, None)
+        return _counted(counts, pa.int64())
 
     return run
 
@@ -213,18 +224,12 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from collections import Counter
 
     counts: dict[tuple[str, str], Counter] = {}
-    made = False
     for batch in batches:
         for group, part in _grouped(batch):
             counts.setdefault(group, Counter()).update(part)
             if sum(map(len, counts.values())) > ENTRIES:
-                made = True
-                yield _counted(counts)
-    if any(counts.values()):
-        yield _counted(counts)
-    elif not made:
-        empty = [pa.array([], k) for k in (pa.string(), pa.string(), pa.binary(), pa.int64())]
-        yield pa.RecordBatch.from_arrays(empty, ["lang", "source", "at", "n"])
+                yield _counted(counts, pa.binary())
+    yield _counted(counts, pa.binary())
 
 
 def _routed(shard: int):
@@ -304,40 +309,59 @@ def divergence(p: str, q: str) -> Column:
     return F.expr(f"({p} - {q}) * ({p} - {q}) div ({p} + {q})")
 
 
-def _tile_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tile_sums(size: int):
     """Rows by (lang, block, i, j): sums of the divergences of every pair of sources of the two tiles over a block's ordinals."""
-    import numpy as np
-
-    def sums(key: list, sides: dict[int, dict[str, np.ndarray]]) -> pa.RecordBatch:
-        lang, _, i, j = key
-        left, right = sides.get(i, {}), sides.get(j, {})
-        names, found = list(right), []
-        shares = np.stack([right[b] for b in names]) if names else None
-        for k, a in enumerate(left if names else ()):
-            skip = k + 1 if i == j else 0
-            p, q = left[a][None, :], shares[skip:]
-            total = ((p - q) ** 2 // (p + q)).sum(axis=1)
-            for other, value in zip(names[skip:], total.tolist()):
-                found += [(lang, a, other, value), (lang, other, a, value)]
-        columns = zip(*found) if found else ((), (), (), ())
-        kinds = (pa.string(), pa.string(), pa.string(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "source", "item", "value"])
-
-    key, sides = None, {}
-    for batch in batches:
-        names = ("lang", "block", "i", "j", "width", "tile", "source", "place", "p")
-        for *own, width, tile, source, place, p in zip(*[batch.column(c).to_pylist() for c in names]):
-            if own != key:
-                if sides:
-                    yield sums(key, sides)
-                key, sides = own, {}
-            # The row without a place comes first: the share of a term that the source does not have.
-            if place < 0:
-                sides.setdefault(tile, {})[source] = np.full(width, p, np.int64)
-            else:
-                sides[tile][source][place] = p
-    if sides:
-        yield sums(key, sides)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        def sums(key: tuple, sides: dict) -> pa.RecordBatch:
+            lang, _, i, j = key
+            found: list[tuple] = []
+            if i in sides and j in sides:
+                left, right = sides[i], sides[j]
+                present = np.array(sorted(right[0]), np.int64)
+                for a in sorted(left[0]):
+                    other = present[present > a] if i == j else present
+                    p, q = left[1][a][None, :], right[1][other]
+                    total = ((p - q) ** 2 // (p + q)).sum(axis=1)
+                    one, names = left[0][a], [right[0][b] for b in other.tolist()]
+                    found.append(((lang, 2 * len(names)), [one] * len(names) + names, names + [one] * len(names), np.concatenate([total, total])))
+            kinds = [pa.string(), pa.string(), pa.string(), pa.int64()]
+            return _table(found, kinds, ["lang", "source", "item", "value"])
+
+        key, sides = None, {}
+        for batch in batches:
+            column = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
+            langs, blocks, i, j, width, tile, local, place, p = map(
+                column, ("lang", "block", "i", "j", "width", "tile", "local", "place", "p")
+            )
+            new = (blocks[1:] != blocks[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]) | (langs[1:] != langs[:-1])
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+            for first, last in zip(cuts[:-1], cuts[1:]):
+                if first == last:
+                    continue
+                own = (langs[first], blocks[first], i[first], j[first])
+                if own != key:
+                    if sides:
+                        yield sums(key, sides)
+                    key, sides = own, {}
+                part = slice(first, last)
+                # Rows without a place come first: the share of a term that the source does not have.
+                bare = first + np.flatnonzero(place[part] < 0)
+                for row, name in zip(bare.tolist(), batch.column("source").take(pa.array(bare)).to_pylist()):
+                    if tile[row] not in sides:
+                        sides[tile[row]] = ({}, np.zeros((size, width[row]), np.int64))
+                    sides[tile[row]][0][int(local[row])] = name
+                    sides[tile[row]][1][local[row]] = p[row]
+                for t in {own[2], own[3]}:
+                    cells = first + np.flatnonzero((tile[part] == t) & (place[part] >= 0))
+                    if len(cells):
+                        sides[t][1][local[cells], place[cells]] = p[cells]
+        if sides:
+            yield sums(key, sides)
+
+    return run
 
 
 def pairs(counts: DataFrame, groups: DataFrame, tile: int = TILE, block: int = BLOCK) -> DataFrame:
@@ -345,26 +369,28 @@ def pairs(counts: DataFrame, groups: DataFrame, tile: int = TILE, block: int = B
     per_lang = Window.partitionBy("lang")
     tiles = F.ceil(F.count(F.lit(1)).over(per_lang) / tile).cast("int")
     last = F.greatest(F.ceil(F.col("v") / block).cast("long"), F.lit(1)) - 1
-    own = groups.select("lang", "source", "total", "v", tiles.alias("tiles"), last.alias("last"))
-    own = write_out(own.withColumn("tile", F.pmod(F.xxhash64("source"), "tiles").cast("int")), "sources")
+    number = F.row_number().over(per_lang.orderBy("source")) - 1
+    own = groups.select("lang", "source", "total", "v", tiles.alias("tiles"), last.alias("last"), number.alias("number"))
+    own = own.withColumns({"tile": F.floor(F.col("number") / tile).cast("int"), "local": F.pmod("number", F.lit(tile))})
+    own = write_out(own.drop("number"), "sources")
+    named = ("lang", "tile", "local", "tiles", "v")
     absent = own.select(
-        "*", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("block"), F.lit(-1).alias("place"),
-        share_of("0", "total", "v").alias("p"),
+        *named, F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("block"), F.lit(-1).alias("place"),
+        share_of("0", "total", "v").alias("p"), "source",
     )
     present = counts.join(own, ["lang", "source"]).select(
-        *own.columns, F.floor(F.col("at") / block).cast("long").alias("block"), F.pmod("at", F.lit(block)).cast("int").alias("place"),
-        share_of("n", "total", "v").alias("p"),
+        *named, F.floor(F.col("at") / block).cast("long").alias("block"), F.pmod("at", F.lit(block)).cast("int").alias("place"),
+        share_of("n", "total", "v").alias("p"), F.lit(None).cast("string").alias("source"),
     )
-    rows = absent.union(present.select(absent.columns))
     # A row meets every tile once: as the upper or the lower of the two.
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rows = absent.union(present).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     width = F.least(F.lit(block), F.col("v") - F.col("block") * block).cast("int")
     rows = rows.select(
         "lang", "block", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), width.alias("width"),
-        "tile", "source", "place", "p",
+        "tile", "local", "place", "p", "source",
     )
     dealt = rows.repartition("lang", "block", "i", "j").sortWithinPartitions("lang", "block", "i", "j", "place")
-    sums = dealt.mapInArrow(_tile_sums, "lang string, source string, item string, value bigint")
+    sums = dealt.mapInArrow(_tile_sums(tile), "lang string, source string, item string, value bigint")
     return sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
 
