@@ -6,7 +6,12 @@ expands to the boundaries of the span and validates it.
 
 Kinds, in the order used for ties: email, ip, card, phone (the base kinds), then
 url (a scheme and a host), iban (country, check digits and account number that
-pass mod 97, after their cue) and address (a street cue with its house number).
+pass mod 97, after their cue), address (a street cue with its house number), secret
+(what is assigned to a cue such as ``password`` or ``api_key``), account and identifier
+(a number after a cue such as ``account no`` or ``passport``).  A secret holds a digit or
+a sign besides its letters, an account number six digits, an identifier five.
+A parser reads forward from its cue and only walks back where it has found a span, so
+the work grows with the text, also where cues follow each other without a space.
 Spans of one kind never overlap: a candidate that fails its check is consumed
 and not tried again.  Positions are code points, ends exclusive.
 
@@ -25,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "url", "iban", "address")
+KINDS = (*BASE, "url", "iban", "address", "secret", "account", "identifier")
 
 # Cue words; each is also looked for capitalised and in capitals.
 _STREETS_AFTER = ("street", "avenue", "road", "lane", "boulevard")
@@ -33,6 +38,16 @@ _STREETS_BEFORE = ("rue", "calle", "avenida")
 # These also end a longer word, which is then part of the span.
 _STREETS_ENDING = ("straße", "strasse")
 
+_SECRETS = (
+    "password", "passwd", "passphrase", "pwd", "secret", "token", "api_key", "api-key", "api key", "apikey", "access_key", "access key",
+    "private_key", "private key", "client_secret", "auth_key", "bearer", "passwort", "kennwort", "contraseña",
+)
+_ACCOUNTS = ("account", "acct", "routing", "sort code", "konto", "kontonummer", "compte", "cuenta")
+_IDENTIFIERS = (
+    "ssn", "social security", "passport", "reisepass", "pasaporte", "passeport", "driver license", "driver's license", "license", "tax id", "national id",
+    "identity card", "ausweis", "steuernummer", "dni", "nif", "member id", "patient id", "employee id", "customer id",
+)
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -43,7 +58,43 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL_REST = re.compile(r"[A-Za-z0-9\[][^\s<>\"'`]*")
 _IBAN = re.compile(r"[\x20:#.-]{0,4}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{1,4}){3,8})")
 _NUMBER_AFTER = re.compile(r"[\x20.]{1,2}(?:[^\W\d_]+[\x20]){0,4}([0-9]{1,4}[a-zA-Z]?)\b")
-_NUMBER_BEFORE = re.compile(r"\b[0-9]{1,5}[a-zA-Z]?\x20(?:[^\W\d_]+[\x20]){1,3}\Z")
+_HOUSE = re.compile(r"\b[0-9]{1,5}[a-zA-Z]?\Z")
+_SECRET = re.compile(r"[\"']?[\x20\t]{0,2}(?:[:=]{1,2}>?|is\b)?[\x20\t]{0,2}[\"']?([^\s\"'`<>,;]{6,})")
+_NUMBERED = re.compile(
+    r"s?[\x20]?(?:(?i:number|numero|número|nummer|num|nr|no|id|code|card)\b\.?)?[\x20]{0,2}(?:[:=#]|is\b)?[\x20]{0,2}[\"']?"
+    r"([A-Z]{0,3}[0-9](?:[\x20-]?[0-9A-Z])*)\b"
+)
+
+
+def _street_number_before(text: str, floor: int, at: int) -> int:
+    """Start of a house number followed by one to three words and the cue at ``at``, or -1."""
+    found, end = -1, at
+    for _ in range(3):
+        if end <= floor or text[end - 1] != " ":
+            break
+        start = end - 1
+        while start > floor and text[start - 1].isalpha():
+            start -= 1
+        if start == end - 1 or start <= floor or text[start - 1] != " ":
+            break
+        number = _HOUSE.search(text[max(start - 8, floor) : start - 1])
+        if number:
+            found = max(start - 8, floor) + number.start()
+        end = start
+    return found
+
+
+def _numbered(text: str, after: int, least: int) -> tuple[int, int] | None:
+    """The number that follows a cue; a word after it that looks like a part is given back."""
+    match = _NUMBERED.match(text, after)
+    if not match:
+        return None
+    value = match[1]
+    while value and not (value[-1].isdigit() or value.rpartition(" ")[2].isalnum() and any(c.isdigit() for c in value.rpartition(" ")[2])):
+        value = value.rpartition(" ")[0]
+    if sum(c.isdigit() for c in value) < least:
+        return None
+    return match.start(1), match.start(1) + len(value)
 
 
 def _passes_luhn(digits: str) -> bool:
@@ -70,9 +121,13 @@ def automaton():
         machine.add_word(c, ("digit", 1))
     for word, kind in (("@", "at"), ("+", "plus"), ("://", "scheme"), ("IBAN", "iban"), ("Iban", "iban"), ("iban", "iban")):
         machine.add_word(word, (kind, len(word)))
-    for cues, kind in ((_STREETS_AFTER, "street_after"), (_STREETS_BEFORE, "street_before"), (_STREETS_ENDING, "street_ending")):
+    groups = (
+        (_STREETS_AFTER, "street_after"), (_STREETS_BEFORE, "street_before"), (_STREETS_ENDING, "street_ending"),
+        (_SECRETS, "secret"), (_ACCOUNTS, "account"), (_IDENTIFIERS, "identifier"),
+    )
+    for cues, kind in groups:
         for cue in cues:
-            for word in {cue, cue.capitalize(), cue.upper()}:
+            for word in {cue, cue.capitalize(), cue.title(), cue.upper()}:
                 machine.add_word(word, (kind, len(word)))
     machine.make_automaton()
     return machine
@@ -139,20 +194,39 @@ def spans(text: str, machine) -> list[tuple[int, int, str]]:
                     free[5] = match.start(1) + len(account)
                     found.append((match.start(1), free[5], 5))
                 break
-        elif at >= free[6]:
-            if kind != "street_after":
-                start = at
-                while start > free[6] and text[start - 1].isalpha():
-                    start -= 1
-                match = _NUMBER_AFTER.match(text, last + 1) if start == at or kind == "street_ending" else None
-                end = match.end() if match else 0
+        elif kind in ("secret", "account", "identifier"):
+            place = KINDS.index(kind)
+            # A cue within a longer word is none; names such as db_password are cues.
+            if at < free[place] or at and text[at - 1].isalpha() or text[last + 1 : last + 2].isalpha() and text[last + 1] != "s":
+                continue
+            if kind == "secret":
+                match = _SECRET.match(text, last + 1)
+                # Without a sign of assignment only what is no word in any language.
+                plain = match and text[last + 1 : match.start(1)].strip("\"' \t") == ""
+                assigned = match and (not plain or len(match[1]) >= 16 and any(c.isdigit() for c in match[1]))
+                value = match[1].rstrip(".:!?)]}") if assigned else ""
+                span = (match.start(1), match.start(1) + len(value)) if len(value) >= 6 and not value.isalpha() else None
             else:
-                floor = max(free[6], at - 80)
-                match = _NUMBER_BEFORE.search(text[floor:at]) if not text[last + 1 : last + 2].isalpha() else None
-                start, end = (floor + match.start(), last + 1) if match else (0, 0)
-            if match:
-                free[6] = end
-                found.append((start, end, 6))
+                span = _numbered(text, last + 1, 6 if kind == "account" else 5)
+            if span:
+                free[place] = span[1]
+                found.append((*span, place))
+        elif at >= free[6]:
+            span = None
+            if kind == "street_after":
+                if not text[last + 1 : last + 2].isalpha():
+                    start = _street_number_before(text, free[6], at)
+                    span = (start, last + 1) if start >= 0 else None
+            elif kind == "street_ending" or at == free[6] or not text[at - 1].isalpha():
+                match = _NUMBER_AFTER.match(text, last + 1)
+                if match:
+                    start = at
+                    while start > free[6] and text[start - 1].isalpha():
+                        start -= 1
+                    span = (start, match.end())
+            if span:
+                free[6] = span[1]
+                found.append((*span, 6))
     found.sort(key=lambda s: (s[0], s[2]))
     return [(a, b, KINDS[k]) for a, b, k in found]
 
@@ -176,10 +250,13 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts of the base kinds, a digest of their spans, and all spans as text."""
+    """Counts of the base kinds, a digest of their spans, all spans as text, and how many of them are secrets and of any kind."""
     joined = lambda spans_: F.concat_ws(
         ",", F.transform(spans_, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
     )
     base = F.filter("found", lambda s: s["kind"].isin(*BASE))
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return found.select("doc_id", *[count(k) for k in BASE], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
+    return found.select(
+        "doc_id", *[count(k) for k in BASE], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"),
+        count("secret"), F.size("found").cast("long").alias("n_spans"),
+    )

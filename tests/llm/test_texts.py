@@ -101,6 +101,34 @@ def test_added_kinds():
     assert found("ciónuearue 53") == []
 
 
+def test_identifiers_accounts_and_secrets_after_their_cues():
+    machine = personal_data.automaton()
+    found = lambda t: [(t[a:b], k) for a, b, k in personal_data.spans(t, machine) if k not in BASE]
+    for text, want in (
+        ('token = "04dbebab91ab85687d33"', [("04dbebab91ab85687d33", "secret")]),
+        ("db_password: hunter2!x, next", [("hunter2!x", "secret")]),
+        ("Bearer eyJhbGciOi.JIUzI1NiJ9", [("eyJhbGciOi.JIUzI1NiJ9", "secret")]),
+        ("passport 123456789", [("123456789", "identifier")]),
+        ("Passport No: X1234567 AND more", [("X1234567", "identifier")]),
+        ("ssn 078-05-1120", [("078-05-1120", "identifier")]),
+        ("account no. 1234 5678 90 and", [("1234 5678 90", "account")]),
+        ("12 " + "a" * 300 + " Street", [("12 " + "a" * 300 + " Street", "address")]),
+        ("the secret is nothing special; tokens are good; secret: alphabet", []),
+        ("account of 1999 people, my account 12, accountable 123456", []),
+    ):
+        assert found(text) == want, text
+
+
+def test_cues_in_a_row_take_linear_time():
+    import time
+
+    machine = personal_data.automaton()
+    for cue in ("strasse", "rue", "12 street ", "rue a ", "token=", "passport 1 ", "account"):
+        started = time.process_time()
+        personal_data.spans(cue * (1_000_000 // len(cue)), machine)
+        assert time.process_time() - started < 20, cue
+
+
 def test_personal_data_edge_rows(spark):
     out = personal_data.digest(personal_data.find(edge.rows(spark)))
     assert out.count() == len(edge.TEXTS) and {r.n_email for r in out.collect()} == {0}
