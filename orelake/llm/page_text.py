@@ -14,12 +14,17 @@ it; siblings along the path, and runs of bare text of the nodes on it, that reac
 the threshold are taken with it.  ``article`` and ``main`` elements decide
 nothing; ``marked_text`` gives their text for comparison.
 
-Elements that are page furniture by tag or role (menus, headers, footers, forms,
-scripts, styles) are taken out before anything is counted.  A word of the class
-or id (sidebar, notice, advert, reader comments) only raises a doubt: such an
-element goes if links are a third of its text, or unless it has ``PROSE``
-characters and is half of the page's text or half as dense (in characters a tag).
-One that holds all of the page's text stays.
+Elements that are page furniture by tag or role (menus, headers, footers, scripts,
+styles) are taken out before anything is counted.  A word of the class or id (sidebar,
+notice, advert) only raises a doubt: such an element goes if links are a third of
+its text, or unless it has ``PROSE`` characters and is half of the page's text or half
+as dense (in characters a tag).  One that holds all of the page's text stays.
+
+Reader comments can be as long and as dense as the article, so their containers
+(a class or id such as ``comments``, ``comment-list`` or ``disqus_thread``) go whatever they
+hold, unless nothing else is left or the page's ``h1`` or ``main`` is in them.  Names of a
+state, such as ``has-comments`` or ``comments-open``, say nothing.  A form goes unless it
+is a wrapper: half of the page's text or more, and ``PROSE`` characters.
 
 Character references are decoded, white space within a block becomes one space,
 and blocks are joined by a line feed in page order.  Null and empty pages, and
@@ -61,7 +66,7 @@ _CLOSES_P = frozenset(
     "header hr main menu nav ol p pre section table ul".split()
 )
 _FURNITURE = frozenset(
-    "script style noscript template nav footer aside form button select textarea iframe svg head title menu dialog object".split()
+    "script style noscript template nav footer aside button select textarea iframe svg head title menu dialog object".split()
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
 _WORDS = frozenset(
@@ -69,15 +74,18 @@ _WORDS = frozenset(
     "footer cookie cookies consent gdpr notice popup modal newsletter subscribe subscription signup comment comments disqus reply "
     "replies share sharing social related recommended login search masthead topbar".split()
 )
+_COMMENTS = frozenset("comment comments reply replies disqus".split())
+# A name with one of these is a state of its element.
+_STATES = frozenset("has with without no not show hide hidden open closed enabled disabled count off on page article post content main body wrapper layout".split())
 _SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _LIMITS = frozenset("ul ol dl table tbody thead tfoot select article body section div".split())
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "text", "chars", "tags", "link_chars", "link_tags", "own", "density", "total", "doubted")
+    __slots__ = ("tag", "parent", "children", "text", "chars", "tags", "link_chars", "link_tags", "own", "density", "total", "doubted", "comments")
 
-    def __init__(self, tag: str, parent: _Node | None, doubted: bool = False):
-        self.tag, self.parent, self.doubted = tag, parent, doubted
+    def __init__(self, tag: str, parent: _Node | None, doubted: bool = False, comments: bool = False):
+        self.tag, self.parent, self.doubted, self.comments = tag, parent, doubted, comments
         # Texts and nodes in page order.
         self.children: list[str | _Node] = []
 
@@ -99,6 +107,20 @@ def _is_doubted(tag: str, attributes: str) -> bool:
     return tag not in ("body", "html", "article", "main") and _named(attributes, ("class", "id"), _WORDS)
 
 
+def _is_comments(tag: str, attributes: str) -> bool:
+    """Whether a name of the class or id stands for reader comments; an ``article`` or ``main`` has to be one comment by its whole name."""
+    if tag in ("body", "html"):
+        return False
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        if name.lower() not in ("class", "id"):
+            continue
+        for one in (a or b or c).lower().split():
+            words = _NAME_PART.findall(one)
+            if _COMMENTS.intersection(words) and not _STATES.intersection(words) and (tag not in ("article", "main") or len(words) == 1):
+                return True
+    return False
+
+
 def parse(page: str) -> _Node:
     """Tree of what is left of a page without what is furniture by tag or role."""
     root = _Node("body", None)
@@ -176,7 +198,8 @@ def parse(page: str) -> _Node:
             if not void:
                 hidden.append(tag)
             continue
-        doubted = _is_doubted(tag, token[3])
+        comments = _is_comments(tag, token[3])
+        doubted = comments or _is_doubted(tag, token[3])
         # Within a doubted inline element its like are counted too, so that it ends at its own end tag.
         kept_inline = tag in _INLINE and (doubted or any(x.tag == tag for x in stack))
         if tag in ("br", "wbr"):
@@ -186,7 +209,7 @@ def parse(page: str) -> _Node:
                 stack[-1].children.append(_Node("hr", stack[-1]))
             continue
         else:
-            node = _Node(tag, stack[-1], doubted)
+            node = _Node(tag, stack[-1], doubted, comments)
             stack[-1].children.append(node)
             stack.append(node)
     return root
@@ -233,15 +256,31 @@ def _measure(nodes: list[_Node]):
 def _settle(root: _Node) -> list[_Node]:
     """Take the doubted elements out that are furniture by what they hold; the nodes that are left."""
     nodes = _in_order(root)
-    if not any(x.doubted for x in nodes):
+    if any(x.comments for x in nodes):
+        _measure(nodes)
+        # The outermost containers go first; one that holds the page's heading is its layout.
+        heads = set()
+        for x in reversed(nodes):
+            if x.tag in ("h1", "main") or any(id(c) in heads for c in x.children if isinstance(c, _Node)):
+                heads.add(id(x))
+        gone = {id(x) for x in nodes if x.comments and id(x) not in heads and x.chars < root.chars}
+        nodes = _without(root, gone)
+    if not any(x.doubted or x.tag == "form" for x in nodes):
         return nodes
     _measure(nodes)
     gone = set()
     for x in nodes:
-        dense = 2 * x.chars >= root.chars or 2 * x.chars * root.tags >= root.chars * x.tags
+        half = 2 * x.chars >= root.chars
+        if x.tag == "form" and not (half and x.chars >= PROSE):
+            gone.add(id(x))
+        dense = half or 2 * x.chars * root.tags >= root.chars * x.tags
         if x.doubted and (3 * x.link_chars >= x.chars or not (x.chars == root.chars or x.chars >= PROSE and dense)):
             gone.add(id(x))
-    for x in nodes:
+    return _without(root, gone)
+
+
+def _without(root: _Node, gone: set[int]) -> list[_Node]:
+    for x in _in_order(root):
         x.children = [c for c in x.children if isinstance(c, str) or id(c) not in gone]
     return _in_order(root)
 
