@@ -7,14 +7,17 @@ five-word shingles is at least 0.8; a class is a connected component of links.
    with one multiset are one *node*, so copies never meet in a bucket.
 2. 25 bands of 4 registers put nodes in buckets; a pair at 0.8 misses all of
    them with a probability under 2e-6.
-3. In each bucket one pivot is compared with every other node, and components are
-   formed.  A bucket that is one component by then is done, so n close texts cost
-   n comparisons.  In the others every node outside the largest component meets
+3. In each bucket the least node is the pivot, compared with every other node; one
+   order of nodes for all buckets makes most of a node's pairs the same pair.
+   Components are formed; a bucket that is one component by then is done, so n close
+   texts cost about n comparisons.  In the others every node outside the largest component meets
    every node of another component, in blocks of bounded size inside the tasks:
    only pairs whose 16-bit elements reach the similarity leave them.
 4. Pairs are verified by the overlap of the whole multisets.
-5. Components by repeated least labels with pointer jumping; each step is
-   written to the shared folder.
+5. Components by hooking every node to its least neighbour, pointer jumping and
+   contraction: links within a component go and equal ones collapse, so the rows fall
+   every round.  Links found in blocks join components, not nodes.  Each step is written
+   to the shared folder.
 
 Words are runs of characters outside space and tab..carriage return; a text of
 one to four words is one shingle.  Null texts and texts without words have no
@@ -153,11 +156,10 @@ def _similarities(pairs: DataFrame, bags: DataFrame) -> DataFrame:
 
 
 def _star(state: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each bucket's pivot with its other nodes; pivots differ from bucket to bucket."""
-    order = F.struct(F.xxhash64("bucket", "node").alias("h"), "node")
-    pivots = write_out(state.groupBy("bucket").agg(F.min(order).getField("node").alias("pivot")), "pivots")
+    """Pairs (a, b) of each bucket's pivot with its other nodes; nodes are digests, so the least one is any of them."""
+    pivots = write_out(state.groupBy("bucket").agg(F.min("node").alias("pivot")), "pivots")
     met = state.join(pivots, "bucket").filter("node <> pivot")
-    return met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    return met.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def _compare(similarity: float):
@@ -264,31 +266,46 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) ->
     wanted = nodes.join(state.select("node").distinct(), "node").select("node", "first._key", "first._mark")
     bags = write_out(_bags(docs, wanted), "bags")
     linked = lambda pairs: write_out(_similarities(pairs, bags).filter(F.col("j") >= similarity), "links")
-    first = linked(_star(state))
-    labels = components(first)
-    named = write_out(state.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
+    first = components(linked(_star(state)))
+    named = write_out(state.join(first, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
     rest = linked(_blocks(named, bags, similarity))
-    return labels if rest.isEmpty() else components(first.union(rest))
+    if rest.isEmpty():
+        return first
+    # Links between components; a node that has been alone is its own component.
+    name = lambda side: first.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))
+    lifted = rest.join(name("a"), "a", "left").join(name("b"), "b", "left")
+    merged = components(lifted.select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")))
+    further = merged.select(F.col("node").alias("label"), F.col("label").alias("further"))
+    whole = first.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label"))
+    return write_out(whole.union(merged.join(first, "node", "left_anti").select("node", "label")), "labels")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of the links: the least node of its component."""
-    both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a"))
-    both = write_out(both.distinct(), "edges")
-    if both.isEmpty():
-        return both.select("node", F.col("other").alias("label"))
-    labels = write_out(
-        both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("label")), "labels"
-    )
+    rows = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+    edges, labels = write_out(rows(edges), "edges"), None
     while True:
-        heard = both.join(labels.select(F.col("node").alias("other"), "label"), "other").select("node", "label", F.lit(None).cast("binary").alias("was"))
-        own = labels.select("node", "label", F.col("label").alias("was"))
-        least = heard.union(own).groupBy("node").agg(F.min("label").alias("label"), F.max("was").alias("was"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        after = write_out(least.join(jump, "label").select("node", F.col("further").alias("label"), "was"), "labels")
-        if after.filter("label <> was").isEmpty():
-            return after.select("node", "label")
-        labels = after.select("node", "label")
+        # The lower end of a link is the least neighbour of the higher one, or a candidate for it: chains only fall.
+        hooks = write_out(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")), "hooks")
+        if hooks.isEmpty():
+            return labels if labels is not None else hooks
+        while True:
+            further = hooks.select(F.col("node").alias("label"), F.col("label").alias("further"))
+            if hooks.join(further, "label", "left_semi").isEmpty():
+                break
+            jumped = hooks.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label"))
+            hooks = write_out(jumped, "hooks")
+        if labels is None:
+            roots = edges.select(F.col("a").alias("node")).distinct().join(hooks, "node", "left_anti")
+            labels = hooks.union(roots.select("node", F.col("node").alias("label")))
+        else:
+            further = hooks.select(F.col("node").alias("label"), F.col("label").alias("further"))
+            labels = labels.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label"))
+        labels = write_out(labels, "labels")
+        for end in ("a", "b"):
+            lifted = hooks.select(F.col("node").alias(end), "label")
+            edges = edges.join(lifted, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+        edges = write_out(rows(edges), "edges")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

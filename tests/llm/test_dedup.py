@@ -125,3 +125,47 @@ def test_signature_estimates_weighted_similarity():
         signature = bag_minhash.signatures(owner, item, count, 2, 1000)
         seen.append((signature[0] == signature[1]).mean())
     assert abs(np.mean(true) - np.mean(seen)) < 0.01 and np.abs(np.array(true) - seen).max() < 0.06
+
+
+def test_components_match_brute_force(spark):
+    rng = random.Random(9)
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(200, i) for i in range(201, 320)] + [(201, i) for i in range(320, 330)]
+    loose = [tuple(rng.sample(range(400, 520), 2)) for _ in range(70)]
+    pairs = [(b, a) if rng.random() < 0.5 else (a, b) for a, b in chain + star + loose + star[:5] + [(7, 7)]]
+    name = lambda i: i.to_bytes(2, "big")
+    rng.shuffle(pairs)
+    edges = spark.createDataFrame([(name(a), name(b)) for a, b in pairs], "a binary, b binary")
+    got = {bytes(r.node): bytes(r.label) for r in near_dedup.components(edges).collect()}
+    least = {i: i for p in pairs for i in p}
+    for _ in range(200):
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    assert got == {name(i): name(j) for i, j in least.items() if i != 7}
+
+
+def test_large_group_that_its_pivots_split(spark):
+    """Copies drift from one to the next: a pivot is close to its neighbours only, yet all are one class."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    texts = []
+    for i in range(240):
+        base = list(base)
+        base[rng.randrange(200)] = f"x{i}"
+        texts.append((i, " ".join(base), "en"))
+    docs = edge.rows(spark, texts)
+    got = {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect()}
+    assert got == brute_classes(texts)
+
+
+def test_a_group_of_near_copies_has_few_links(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    texts = []
+    for i in range(400):
+        copy = list(base)
+        copy[rng.randrange(300)] = f"x{i}"
+        texts.append((i, " ".join(copy), "en"))
+    docs = edge.rows(spark, texts)
+    state = near_dedup.signed(docs).filter("node is not null").select("node", near_dedup.F.explode("bands").alias("bucket"))
+    assert near_dedup._star(state).count() <= 2 * 400
