@@ -99,7 +99,11 @@ def left_out_checks(checked: DataFrame, table: str) -> DataFrame:
 
 def constraint_checks(df: DataFrame, constraints: Sequence[tuple[str, str]], table: str) -> DataFrame:
     """One failed critical check per constraint that some rows break; none when all hold."""
-    broken = constraint_violations(df, constraints).filter("violations > 0")
+    return broken_constraint_rows(constraint_violations(df, constraints).filter("violations > 0"), table)
+
+
+def broken_constraint_rows(broken: DataFrame, table: str) -> DataFrame:
+    """Check rows of broken constraints (constraint_name, violations)."""
     check = _check(table, "constraint", "critical", F.lit("0"), F.col("violations"), F.lit("FAIL"), F.col("constraint_name"))
     return broken.select(F.inline(F.array(check)))
 
@@ -120,6 +124,11 @@ def suite(
     table: str, raw: DataFrame, clean: DataFrame, rules: Sequence[Rule], keys: Sequence[str], duplicate_check: str
 ) -> DataFrame:
     """Check rows for one table: rules before cleaning, keys and row counts after."""
+    return suite_rows(_before_after(raw, rules, clean, keys), table, rules, duplicate_check)
+
+
+def suite_rows(one_row: DataFrame, table: str, rules: Sequence[Rule], duplicate_check: str) -> DataFrame:
+    """Check rows from one row of figures: ``rows``, a count per rule, and ``after`` (rows, duplicates)."""
     checks = []
     for rule in rules:
         count = F.col(rule.name)
@@ -138,7 +147,6 @@ def suite(
     checks.append(
         _note(table, "rows_dropped_in_silver", F.concat(F.lit("= "), dropped.cast("string")), dropped)
     )
-    one_row = _before_after(raw, rules, clean, keys)
     return one_row.select(F.inline(F.array(*checks)))
 
 

@@ -7,7 +7,7 @@ from datetime import timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelake.operators import clean, dimension, quality
+from orelake.operators import clean, dimension, observed, quality
 from orelake.plans import bronze
 from orelake.plans.lake import CHECKS, CODE_CLEAN, CODE_RAW, PROJECTS, TICKETS_CLEAN, TICKETS_RAW, Lake, Run
 from orelake.sinks.tables import append_table, save_checked, save_table
@@ -35,7 +35,7 @@ def latest_first(df: DataFrame) -> list[Column]:
 
 
 def build(spark: SparkSession, lake: Lake, run: Run, fail_on_critical: bool = False) -> None:
-    """Compute silver rows once, log all checks on them, then replace the tables.
+    """Compute silver rows and all their checks in one scan of each bronze table, log the checks, then replace the tables.
 
     The log is written before a broken constraint or a failed critical check
     stops the run, and the tables are only replaced after that.
@@ -46,23 +46,30 @@ def build(spark: SparkSession, lake: Lake, run: Run, fail_on_critical: bool = Fa
     raw_code = spark.table(f"{lake.bronze}.{CODE_RAW}")
     raw_tickets = spark.table(f"{lake.bronze}.{TICKETS_RAW}")
 
-    code = clean.clean_modules(raw_code, latest_first(raw_code)).drop("_source_file")
-    code = write_out(clean.with_audit(code, run.run_id, run.ts), "silver-code")
-    tickets = clean.clean_issues(raw_tickets, latest_first(raw_tickets), as_of)
-    tickets = write_out(
-        clean.with_audit(tickets.drop("_source_file", "_system", "_system_bucket"), run.run_id, run.ts), "silver-tickets"
-    )
+    rules = ticket_rules(run)
+
+    def clean_code(rows: DataFrame) -> DataFrame:
+        kept = clean.clean_modules(rows, latest_first(rows)).drop("_source_file")
+        return clean.with_audit(kept, run.run_id, run.ts)
+
+    def clean_tickets(rows: DataFrame) -> DataFrame:
+        kept = clean.clean_issues(rows, latest_first(rows), as_of).drop("_source_file", "_system", "_system_bucket")
+        return clean.with_audit(kept, run.run_id, run.ts)
+
+    code_rules, issue_rules = quality.module_rules(), quality.issue_rules(as_of)
+    code_pass = observed.write_observed(raw_code, clean_code, "silver-code", code_rules, ["name", "_project", "_version"], CODE_RULES)
+    tickets_pass = observed.write_observed(raw_tickets, clean_tickets, "silver-tickets", issue_rules, ["issue_key"], rules)
+    code, tickets = code_pass.rows, tickets_pass.rows
     projects = dimension.project_dimension(code, tickets, lake.code_source, lake.ticket_source)
     projects = write_out(clean.with_audit(projects, run.run_id, run.ts), "silver-projects")
-    rules = ticket_rules(run)
 
     checks = (
         bronze.file_checks(spark, lake)
-        .unionByName(quality.module_suite(raw_code, code, CODE_CLEAN))
-        .unionByName(quality.issue_suite(raw_tickets, tickets, as_of, TICKETS_CLEAN))
+        .unionByName(observed.suite(code_pass, CODE_CLEAN, code_rules, "duplicate_natural_keys"))
+        .unionByName(observed.suite(tickets_pass, TICKETS_CLEAN, issue_rules, "duplicate_issue_keys"))
         .unionByName(quality.dimension_suite(projects, PROJECTS))
-        .unionByName(quality.constraint_checks(code, CODE_RULES, CODE_CLEAN))
-        .unionByName(quality.constraint_checks(tickets, rules, TICKETS_CLEAN))
+        .unionByName(observed.constraint_checks(code_pass, CODE_CLEAN))
+        .unionByName(observed.constraint_checks(tickets_pass, TICKETS_CLEAN))
     )
     log = append_table(
         quality.as_log(checks, run.run_id, run.ts),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelake.operators import clean, quality
+from orelake.operators import clean, observed, quality
 from orelake.workload import views as v
 from orelake.workload.registry import pct, query
 
@@ -78,6 +78,18 @@ def both_suites(spark: SparkSession, folder: str) -> DataFrame:
     return dq_suite_modules(spark, folder).unionByName(dq_suite_issues(spark, folder))
 
 
+@query(v.with_views("m_dirty", M_SUITE_SQL, s=_M_STATS))
+def dq_suite_observed(spark: SparkSession, folder: str) -> DataFrame:
+    """The module suite from figures that were taken while the cleaned rows were written."""
+    raw, rules = v.dirty_modules(spark, folder), quality.module_rules()
+    done = observed.write_observed(
+        raw, lambda rows: clean.clean_modules(rows, v.newest_first()), "observed", rules, v.MODULE_KEYS, [("bug_non_negative", "bug >= 0")]
+    )
+    return observed.suite(done, "code_metrics_clean", rules, "duplicate_natural_keys").unionByName(
+        observed.constraint_checks(done, "code_metrics_clean")
+    )
+
+
 _BOTH_SQL = {
     "ms": M_SUITE_SQL.replace("FROM s", "FROM s1"),
     "is_": I_SUITE_SQL.replace("FROM s", "FROM s2"),
