@@ -2,8 +2,6 @@
 
 The verdict rests on words (``word_grams``): counts over all trusted text, in
 tables that grow with it, and joins that estimate every gram of the documents.
-The model over letter classes below (``count`` to ``perplexities``, at most
-32 ** 4 entries) is a function of its own that the verdict does not use.
 
 A document's perplexity is taken over its whole text.  Thresholds are set in
 each language on text the model has not seen: a second model leaves out the
@@ -26,114 +24,18 @@ other than ``doc_id``, ``text`` and ``lang`` are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orelake.llm import word_grams
 from orelake.storage import write_out
 
-BITS = 5
-CLASSES = 1 << BITS
-ORDER = 4
 # Quantiles of trusted perplexity: head, middle, kept.
 QUANTILES = (0.3, 0.6, 0.999)
 # Quantiles of trusted perplexity among which poor rows choose the bound of what is kept.
 CUTS = tuple(i / 100 for i in range(50, 100)) + (0.995, 0.999)
 # One in so many trusted rows sets the thresholds.
 _UNSEEN = 5
-# Characters counted or scored at a time.
-_CHUNK = 2 << 20
-
-_BOUND, _SPACE, _DIGIT, _STOP, _MARK, _OTHER = 0, 27, 28, 29, 30, 31
-
-
-def _class_table():
-    """Class of every code point up to 0x17F; the rest are other letters."""
-    import unicodedata
-
-    import numpy as np
-
-    table = np.full(0x180, _OTHER, np.uint8)
-    for c in range(0x180):
-        char = chr(c)
-        base = unicodedata.normalize("NFD", char)[0].lower()
-        if char.isspace():
-            table[c] = _SPACE
-        elif "a" <= base <= "z":
-            table[c] = ord(base) - 96
-        elif char.isdigit():
-            table[c] = _DIGIT
-        elif char in ".,;:!?'\"()-":
-            table[c] = _STOP
-        elif not char.isalpha():
-            table[c] = _MARK
-    return table
-
-
-def _grams(texts: list[str], order: int, table):
-    """Number of the text and gram of every symbol that is predicted: all symbols and the closing bound."""
-    import numpy as np
-
-    pad = "￾" * (order - 1)
-    code = np.frombuffer((pad + pad.join(texts) + pad[:1]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    kind = table[np.minimum(code, len(table) - 1)]
-    kind[code >= len(table)] = _OTHER
-    # The bound's code point can also stand in a text: it is placed by number, not by look.
-    lengths = np.array([len(t) for t in texts])
-    first = np.cumsum(lengths + order - 1) - lengths
-    for k in range(1, order):
-        kind[first - k] = _BOUND
-    kind[-1] = _BOUND
-    # Runs of white space are one symbol.
-    single = np.ones(len(kind), bool)
-    single[1:] = (kind[1:] != _SPACE) | (kind[:-1] != _SPACE)
-    owner = np.repeat(np.arange(len(texts)), lengths + order - 1)
-    owner = np.append(owner, len(texts) - 1)
-    # Bounds before a text belong to it but are not predicted, save the one that closes the text before.
-    closing = np.zeros(len(kind), bool)
-    closing[np.append(first[1:] - (order - 1), len(kind) - 1)] = True
-    owner[closing] = np.arange(len(texts))
-    predicted = closing | (kind != _BOUND)
-    kind, owner, predicted = kind[single].astype(np.int64), owner[single], predicted[single]
-    gram = kind.copy()
-    for k in range(1, order):
-        gram[k:] |= kind[:-k] << (BITS * k)
-    # Empty texts predict nothing.
-    predicted &= lengths[owner] > 0
-    return owner[predicted], gram[predicted]
-
-
-def _slices(texts: list[str]):
-    start = held = 0
-    for i, text in enumerate(texts):
-        if i > start and held + len(text) > _CHUNK:
-            yield slice(start, i)
-            start, held = i, 0
-        held += len(text)
-    if start < len(texts):
-        yield slice(start, len(texts))
-
-
-def count(texts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, n) over the column ``text``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        table = _class_table()
-        total = np.zeros(1 << (BITS * order), np.int64)
-        for batch in batches:
-            own = [t or "" for t in batch.column("text").to_pylist()]
-            for part in _slices(own):
-                found, n = np.unique(_grams(own[part], order, table)[1], return_counts=True)
-                total[found] += n
-        gram = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(total[gram])], ["gram", "n"])
-
-    return texts.select("text").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def discounts(counted: DataFrame) -> tuple[float, float, float]:
@@ -146,95 +48,39 @@ def discounts(counted: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), i + 0.95) for i, d in enumerate(found))
 
 
-def estimate(counted: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, DataFrame]]:
-    """Per order from 1: (gram, p) of seen grams and (context, back) of seen contexts, by joins of count tables."""
-    tables = [write_out(counted, "kn-count")]
-    for k in range(order - 1, 0, -1):
-        # Continuation counts: in how many longer grams a gram is the ending.
-        ending = F.col("gram").bitwiseAND(F.lit((1 << (BITS * k)) - 1)).alias("gram")
-        tables.append(write_out(tables[-1].select(ending).groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "kn-count"))
-    out: list[tuple[DataFrame, DataFrame]] = []
-    for k, grams in enumerate(reversed(tables), 1):
-        d = discounts(grams)
-        taken: Column = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        own = grams.select("gram", F.shiftright("gram", BITS).alias("context"), "n", taken.alias("taken"))
-        contexts = own.groupBy("context").agg(F.sum("n").alias("mass"), (F.sum("taken") / F.sum("n")).alias("back"))
-        contexts = write_out(contexts, "kn-context")
-        joined = own.join(contexts, "context")
-        if k == 1:
-            lower = F.lit(1.0 / CLASSES)
-        else:
-            shorter = out[-1][0].select(F.col("gram").alias("ending"), F.col("p").alias("lower"))
-            ending = F.col("gram").bitwiseAND(F.lit((1 << (BITS * (k - 1))) - 1))
-            # Every ending of a counted gram was counted itself.
-            joined = joined.withColumn("ending", ending).join(shorter, "ending")
-            lower = F.col("lower")
-        p = (F.col("n") - F.col("taken")) / F.col("mass") + F.col("back") * lower
-        out.append((write_out(joined.select("gram", p.alias("p")), "kn-p"), contexts.select("context", "back")))
-    return out
-
-
-def dense(tables: list[tuple[DataFrame, DataFrame]]):
-    """Log probability of every gram of the highest order, seen or not: CLASSES ** ORDER numbers."""
-    import numpy as np
-
-    below = np.full(1, 1.0 / CLASSES)
-    for k, (grams, contexts) in enumerate(tables, 1):
-        back = np.ones(1 << (BITS * (k - 1)))
-        found = contexts.toArrow()
-        back[found.column("context").to_numpy()] = found.column("back").to_numpy()
-        code = np.arange(1 << (BITS * k))
-        lower = below[code & ((1 << (BITS * (k - 1))) - 1)] if k > 1 else below[0]
-        p = back[code >> BITS] * lower
-        found = grams.toArrow()
-        p[found.column("gram").to_numpy()] = found.column("p").to_numpy()
-        below = p
-    return np.log(below).astype(np.float32)
-
-
-def perplexities(docs: DataFrame, model) -> DataFrame:
-    """doc_id, lang, number of symbols and perplexity of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        table, logs = _class_table(), shared.value
-        order = (len(logs).bit_length() - 1) // BITS
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            size, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-            for part in _slices(texts):
-                owner, gram = _grams(texts[part], order, table)
-                n = part.stop - part.start
-                size[part] = np.bincount(owner, minlength=n)
-                total[part] = np.bincount(owner, weights=logs[gram], minlength=n)
-            value = np.exp(-total / np.maximum(size, 1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("lang"), pa.array(size), pa.array(value, mask=size == 0)],
-                ["doc_id", "lang", "n_symbols", "perplexity"],
-            )
-
-    read = docs.select(F.col("doc_id").cast("long"), "lang", "text")
-    return read.mapInArrow(run, "doc_id bigint, lang string, n_symbols bigint, perplexity double")
-
-
 def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
 
 
-def train(docs: DataFrame, trusted: DataFrame, order: int = ORDER):
-    """The model of all texts whose id is trusted."""
-    return dense(estimate(count(docs.join(trusted, "doc_id", "left_semi"), order), order))
-
-
 def poor_ids(labels: DataFrame) -> DataFrame:
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("best"))
     return known.filter("best = 0").select("doc_id")
 
 
-def _thresholds(tokens: DataFrame, trusted: DataFrame, poor: DataFrame | None, quantiles: tuple[float, float, float]):
-    """[(lang, points)] of the languages with unseen trusted rows, and the points over all of them."""
+def _language() -> Column:
+    """Languages as keys of joins; null is one of its own."""
+    return F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit(""))
+
+
+def _points(known: DataFrame, by: list[str], quantiles: tuple[float, float, float]) -> DataFrame:
+    """(by, points): the three thresholds of a group's unseen trusted rows."""
+    want = [*quantiles, *CUTS]
+    good = F.col("good") == 1
+    at = known.groupBy(*by).agg(F.percentile_approx(F.when(good, F.col("p")), want, 10000).alias("at")).filter("at is not null")
+    held = known.join(at, by) if by else known.withColumn("at", at.scalar())
+    passed = [F.count_if(~good & (F.col("p") <= F.col("at")[i])).alias(f"k{i}") for i in range(3, len(want))]
+    counts = held.groupBy(*by).agg(F.first("at").alias("at"), F.count_if(~good).alias("n"), *passed)
+    # Trusted rows at a quantile of theirs are kept in its share; of equals the highest.
+    gains = [F.struct((F.lit(want[i]) - F.col(f"k{i}") / F.col("n")).alias("gain"), F.lit(i).alias("i")) for i in range(3, len(want))]
+    best = F.get("at", F.array_max(F.array(*gains)).getField("i"))
+    last = F.when(F.col("n") > 0, best).otherwise(F.col("at")[2])
+    return counts.filter("at is not null").select(*by, F.array(F.col("at")[0], F.col("at")[1], last).alias("points"))
+
+
+def _thresholds(
+    tokens: DataFrame, trusted: DataFrame, poor: DataFrame | None, quantiles: tuple[float, float, float]
+) -> tuple[DataFrame, Column]:
+    """(language, points) of the languages with unseen trusted rows, and the points over all of them."""
     unseen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % _UNSEEN == 0
     model = word_grams.train(tokens.join(trusted.filter(~unseen), "doc_id", "left_semi"), discounts)
     asked = trusted.filter(unseen).withColumn("good", F.lit(1))
@@ -242,30 +88,10 @@ def _thresholds(tokens: DataFrame, trusted: DataFrame, poor: DataFrame | None, q
         asked = asked.unionByName(poor.join(trusted, "doc_id", "left_anti").select("doc_id").distinct().withColumn("good", F.lit(0)))
     rows = write_out(tokens.join(asked, "doc_id"), "kn-asked")
     scored = word_grams.score(rows, model).select("doc_id", "mark", F.exp(-F.col("logp") / F.col("n_symbols")).alias("p"))
-    known = write_out(scored.join(rows.select("doc_id", "mark", "lang", "good").distinct(), ["doc_id", "mark"]), "kn-known")
-    good = F.col("good") == 1
-    want = [*quantiles, *CUTS]
-    found: list[tuple[str | None, list[float]]] = []
-    everything = known.withColumn("lang", F.lit(None).cast("string"))
-    whole = [float("inf")] * 3
-    for per_language, frame in ((False, everything), (True, known)):
-        # One row per language.
-        points = frame.filter(good).groupBy("lang").agg(F.percentile_approx("p", want, 10000).alias("points"))
-        beside = frame.filter(~good).join(points.withColumnRenamed("lang", "of"), F.expr("lang <=> of")).select("lang", "p", "points")
-        passed = [F.sum((F.col("p") <= F.col("points")[i]).cast("long")).alias(f"k{i}") for i in range(3, len(want))]
-        bad = {r["lang"]: r for r in beside.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *passed).collect()}
-        for row in points.collect():
-            at = [float(x) for x in row["points"]]
-            if row["lang"] in bad:
-                b = bad[row["lang"]]
-                # Trusted rows at a quantile of theirs are kept in its share.
-                best = max(range(3, len(want)), key=lambda i: (want[i] - b[f"k{i}"] / b["n"], i))
-                at[2] = at[best]
-            if per_language:
-                found.append((row["lang"], at[:3]))
-            else:
-                whole = at[:3]
-    return found, whole
+    known = scored.join(rows.select("doc_id", "mark", _language().alias("language"), "good").distinct(), ["doc_id", "mark"])
+    known = write_out(known, "kn-known")
+    whole = write_out(_points(known, [], quantiles), "kn-whole")
+    return _points(known, ["language"], quantiles), F.coalesce(whole.scalar(), F.array(*[F.lit(float("inf"))] * 3))
 
 
 def judge(
@@ -290,17 +116,15 @@ def judge(
         F.exp(-F.col("logp") / F.col("n")).alias("perplexity"),
     )
     one = write_out(one, "kn-scored")
+    one = one.withColumn("language", _language())
     per, whole = _thresholds(tokens, trusted, poor, quantiles)
     # The bound is not below what the counted trusted texts themselves come to.
-    own = one.join(trusted, "doc_id", "left_semi").groupBy("lang").agg(F.percentile_approx("perplexity", quantiles[2], 10000).alias("p"))
-    own = {r["lang"]: r["p"] for r in own.collect() if r["p"] is not None}
-    per = [(lang, [*at[:2], max(at[2], own.get(lang, 0.0))]) for lang, at in per]
-    per += [(lang, [*whole[:2], max(whole[2], p)]) for lang, p in own.items() if lang not in dict(per)]
-    cut = F.lit(None).cast("array<double>")
-    for lang, points in per:
-        cut = F.when(F.col("lang").eqNullSafe(F.lit(lang)), F.array(*[F.lit(x) for x in points])).otherwise(cut)
-    cut = F.coalesce(cut, F.array(*[F.lit(float(x)) for x in whole]))
-    df = one.withColumn("_cut", cut).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    own = one.join(trusted, "doc_id", "left_semi").groupBy("language").agg(F.percentile_approx("perplexity", quantiles[2], 10000).alias("own"))
+    found = F.coalesce("points", whole)
+    last = F.greatest(found[2], F.col("own"))
+    cuts = write_out(per.join(own, "language", "full").select("language", F.array(found[0], found[1], last).alias("_cut")), "kn-cuts")
+    df = one.join(cuts, "language", "left").withColumn("_cut", F.coalesce("_cut", whole))
+    df = df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     p = F.col("perplexity")
     bucket = F.when(p.isNull(), None).when(p <= F.col("_cut")[0], "head").when(p <= F.col("_cut")[1], "middle").otherwise("tail")
     return df.select(

@@ -173,54 +173,6 @@ def test_page_table(spark):
 # --- Kneser-Ney --------------------------------------------------------------
 
 
-def brute_model(texts, order=4):
-    """Dense probabilities straight from the definition, over dictionaries of symbol tuples."""
-    table = kneser_ney._class_table()
-    seqs = []
-    for t in texts:
-        if not t:
-            continue
-        kinds = [int(table[ord(c)]) if ord(c) < len(table) else 31 for c in t]
-        kinds = [k for i, k in enumerate(kinds) if not (i and k == 27 and kinds[i - 1] == 27)]
-        seqs.append([0] * (order - 1) + kinds + [0])
-    counts = [None] * (order + 1)
-    counts[order] = collections.Counter(tuple(s[i : i + order]) for s in seqs for i in range(len(s) - order + 1))
-    for k in range(order - 1, 0, -1):
-        counts[k] = collections.Counter(g[1:] for g in counts[k + 1])
-
-    def p(gram):
-        k = len(gram)
-        if k == 0:
-            return 1 / 32
-        c = counts[k]
-        n = collections.Counter(c.values())
-        y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0.5
-        d = [1 - 2 * y * n[2] / n[1] if n[1] else 0.5, 2 - 3 * y * n[3] / n[2] if n[2] else 1.0, 3 - 4 * y * n[4] / n[3] if n[3] else 1.5]
-        d = [min(max(x, 0.05), i + 0.95) for i, x in enumerate(d)]
-        own = {g: v for g, v in c.items() if g[:-1] == gram[:-1]}
-        if not own:
-            return p(gram[1:])
-        mass = sum(own.values())
-        back = sum(d[min(v, 3) - 1] for v in own.values()) / mass
-        v = own.get(gram, 0)
-        return max(v - d[min(v, 3) - 1], 0) / mass * (v > 0) + back * p(gram[1:]) if v else back * p(gram[1:])
-
-    return p
-
-
-def test_model_matches_the_definition(spark):
-    texts = ["the cat sat on the mat", "the dog sat  on THE log.", "", None, "ça va? 12 34 ## \ufffe x", "aaa bbb ccc"]
-    docs = edge.rows(spark, [(i, t, "en") for i, t in enumerate(texts)])
-    model = np.exp(kneser_ney.train(docs, docs.select("doc_id")).astype(float))
-    assert np.allclose(model.reshape(-1, 32).sum(axis=1), 1, atol=1e-5)
-    p = brute_model(texts)
-    rng = random.Random(2)
-    for _ in range(60):
-        gram = tuple(rng.choice([0, 1, 3, 20, 5, 8, 27, 31]) for _ in range(4))
-        code = sum(k << (5 * (3 - i)) for i, k in enumerate(gram))
-        assert abs(model[code] - p(gram)) < 1e-6, gram
-
-
 def test_quality_edge_rows(spark):
     docs = edge.rows(spark)
     trusted = kneser_ney.trusted_ids(edge.labels(spark, [(5, 1, 0), (6, 1, 0), (6, 1, 0), (8, 1, 0), (4, 0, 0), (None, 1, 0)]))
