@@ -8,10 +8,12 @@ levels is odd).  As the complete key universe of the corpus is tested while the
 levels are built, the answer is exact for every key of the corpus, and a page is
 judged without a join: the bits are sent to the tasks.
 
-Keys are hosts.  The bits take about ten per listed key; they are cut into
-segments of at most ``SEGMENT`` listed keys by a hash, each with a cascade of its
-own, and pages pass through the segments one after the other, so no broadcast
-and no transfer to the driver exceeds the size of one segment.
+Keys are hosts; the list is a table of them, of any origin (``judge``).  The bits take
+about ten per listed key.  A list of at most ``SEGMENT`` keys is one cascade that every
+task holds.  A longer one is cut into segments by a hash, each with a cascade of its
+own: pages are dealt to the tasks of their host's segment, a hot host to ``SALTS`` of
+them, and a task holds the one segment it is at, so neither a task nor the driver ever
+holds more than one.
 
 Null urls and urls without ``://`` have empty host and path: no rule fits, and
 the empty host is never listed.  Rows are judged one by one, so ties and
@@ -27,6 +29,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from orelake.storage import write_out
 
@@ -41,6 +44,8 @@ RULES: tuple[tuple[str, str, str], ...] = (
 LISTED = r"(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|$)"
 # Listed keys in one segment.
 SEGMENT = 4_000_000
+# Tasks that share the pages of a segment.
+SALTS = 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -158,31 +163,92 @@ def is_listed(levels: Sequence[Level], h1, h2):
 def mark(pages: DataFrame, universe: DataFrame, listed: str = "listed", segment: int = SEGMENT) -> DataFrame:
     """``pages`` (with ``host``) and whether the host is listed, in ``is_listed``."""
     segments = max(1, math.ceil(universe.filter(listed).count() / segment))
-    names = pages.columns
-    of = lambda c: F.pmod(F.xxhash64(F.lit(3), c), F.lit(segments))
-    df = _hashed(pages).withColumns({"_segment": of("host"), "is_listed": F.lit(False)})
-    for s in range(segments):
-        shared = pages.sparkSession.sparkContext.broadcast(build(universe.filter(of("host") == s), listed))
+    if segments > 1:
+        return _mark_by_segment(pages, universe, listed, segments)
+    shared = pages.sparkSession.sparkContext.broadcast(build(universe, listed))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = is_listed(shared.value, batch.column("h1").to_numpy(), batch.column("h2").to_numpy())
+            yield batch.set_column(batch.schema.names.index("is_listed"), "is_listed", pa.array(found))
+
+    df = _hashed(pages).withColumn("is_listed", F.lit(False))
+    return df.mapInArrow(run, df.schema).select(*pages.columns, "is_listed")
+
+
+_HELD = "_segment int, _salt int, number int, bits bigint, hashes int, held binary"
 
-        def run(batches: Iterator[pa.RecordBatch], s: int = s, shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                h1, h2 = batch.column("h1").to_numpy(), batch.column("h2").to_numpy()
-                mine = (batch.column("_segment").to_numpy() == s) & is_listed(shared.value, h1, h2)
-                now = mine | batch.column("is_listed").to_numpy(zero_copy_only=False)
-                yield batch.set_column(batch.schema.names.index("is_listed"), "is_listed", pa.array(now))
 
-        df = df.mapInArrow(run, df.schema)
-    return df.select(*names, "is_listed")
+def _mark_by_segment(pages: DataFrame, universe: DataFrame, listed: str, segments: int) -> DataFrame:
+    """Each segment's levels go as rows to the tasks of the segment, ahead of its pages."""
+    spark = pages.sparkSession
+    of = lambda c: F.pmod(F.xxhash64(F.lit(3), c), F.lit(segments)).cast("int")
+    universe = write_out(universe.select("host", listed, of("host").alias("_segment")), "segments")
+    parts = []
+    for s in range(segments):
+        levels = build(universe.filter(F.col("_segment") == s), listed)
+        rows = [(s, k.number, k.bits, k.hashes, k.data) for k in levels]
+        frame = spark.createDataFrame(rows, "_segment int, number int, bits bigint, hashes int, held binary")
+        # One segment at a time is on the driver; it leaves it for the shared folder.
+        parts.append(write_out(frame.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), "levels"))
+    own = parts[0]
+    for part in parts[1:]:
+        own = own.union(part)
+    none = lambda kind: F.lit(None).cast(kind)
+    row = F.struct(*[F.col(f"`{n}`") for n in pages.columns]).alias("_row")
+    hashed = _hashed(pages.select(row, "host")).select(
+        "_row", "h1", "h2", of("host").alias("_segment"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("_salt"),
+        none("int").alias("number"), none("bigint").alias("bits"), none("int").alias("hashes"), none("binary").alias("held"),
+    )
+    levels = own.select(
+        none(hashed.schema["_row"].dataType.simpleString()).alias("_row"), none("bigint").alias("h1"), none("bigint").alias("h2"),
+        "_segment", "_salt", "number", "bits", "hashes", "held",
+    )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, listed: str = LISTED) -> DataFrame:
-    """page_id, host, path, rule and verdict of every page."""
+        at, held = None, []
+        for batch in batches:
+            segment, salt = (batch.column(c).to_numpy() for c in ("_segment", "_salt"))
+            number = batch.column("number")
+            level = ~np.asarray(number.is_null())
+            cuts = np.flatnonzero((segment[1:] != segment[:-1]) | (salt[1:] != salt[:-1]) | (level[1:] != level[:-1])) + 1
+            for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                part = batch.slice(first, last - first)
+                if last > first and level[first]:
+                    if (segment[first], salt[first]) != at:
+                        at, held = (segment[first], salt[first]), []
+                    columns = [part.column(c).to_pylist() for c in ("number", "bits", "hashes", "held")]
+                    held += [Level(*values) for values in zip(*columns)]
+                elif last > first:
+                    # A segment without listed keys has no levels.
+                    own = held if (segment[first], salt[first]) == at else []
+                    found = is_listed(own, part.column("h1").to_numpy(), part.column("h2").to_numpy()) if own else np.zeros(last - first, bool)
+                    yield pa.RecordBatch.from_arrays([part.column("_row"), pa.array(found)], ["_row", "is_listed"])
+
+    dealt = hashed.union(levels).repartition("_segment", "_salt").sortWithinPartitions("_segment", "_salt", F.col("number").isNull(), "number")
+    marked = dealt.mapInArrow(run, StructType([hashed.schema["_row"], StructField("is_listed", BooleanType())]))
+    return marked.select(*[F.col("_row").getField(n).alias(n) for n in pages.columns], "is_listed")
+
+
+def judge(
+    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, listed: str | DataFrame = LISTED, segment: int = SEGMENT
+) -> DataFrame:
+    """page_id, host, path, rule and verdict of every page.
+
+    ``listed`` is a table with the unwanted hosts in ``host`` (repeats and hosts that no page
+    has are harmless), or a pattern, which stands for the hosts of the pages that it fits.
+    """
     host, path = url_parts(F.col("url"))
     split = pages.select(F.col("page_id").cast("long"), host.alias("host"), path.alias("path"))
-    universe = write_out(
-        split.filter("host <> ''").select("host").distinct().withColumn("listed", F.col("host").rlike(listed)), "hosts"
-    )
+    hosts = split.filter("host <> ''").select("host").distinct()
+    if isinstance(listed, DataFrame):
+        known = listed.select(F.translate("host", _UPPER, _LOWER).alias("host")).filter("host <> ''").distinct()
+        marked = hosts.join(known.withColumn("listed", F.lit(True)), "host", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+    else:
+        marked = hosts.withColumn("listed", F.col("host").rlike(listed))
+    found = mark(split, write_out(marked, "hosts"), segment=segment)
     rule, verdict = rule_of(rules)
-    marked = mark(split, universe)
     own = F.when(F.col("is_listed") & (F.col("host") != ""), "block").otherwise("allow")
-    return marked.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"))
+    return found.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"))

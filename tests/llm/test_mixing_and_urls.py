@@ -107,3 +107,19 @@ def test_url_parts_and_rules(spark):
     assert got[12][:2] == ("a.example.com:", "//b/de/") and got[13][:2] == ("Ärger.com", "/\n/x")
     assert got[14][2:] == ("example.net/en/", "allow") and got[15] == ("notnet", "/", None, "allow")
     assert url_filters.judge(pages.limit(0)).count() == 0
+
+
+def test_a_table_of_hosts_is_the_list(spark):
+    rng = random.Random(3)
+    hosts = [f"Plain{i}.example" for i in range(3000)]
+    listed = set(rng.sample(hosts, 700))
+    # A third of the pages are of one listed host.
+    urls = [f"http://{h}/x" for h in hosts] + [f"http://{min(listed)}/y"] * 1500 + [None, "http://"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id bigint, url string").repartition(5)
+    names = [h.upper() for h in listed] + [min(listed), "on.no.page", None, ""]
+    table = spark.createDataFrame([(h, "x") for h in names], "host string, listed string")
+    want = {i: u is not None and u[7:].split("/")[0] in listed for i, u in enumerate(urls)}
+    for segment in (url_filters.SEGMENT, 100):
+        got = {r.page_id: r.verdict == "block" for r in url_filters.judge(pages, listed=table, segment=segment).collect()}
+        assert got == want
+    assert {r.verdict for r in url_filters.judge(pages, listed=table.limit(0)).collect()} == {"allow"}
