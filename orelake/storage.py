@@ -4,6 +4,9 @@ Some operators need a result to be fixed before it is read twice (for example
 a partition number that both a count and a join use).  Such results are
 written to the shared folder named by ``spark.checkpoint.dir``, so a lost
 executor can only cause a re-read, never a different answer.
+
+An operator that goes through rounds gives a table back with ``release`` when what was
+made from it is written too; results that are still to be read stay.
 """
 
 from __future__ import annotations
@@ -44,4 +47,19 @@ def write_out(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``write_out`` returned; frames made from one by a transformation are not such tables.
+
+    Only for tables that nothing unwritten depends on.
+    """
+    for table in tables:
+        path = table.__dict__.pop("_written_path", None)
+        if path is not None:
+            spark = table.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -164,3 +164,13 @@ def test_files_per_partition_and_key_spans(spark, database):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     spans = out.groupBy(F.input_file_name()).agg((F.max("k") - F.min("k")).alias("span")).collect()
     assert len(spans) > 4 and max(r.span for r in spans) < 400
+
+
+def test_a_released_table_is_gone_and_others_stay(spark):
+    from orelake.storage import release
+
+    first, second = write_out(spark.range(5), "kept"), write_out(spark.range(7), "spent")
+    path = second._written_path.removeprefix("file:")
+    assert os.path.exists(path)
+    release(second, second, first.select("id"))
+    assert not os.path.exists(path) and first.count() == 5
