@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orelake.llm import rows as _rows
-from orelake.storage import write_out
+from orelake.storage import release, write_out
 
 # Bytes of text in a block of the first level; later levels name pairs.
 BLOCK = 4096
@@ -129,6 +129,8 @@ def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
             .agg(F.array_sort(F.collect_list(F.struct("at", "name"))).getField("name").alias("names")),
             "names",
         )
+        # The texts' blocks have names now; the blocks themselves are read no more.
+        release(staged)
         ended = named.filter(F.size("names") == 1).select(
             "uid", "doc_id", "sha", F.lit(level).alias("level"), F.col("names")[0].alias("name")
         )

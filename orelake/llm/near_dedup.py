@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orelake.llm import rows as _rows
-from orelake.storage import write_out
+from orelake.storage import release, write_out
 
 SIMILARITY = 0.8
 # Nodes on either side of a block.
@@ -283,7 +283,7 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) ->
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of the links: the least node of its component."""
     rows = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
-    edges, labels = write_out(rows(edges), "edges"), None
+    edges, labels, known = write_out(rows(edges), "edges"), None, None
     while True:
         # The lower end of a link is the least neighbour of the higher one, or a candidate for it: chains only fall.
         hooks = write_out(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")), "hooks")
@@ -294,18 +294,22 @@ def components(edges: DataFrame) -> DataFrame:
             if hooks.join(further, "label", "left_semi").isEmpty():
                 break
             jumped = hooks.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label"))
-            hooks = write_out(jumped, "hooks")
+            shorter, hooks = hooks, write_out(jumped, "hooks")
+            release(shorter)
         if labels is None:
             roots = edges.select(F.col("a").alias("node")).distinct().join(hooks, "node", "left_anti")
             labels = hooks.union(roots.select("node", F.col("node").alias("label")))
         else:
             further = hooks.select(F.col("node").alias("label"), F.col("label").alias("further"))
             labels = labels.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label"))
-        labels = write_out(labels, "labels")
+        before, labels = known, write_out(labels, "labels")
+        known, contracted = labels, edges
         for end in ("a", "b"):
             lifted = hooks.select(F.col("node").alias(end), "label")
-            edges = edges.join(lifted, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
-        edges = write_out(rows(edges), "edges")
+            contracted = contracted.join(lifted, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+        spent, edges = edges, write_out(rows(contracted), "edges")
+        # The next round reads what this one has written.
+        release(spent, hooks, *([before] if before is not None else []))
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelake.storage import new_path, write_out
+from orelake.storage import new_path, release, write_out
 
 # Payloads below this size are never replaced by a reference.
 LEAST = 100
@@ -269,7 +269,8 @@ def verified(found: DataFrame) -> DataFrame:
         longer = state.join(on, ["file", "jump"], "left").select("file", "start", F.coalesce("further", "jump").alias("jump"), "reached")
         merged = longer.union(reached).groupBy("file", "start").agg(F.max("jump").alias("jump"), F.max("reached").alias("reached"))
         # An exit that is no candidate (the file's end) has no jump of its own.
-        state = write_out(merged.filter("jump is not null"), "chain")
+        spent, state = state, write_out(merged.filter("jump is not null"), "chain")
+        release(spent)
     entry = state.filter("reached").select("file", "start").join(found, ["file", "start"])
     entry = entry.select("file", "range", F.col("low").alias("_low"))
     return found.join(entry, ["file", "range"]).filter("low <= _low and _low < high and next <= size").drop("_low")
