@@ -53,3 +53,13 @@ def test_empty_table(spark):
 def test_plan_is_native(spark, plan_of):
     plan = plan_of(q.apply_policy(q.ledger(edge.rows(spark))))
     assert "Python" not in plan and "Arrow" not in plan.replace("ColumnarToRow", "") and "Exchange hashpartitioning" not in plan
+
+
+def test_repeats_of_windows_that_share_a_cut_hash(spark):
+    names = spark.range(600_000).selectExpr("concat('a', id) as w", "xxhash64(concat('a', id), 'b', 'c') & ((1L << 33) - 1) as h")
+    a, b = sorted(names.groupBy("h").agg({"w": "collect_list"}).filter("size(`collect_list(w)`) = 2").first()[1])
+    fill = [f"f{i}" for i in range(1 << 20)]
+    window = lambda w: [w, "b", "c"]
+    words = [*window(a), "x1", *window(b), "x2", *window(a), *fill]
+    row = q.ledger(edge.rows(spark, [(1, " ".join(words), "en")])).first()
+    assert row.n_words == len(words) and row.n_repeat_words == 6
