@@ -96,6 +96,17 @@ def fit_features(train: DataFrame, features: Sequence[str]) -> PipelineModel:
     return PipelineModel([assembler, scaler.fit(assembler.transform(train))])
 
 
+def fitted(estimator: Estimator, df: DataFrame, params: Mapping[Any, Any]) -> Model:
+    """Fit a model and drop its training summary.
+
+    The summary holds the session, which tasks cannot carry once anything was observed in it.
+    """
+    model = estimator.fit(df, params)
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model
+
+
 def prefix(model: Model, size: int) -> Model:
     """The ensemble of the first ``size`` trees of a fitted one, a model like any other.
 
@@ -148,14 +159,14 @@ def _best_model(
     params = lambda setting: {estimator.getParam(k): v for k, v in setting.items()}
     settings = [dict(s) for s in candidate.grid]
     if len(settings) == 1:
-        return estimator.fit(prepared, params(settings[0])), settings[0]
+        return fitted(estimator, prepared, params(settings[0])), settings[0]
     # numBins=0: the curve has a point per distinct score.
     evaluator = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
 
     def fold_scores(task: tuple[tuple, int]) -> list[tuple[int, float]]:
         (setting, members), fold = task
         try:
-            model = estimator.fit(prepared.filter(F.col("fold") != fold), params(setting))
+            model = fitted(estimator, prepared.filter(F.col("fold") != fold), params(setting))
             held_out = prepared.filter(F.col("fold") == fold)
             return [(i, evaluator.evaluate((prefix(model, n) if n else model).transform(held_out))) for i, n in members]
         except Exception as error:  # noqa: BLE001 - any setting may fail in its own way
@@ -173,7 +184,7 @@ def _best_model(
     whole = {i: sum(s) / folds for i, s in sums.items() if len(s) == folds}
     for place in sorted(whole, key=lambda i: (-whole[i], i)):
         try:
-            return estimator.fit(prepared, params(settings[place])), settings[place]
+            return fitted(estimator, prepared, params(settings[place])), settings[place]
         except Exception as error:  # noqa: BLE001
             warnings.warn(f"{candidate.name} {settings[place]}: {error}", stacklevel=2)
     raise RuntimeError(f"{candidate.name}: no setting could be trained")

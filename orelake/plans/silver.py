@@ -87,6 +87,7 @@ def build(spark: SparkSession, lake: Lake, run: Run, fail_on_critical: bool = Fa
         cluster_by=["is_buggy", "_version"],
         comment="Code metrics, one row per module and version, with flag and density.",
         staged=True,
+        interleave=True,
     )
     save_checked(
         tickets,
@@ -96,6 +97,7 @@ def build(spark: SparkSession, lake: Lake, run: Run, fail_on_critical: bool = Fa
         cluster_by=["project_key", "issue_type"],
         comment="Tickets, one row per key, with days to resolve; inverted dates left out.",
         staged=True,
+        interleave=True,
     )
     save_table(
         projects,

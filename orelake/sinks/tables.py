@@ -220,6 +220,7 @@ def save_checked(
     comment: str | None = None,
     quarantine: str | None = None,
     staged: bool = False,
+    interleave: bool = False,
 ) -> DataFrame:
     """Replace a table with rows that meet all rules.
 
@@ -231,13 +232,13 @@ def save_checked(
     rows = df if staged else write_out(df, "staging")
     if quarantine is None:
         _require(rows, rules, table)
-        save_table(rows, table, partition_by, cluster_by)
+        save_table(rows, table, partition_by, cluster_by, interleave=interleave)
     else:
         good = F.lit(True)
         for _, rule in rules:
             good = good & F.coalesce(F.expr(rule), F.lit(False))
         save_table(rows.filter(~good), quarantine)
-        save_table(rows.filter(good), table, partition_by, cluster_by)
+        save_table(rows.filter(good), table, partition_by, cluster_by, interleave=interleave)
     if rules:
         set_properties(spark, table, {_RULE + name: rule for name, rule in rules})
     if comment:

@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from orelake.operators import ml, sampling, scaling
@@ -165,6 +166,17 @@ def test_logistic_coefficients_match_newton_steps(rows):
     assert [*model.coefficients, model.intercept] == pytest.approx(list(weights), abs=1e-6)
 
 
+def test_models_train_and_score_after_something_was_observed(spark, rows):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    train, test = sampling.split(rows, KEYS, "label")
+    candidates = [ml.logistic([{"maxIter": 5}, {"maxIter": 6}]), ml.random_forest([{"numTrees": 2, "maxDepth": 2}])]
+    trained = ml.train_candidates(train, test, FEATURES, KEYS, candidates, folds=2)
+    assert [t.name for t in trained] == ["LogisticRegression", "RandomForest"]
+    assert all(t.scored_test.count() == test.count() for t in trained)
+
+
 def test_kept_models_come_back(spark, trained, folder):
     assert ml.kept_models(spark, folder) is None
     ml.keep_models(trained, folder)
