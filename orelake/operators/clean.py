@@ -47,13 +47,19 @@ def filter_temporal(df: DataFrame, start: str, end: str, as_of: Column) -> DataF
     return df.filter(F.col(start) <= as_of).filter(F.col(end).isNull() | (F.col(end) >= F.col(start)))
 
 
-def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column], dealt_by: Sequence[str] = ()) -> DataFrame:
     """One row per key, the first by ``order``, which the caller makes total.
 
     Spark limits each key to one row inside every map task before the shuffle
-    (WindowGroupLimit), so a key with very many copies stays small.
+    (WindowGroupLimit), so a key with very many copies stays small.  That limit sorts
+    all a task has read, which drops nothing where keys have few copies: then
+    ``dealt_by`` names columns that the key determines, or the keys, and rows are
+    dealt by them before the only sort.  After a join on these columns that takes no
+    shuffle.  Copies of one key then meet in one task, where their sort can spill.
     """
-    first = Window.partitionBy(*keys).orderBy(*order)
+    if dealt_by:
+        df = df.repartition(*dealt_by)
+    first = Window.partitionBy(*dict.fromkeys([*dealt_by, *keys])).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") == 1).drop("_rn")
 
 
@@ -82,18 +88,19 @@ def clean_modules(
     order: Sequence[Column],
     keys: Sequence[str] = ("name", "_project", "_version"),
     required: Sequence[str] = ("name", "loc", "bug"),
+    dealt_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Filter, then deduplicate, then derive."""
+    """Filter, then deduplicate, then derive; ``dealt_by`` as in ``dedup_latest``."""
     kept = filter_required(df, required, non_negative=["bug"])
-    return derive_modules(dedup_latest(kept, keys, order))
+    return derive_modules(dedup_latest(kept, keys, order, dealt_by))
 
 
 def clean_issues(
-    df: DataFrame, order: Sequence[Column], as_of: Column, keys: Sequence[str] = ("issue_key",)
+    df: DataFrame, order: Sequence[Column], as_of: Column, keys: Sequence[str] = ("issue_key",), dealt_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Filter (before deduplication, so a bad copy cannot win), deduplicate, derive."""
+    """Filter (before deduplication, so a bad copy cannot win), deduplicate, derive; ``dealt_by`` as in ``dedup_latest``."""
     kept = filter_temporal(filter_required(df, [*keys, "created"]), "created", "resolved", as_of)
-    return derive_issues(dedup_latest(kept, keys, order), as_of)
+    return derive_issues(dedup_latest(kept, keys, order, dealt_by), as_of)
 
 
 def complete_rows(df: DataFrame, subset: Sequence[str]) -> DataFrame:

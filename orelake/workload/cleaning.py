@@ -110,7 +110,7 @@ _DERIVED = ["issue_key", "year_created", "month_created"]
 
 @query(v.with_views("i", f"SELECT {', '.join(_DERIVED)} FROM i"))
 def date_parts(spark: SparkSession, folder: str) -> DataFrame:
-    issues = clean.clean_issues(v.raw_issues(spark, folder), v.newest_first(), v.as_of())
+    issues = v.item_issues(v.raw_issues(spark, folder))
     return issues.select(*_DERIVED)
 
 
@@ -213,7 +213,7 @@ def path_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(v.with_views("m", "SELECT name, _project, _version, bug, loc, l_extendedprice, is_buggy, bug_density FROM m"))
 def dedup_latest(spark: SparkSession, folder: str) -> DataFrame:
-    rows = clean.clean_modules(v.raw_modules(spark, folder), v.newest_first())
+    rows = v.item_modules(v.raw_modules(spark, folder))
     return rows.select("name", "_project", "_version", "bug", "loc", "l_extendedprice", "is_buggy", "bug_density")
 
 

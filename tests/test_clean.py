@@ -118,3 +118,32 @@ def test_column_functions(spark):
     ).first()
     assert row.last == "Name" and row.label == "log4j foo-bar • Name" and row.letter == "L"
     assert row.title == "Log4j Foo-bar" and row.no_whole is None and row.half_up == 1.01 and row.band == "medium"
+
+
+def test_dealt_rows_are_sorted_after_the_shuffle_only(spark, plan_of):
+    """No task sorts a whole split of its input; rows are those of the plain form, copies and null parts of a key included."""
+    df = spark.range(60).select(
+        (F.col("id") % 7).alias("o"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("n"), F.lit("x" * 20).alias("t"), "id"
+    )
+    out = clean.dedup_latest(df, ["o", "n"], [F.desc("id")], dealt_by=["o"])
+    assert sorted(map(str, out.collect())) == sorted(map(str, clean.dedup_latest(df, ["o", "n"], [F.desc("id")]).collect()))
+    plan = plan_of(clean.dedup_latest(df, ["o", "n"], [F.desc("id")], dealt_by=["o"]))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Sort [" not in plan.partition("Exchange hashpartitioning")[2]
+
+
+def test_items_are_shuffled_once_on_the_way_to_issues(spark, plan_of):
+    """The join lays the items of an order together; cleaning them takes no further shuffle."""
+    from conftest import SMALL
+
+    from orelake.workload import views as v
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = v.item_issues(v.raw_issues(spark, SMALL))
+        rows.count()
+        plan = plan_of(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("hashpartitioning(l_orderkey") == 1 and "hashpartitioning(issue_key" not in plan
+    assert plan.partition("hashpartitioning(l_orderkey")[0].count("Exchange") == 1
