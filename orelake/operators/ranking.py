@@ -46,7 +46,10 @@ def running_totals(
         out = df.withColumns({f"{n}_total": F.sum(n).over(whole) for n in names})
         return out.withColumns({n: F.sum(n).over(ordered) for n in names})
 
-    spread = df.repartitionByRange(*by, *order).withColumn(_PART, F.spark_partition_id())
+    # As many ranges as the session has shuffle partitions: Spark would lay small ones
+    # together up to a size that counts packed bytes, and a task sorts and holds its ranges unpacked.
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.repartitionByRange(ranges, *by, *order).withColumn(_PART, F.spark_partition_id())
     # The range number must be the same for both readers below, so it is stored.
     fixed = write_out(spread, "ranges")
 
@@ -63,6 +66,7 @@ def running_totals(
     # One start row per (range, group) takes part in the running sum, which
     # saves a join and treats NULL groups like any other.
     rows = fixed.withColumn(_DATA, F.lit(True)).unionByName(starts, allowMissingColumns=True)
+    rows = rows.repartitionById(ranges, F.col(_PART))
     inside = Window.partitionBy(_PART, *by).orderBy(_DATA, *order).rowsBetween(Window.unboundedPreceding, 0)
     out = rows.withColumns(
         {

@@ -126,3 +126,13 @@ def test_merge_groups_keeps_null_group(spark):
     b = spark.createDataFrame([(None, 3)], "g string, b int")
     rows = {r.g: (r.a, r.b) for r in ranking.merge_groups(["g"], a, b).collect()}
     assert rows == {None: (1, 3), "k": (2, None)}
+
+
+def test_ranges_are_as_many_as_shuffle_partitions(spark, plan_of):
+    """Small ranges are not laid together, and each is read by a task of its own without a further shuffle."""
+    df = spark.range(4000).select((F.col("id") % 2).alias("g"), F.hash("id").alias("x"), "id")
+    out = ranking.row_numbers(df, ["g"], ["x", "id"])
+    assert sorted(r.row_number for r in out.filter("g = 1").collect()) == list(range(1, 2001))
+    plan = plan_of(out)
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    assert "shufflepartitionidpassthrough(direct_shuffle_partition_id(_range_part" in plan and f", {n}), REPARTITION_BY_NUM" in plan
