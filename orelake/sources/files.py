@@ -55,7 +55,8 @@ def read_text_csv(spark: SparkSession, paths: str | list[str], **options: str) -
 
 def file_line_counts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Physical lines minus the header per file (blank lines and line breaks in cells count); 0 for an empty file."""
-    lines = spark.read.text(paths).select(_file_path()).groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("_lines"))
+    lines = spark.read.text(paths).groupBy(F.col("_metadata.file_path").alias("uri")).agg(F.count(F.lit(1)).alias("_lines"))
+    lines = lines.select(_file_path("uri"), "_lines")
     return (
         list_files(spark, paths)
         .join(lines, SOURCE_FILE, "left")
@@ -75,20 +76,29 @@ def check_headers(spark: SparkSession, paths: str | list[str], n_columns: int, s
 
     The header is the first line of the split that starts at byte 0.  An empty
     file has no columns and does not conform.  ``separator`` is plain text.
+
+    Of a line only its number and its number of columns are kept: these aggregate in
+    a hash table of one row per file, where the line's text would have all lines sorted.
     """
+    if not separator:
+        raise ValueError("a separator is at least one character")
+    mark = F.lit(separator)
+    separators = (F.octet_length("value") - F.octet_length(F.replace("value", mark, F.lit("")))) / F.octet_length(mark)
     lines = spark.read.text(paths).select(
-        "value",
-        _file_path(),
+        F.col("_metadata.file_path").alias("uri"),
         (F.col("_metadata.file_block_start") == 0).alias("_first_split"),
         F.monotonically_increasing_id().alias("_line"),
+        (separators.cast("int") + 1).alias("_columns"),
+    )
+    first = lambda name: F.when(F.col("_first_split"), F.col(name))
+    per_file = lines.groupBy("uri").agg(
+        F.min_by(first("_columns"), first("_line")).alias("_columns"), F.count(F.lit(1)).alias("_lines")
     )
-    header = F.min_by(F.when(F.col("_first_split"), F.col("value")), F.when(F.col("_first_split"), F.col("_line")))
-    per_file = lines.groupBy(SOURCE_FILE).agg(header.alias("_header"), F.count(F.lit(1)).alias("_lines"))
+    per_file = per_file.select(_file_path("uri"), "_columns", "_lines")
     per_file = list_files(spark, paths).join(per_file, SOURCE_FILE, "left").withColumn(
         "data_rows", F.greatest(F.coalesce("_lines", F.lit(0)) - 1, F.lit(0))
     )
-    quoted = "".join(f"[{c}]" if c not in "^\\" else "\\" + c for c in separator)
-    columns = F.when(F.col("_header").isNull(), 0).otherwise(F.size(F.split("_header", F.lit(quoted), -1)))
+    columns = F.coalesce("_columns", F.lit(0))
     return per_file.select(
         SOURCE_FILE,
         columns.alias("n_columns"),

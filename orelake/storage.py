@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +54,23 @@ def write_out(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+_OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def one_writer_per_value(spark: SparkSession, most: int = 32) -> Iterator[None]:
+    """Partitioned writes inside keep a file open per value, up to ``most``, instead of sorting all rows of a task.
+
+    Rows of further values are sorted, as they all would be without this.
+    """
+    before = spark.conf.get(_OPEN_WRITERS)
+    spark.conf.set(_OPEN_WRITERS, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(_OPEN_WRITERS, before)
+
+
 def release(*tables: DataFrame) -> None:
     """Delete the files of tables that ``write_out`` returned; frames made from one by a transformation are not such tables.
 

@@ -12,7 +12,7 @@ from orelake.functions import columns as c
 from orelake.operators import clean, quality
 from orelake.sinks import tables as sinks
 from orelake.sources import files
-from orelake.storage import new_path
+from orelake.storage import new_path, one_writer_per_value, write_out
 from orelake.workload import checks
 from orelake.workload import views as v
 from orelake.workload.registry import query
@@ -26,7 +26,8 @@ def _item_files(spark: SparkSession, folder: str) -> str:
     """Line items as CSV, one folder per flag; returns the glob of the files."""
     path = new_path(spark, "items-csv")
     items = v.table(spark, folder, "lineitem").select(*_ITEM_COLUMNS, F.col("l_returnflag").alias("kind"))
-    items.write.partitionBy("kind").option("header", "true").csv(path)
+    with one_writer_per_value(spark):
+        items.write.partitionBy("kind").option("header", "true").csv(path)
     return f"{path}/*/*.csv"
 
 

@@ -105,3 +105,28 @@ def test_project_is_the_folder_of_the_file(spark, tmp_path):
     row = bronze.landed_code(spark, lake).first()
     assert (row._project, row._version) == ("my proj", "2.0")
     assert bronze.landed_code(spark, Lake(landing=str(root), artifacts="", excluded_files=("my proj-2.0.csv",))).count() == 0
+
+
+def test_lines_are_not_sorted_for_their_headers(spark, landing, plan_of):
+    for frame in (files.check_headers(spark, f"{landing}/code/*/*.csv", 22), files.file_line_counts(spark, f"{landing}/code/*/*.csv")):
+        assert "SortAggregate" not in plan_of(frame) and "HashAggregate" in plan_of(frame)
+
+
+def test_separators_of_many_letters_and_empty_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ä||b||\n1||2||3\n")
+    (tmp_path / "b.csv").write_text("\n1||2\n")
+    got = {r._source_file.rsplit("/", 1)[-1]: r.n_columns for r in files.check_headers(spark, f"{tmp_path}/*.csv", 3, "||").collect()}
+    assert got == {"a.csv": 3, "b.csv": 1}
+
+
+def test_partitioned_write_keeps_a_file_open_per_value(spark, tmp_path):
+    """Values beyond the limit are written too, and the session's setting comes back."""
+    from orelake import storage
+
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    rows = spark.range(200).selectExpr("id", "nullif(id % 9, 4) AS kind")
+    with storage.one_writer_per_value(spark, most=3):
+        assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "3"
+        rows.write.partitionBy("kind").parquet(f"{tmp_path}/t")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    assert sorted(map(str, spark.read.parquet(f"{tmp_path}/t").collect())) == sorted(map(str, rows.collect()))
