@@ -178,8 +178,11 @@ def issue_rules(as_of: Column) -> list[Rule]:
     ]
 
 
-def issue_suite(raw: DataFrame, clean: DataFrame, as_of: Column, table: str = "process_issues_clean") -> DataFrame:
-    return suite(table, raw, clean, issue_rules(as_of), ["issue_key"], "duplicate_issue_keys")
+def issue_suite(
+    raw: DataFrame, clean: DataFrame, as_of: Column, table: str = "process_issues_clean", keys: Sequence[str] = ("issue_key",)
+) -> DataFrame:
+    """``keys`` may start with columns that the issue key determines and the clean rows are dealt by."""
+    return suite(table, raw, clean, issue_rules(as_of), keys, "duplicate_issue_keys")
 
 
 def dimension_suite(dim: DataFrame, table: str = "dim_project") -> DataFrame:

@@ -64,14 +64,13 @@ I_SUITE_SQL = " UNION ALL ".join(
 @query(v.with_views("m_dirty", M_SUITE_SQL, s=_M_STATS))
 def dq_suite_modules(spark: SparkSession, folder: str) -> DataFrame:
     raw = v.dirty_modules(spark, folder)
-    return quality.module_suite(raw, clean.clean_modules(raw, v.newest_first()))
+    return quality.module_suite(raw, v.item_modules(raw))
 
 
 @query(v.with_views("i_dirty", I_SUITE_SQL, s=_I_STATS))
 def dq_suite_issues(spark: SparkSession, folder: str) -> DataFrame:
     raw = v.dirty_issues(spark, folder)
-    cleaned = clean.clean_issues(raw, v.newest_first(), v.as_of())
-    return quality.issue_suite(raw, cleaned, v.as_of())
+    return quality.issue_suite(raw, v.item_issues(raw), v.as_of(), keys=["l_orderkey", "issue_key"])
 
 
 def both_suites(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,7 +82,7 @@ def dq_suite_observed(spark: SparkSession, folder: str) -> DataFrame:
     """The module suite from figures that were taken while the cleaned rows were written."""
     raw, rules = v.dirty_modules(spark, folder), quality.module_rules()
     done = observed.write_observed(
-        raw, lambda rows: clean.clean_modules(rows, v.newest_first()), "observed", rules, v.MODULE_KEYS, [("bug_non_negative", "bug >= 0")]
+        raw, v.item_modules, "observed", rules, v.MODULE_KEYS, [("bug_non_negative", "bug >= 0")]
     )
     return observed.suite(done, "code_metrics_clean", rules, "duplicate_natural_keys").unionByName(
         observed.constraint_checks(done, "code_metrics_clean")

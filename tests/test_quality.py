@@ -71,3 +71,15 @@ def test_reconcile_counts_a_missing_group(spark):
 def test_retention_of_an_emptied_table(spark):
     out = quality.retention([("t", spark.range(4), spark.range(4).filter(F.lit(False)))])
     assert tuple(out.first()) == ("t", 4, 0, 0.0)
+
+
+def test_both_runs_log_suites_that_were_computed_once(spark, monkeypatch):
+    from conftest import SMALL
+
+    from orelake.workload import files as queries
+
+    seen, as_log = [], quality.as_log
+    monkeypatch.setattr(queries.quality, "as_log", lambda checks, *run: seen.append(checks) or as_log(checks, *run))
+    log = queries.dq_log_append(spark, SMALL)
+    assert {r.run_id: r["count"] for r in log.groupBy("run_id").count().collect()} == {"run-1": 15, "run-2": 16}
+    assert len(seen) == 2 and all(any("/suites-" in f for f in checks.inputFiles()) for checks in seen)
