@@ -201,3 +201,19 @@ def test_failing_settings_and_candidates_are_left_out(rows):
             ml.train_candidates(train, test, FEATURES, KEYS, only_broken)
         kept = ml.train_candidates(train, test, FEATURES, KEYS, [*only_broken, ml.logistic([{"maxIter": 5}])])
     assert [t.name for t in kept] == ["LogisticRegression"]
+
+
+def test_candidates_share_the_picked_rows(spark):
+    """The rows to fit on are picked in one pass over the table; a candidate reads what was written."""
+    from conftest import SMALL
+
+    from orelake.workload import models
+
+    train, _ = models._split(spark, SMALL)
+    assert train.inputFiles() and all("/fit-rows-" in f for f in train.inputFiles())
+    again, _ = models._split(spark, SMALL)
+    assert sorted(train.inputFiles()) == sorted(again.inputFiles())
+    keys = models.v.MODULE_KEYS
+    rows = models._rows(spark, SMALL)
+    wanted = models.sampling.split(rows, keys, "label")[0].orderBy(models.hash_number(7, *keys), *keys).limit(models.FIT_ROWS)
+    assert sorted(train.collect()) == sorted(wanted.collect())
