@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelake.operators import clean, observed, quality
+from orelake.operators import observed, quality
 from orelake.workload import views as v
 from orelake.workload.registry import pct, query
 
