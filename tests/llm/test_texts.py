@@ -59,6 +59,33 @@ def test_draws_follow_path_weights(vocabulary):
     assert max(abs(seen[p] / n - w) for (p, _), w in zip(known, weight)) < 0.01
 
 
+def test_segments_are_asked_for_once_a_piece(vocabulary):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *args):
+            Counted.asked += 1
+            return super().get(*args)
+
+    sampler = Sampler(vocabulary)
+    sampler.young.known = Counted()
+    sampler.encode([1], ["more of the same " * 5_000])
+    # Five segments: the last blank is one of its own.
+    assert Counted.asked <= 10
+
+
+def test_cut_texts_give_the_same_pieces(vocabulary, monkeypatch):
+    texts = ["", "a  b \n\n c\n", "word " * 300 + "  \n", "x" * 90, "\u4f60\u597d \U0001f600 " * 40, "   ", "\n", "end"]
+    whole, sizes = Sampler(vocabulary).encode(list(range(8)), texts)
+    for chunk in (1, 7, 64):
+        monkeypatch.setattr("orelake.llm.piece_lattice._CHUNK", chunk)
+        sampler = Sampler(vocabulary)
+        found, own = sampler.encode(list(range(8)), texts)
+        assert found.tolist() == whole.tolist() and own.tolist() == sizes.tolist()
+        assert sampler.lossless(found, own, texts) == [True] * 8
+        assert sampler.lossless(found, own, [*texts[:7], "and"]) == [True] * 7 + [False]
+
+
 # --- personal data -----------------------------------------------------------
 
 BASE = {
