@@ -17,13 +17,15 @@ Terms are runs of letters A-Z, a-z and of all characters beyond ASCII, only A-Z
 lower-cased.  Null text, language and source count as ''.  Texts without terms still
 make their (language, source) group occur.  Equal values are ranked by ordinal, which
 is the order of the terms' bytes, or by the source's bytes.  Repeated rows count each.
-Very long texts pass in pieces.  An empty table gives an empty result; other columns
+Texts of a language are taken in pieces, whose terms are told apart in columns of bytes;
+Python touches the distinct ones of a piece only.  Very long texts pass in several pieces.  An empty table gives an empty result; other columns
 are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -37,8 +39,10 @@ TOP = 10
 SHARD = 1 << 18
 # Bytes of transducers that every task may hold.
 HELD = 64 << 20
-# Counters that a task holds before it hands them on, and known terms before it forgets them.
+# Terms that a task counts before it hands them on, and known terms before it forgets them.
 ENTRIES = 500_000
+# Counts of ordinals, as columns, that a task holds before it hands them on.
+CELLS = 2_000_000
 # Sources on either side of a tile, and ordinals in a block.
 TILE, BLOCK = 256, 4096
 # Tasks a shard is dealt to where terms are routed.
@@ -47,18 +51,55 @@ SALTS = 8
 SCALE = 1_000_000_000
 
 _KEPT = bytes(b | 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
-_PIECE = 1 << 20
-
-
-def words(text: bytes) -> Iterator[list[bytes]]:
-    """The terms of a text, in lists of bounded size."""
-    plain = text.translate(_KEPT)
+# Bytes of text whose terms are told apart at a time.
+_PIECE = 4 << 20
+# A byte that is in no term, as a term between two texts.
+_MARK = b"\0"
+
+
+def _texts(batch: pa.RecordBatch, of: str = "lang") -> Iterator[tuple[str, list[str], list[bytes]]]:
+    """Rows of one language at a time, about ``_PIECE`` bytes of them or one longer text: (lang, ``of``, texts)."""
+    held: dict[str, tuple[list[str], list[bytes]]] = {}
+    size: dict[str, int] = {}
+    for lang, source, text in zip(*[batch.column(c).to_pylist() for c in ("lang", of, "text")]):
+        if len(text) > _PIECE:
+            yield lang, [source], [text]
+            continue
+        sources, texts = held.setdefault(lang, ([], []))
+        sources.append(source)
+        texts.append(text)
+        size[lang] = size.get(lang, 0) + len(text)
+        if size[lang] > _PIECE:
+            yield lang, *held.pop(lang)
+            del size[lang]
+    for lang, (sources, texts) in held.items():
+        yield lang, sources, texts
+
+
+def told(texts: list[bytes]) -> Iterator[tuple]:
+    """(terms, which of them each word is, text of each word) of all words; a long text alone comes in pieces."""
+    import numpy as np
+
+    plain = (b" " + _MARK + b" ").join([t.translate(_KEPT) for t in texts]) + b" "
     at = 0
     while at < len(plain):
-        cut = plain.find(b" ", at + _PIECE)
-        cut = len(plain) if cut < 0 else cut
-        yield plain[at:cut].split()
+        cut = plain.find(b" ", at + 2 * _PIECE) if len(texts) == 1 else -1
+        cut = len(plain) if cut < 0 else cut + 1
+        part = np.frombuffer(plain, np.uint8, cut - at, at)
         at = cut
+        # Every word ends with its blank; the others go.
+        blank = part == 0x20
+        stay = np.append(not blank[0], ~(blank[1:] & blank[:-1]))
+        ends = np.flatnonzero(blank[stay]) + 1
+        buffers = [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), pa.py_buffer(part[stay])]
+        column = pa.Array.from_buffers(pa.large_binary(), len(ends), buffers).dictionary_encode()
+        terms = b"".join(filter(None, column.dictionary.buffers()[2:])).split(b" ")[: len(column.dictionary)]
+        code = column.indices.to_numpy().astype(np.int64)
+        row = np.zeros(len(code), np.int64)
+        if len(texts) > 1:
+            mark = code == terms.index(_MARK)
+            row, code = np.cumsum(mark)[~mark], code[~mark]
+        yield terms, code, row
 
 
 def _table(columns: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
@@ -71,27 +112,46 @@ def _table(columns: list[tuple], kinds: list[pa.DataType], names: list[str]) ->
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from collections import Counter
+    import numpy as np
 
-    counts: dict[str, Counter] = {}
+    counts: dict[str, dict[bytes, int]] = {}
 
     def emptied() -> pa.RecordBatch:
         rows = [((lang, len(own)), list(own), list(own.values())) for lang, own in counts.items()]
         counts.clear()
         return _table(rows, [pa.string(), pa.binary(), pa.int64()], ["lang", "term", "n"])
 
+    def found(texts: list[bytes]) -> Iterator[tuple[bytes, int]]:
+        if len(texts) == 1:
+            distinct: set[bytes] = set()
+            for terms, code, _ in told(texts):
+                distinct.update([terms[i] for i in np.unique(code).tolist()])
+            yield from zip(distinct, repeat(1))
+        else:
+            for terms, code, row in told(texts):
+                n = np.bincount(_distinct(row * len(terms) + code)[0] % len(terms), minlength=len(terms))
+                some = np.flatnonzero(n)
+                yield from zip([terms[i] for i in some.tolist()], n[some].tolist())
+
     for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            parts = words(text)
-            distinct = set(next(parts, ()))
-            for part in parts:
-                distinct.update(part)
-            counts.setdefault(lang, Counter()).update(distinct)
-        if sum(map(len, counts.values())) > ENTRIES:
-            yield emptied()
+        for lang, _, texts in _texts(batch):
+            own = counts.setdefault(lang, {})
+            for term, n in found(texts):
+                own[term] = own.get(term, 0) + n
+            if sum(map(len, counts.values())) > ENTRIES:
+                yield emptied()
     yield emptied()
 
 
+def _distinct(numbers) -> tuple:
+    """Distinct numbers in order, and how often each occurs."""
+    import numpy as np
+
+    held = np.sort(numbers)
+    first = np.flatnonzero(np.append(held[:1] == held[:1], held[1:] != held[:-1]))
+    return held[first], np.diff(np.append(first, len(held)))
+
+
 def _read(docs: DataFrame) -> DataFrame:
     plain = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
     return docs.select(plain("lang").alias("lang"), plain("source").alias("source"), plain("text").cast("binary").alias("text"))
@@ -146,23 +206,30 @@ class _Shards:
             firsts.append(first)
             rest.append((number, data))
 
-    def lookup(self, lang: str, term: bytes) -> int:
+    def lookup(self, lang: str, terms: list[bytes]) -> list[int]:
+        """Ordinals of ``terms``, -1 for one that is not kept."""
         from bisect import bisect_right
 
+        import numpy as np
+
         from orelake.llm.term_transducer import Transducer
 
         firsts, rest = self.of.get(lang, ((), ()))
-        i = bisect_right(firsts, term) - 1
-        if i < 0:
-            return -1
-        number, found = rest[i]
-        if isinstance(found, bytes):
-            found = Transducer.unpack(found)
-            rest[i] = (number, found)
-        ordinal = found.lookup(term)
-        return -1 if ordinal < 0 else number * self.size + ordinal
-
-
+        ordinals = np.full(len(terms), -1, np.int64)
+        own = np.fromiter(map(bisect_right, repeat(firsts), terms), np.int64, len(terms)) - 1
+        for i in np.unique(own[own >= 0]).tolist():
+            number, found = rest[i]
+            if isinstance(found, bytes):
+                found = Transducer.unpack(found)
+                rest[i] = (number, found)
+            place = np.flatnonzero(own == i)
+            at = found.lookup_all([terms[k] for k in place.tolist()])
+            ordinals[place] = np.where(at < 0, -1, number * self.size + at)
+        return ordinals.tolist()
+
+
+# Bits of an ordinal beside the number of a group.
+_ORDINAL = 38
 _COUNTED = "lang string, source string, at bigint, n bigint"
 
 
@@ -172,61 +239,76 @@ def _counted(counts: dict, key: pa.DataType) -> pa.RecordBatch:
     return _table(rows, [pa.string(), pa.string(), key, pa.int64()], ["lang", "source", "at", "n"])
 
 
-def _grouped(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, str], list[bytes]]]:
-    """Terms of a batch by (lang, source), in lists of bounded size."""
-    groups: dict[tuple[str, str], list[bytes]] = {}
-    for lang, source, text in zip(*[batch.column(c).to_pylist() for c in ("lang", "source", "text")]):
-        groups.setdefault((lang, source), []).append(text)
-    for group, texts in groups.items():
-        held, size = [], 0
-        for text in (*texts, None):
-            if held and (text is None or size + len(text) > _PIECE):
-                for part in words(b" ".join(held)):
-                    yield group, part
-                held, size = [], 0
-            if text is not None:
-                held.append(text)
-                size += len(text)
+def _cells(sources: list[str], texts: list[bytes]) -> Iterator[tuple]:
+    """(sources, terms, source, term, n) of a piece: both as numbers, each pair that occurs and how often."""
+    import numpy as np
+
+    names = {name: i for i, name in enumerate(dict.fromkeys(sources))}
+    of = np.array([names[name] for name in sources], np.int64)
+    for terms, code, row in told(texts):
+        cell, n = _distinct(of[row] * len(terms) + code)
+        yield list(names), terms, cell // len(terms), cell % len(terms), n
 
 
 def _streamed(shared, shard: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter, defaultdict
+        from collections import defaultdict
+
+        import numpy as np
 
         shards = _Shards(shared.value, shard)
         known: dict[str, dict[bytes, int]] = defaultdict(dict)
-        counts: dict[tuple[str, str], Counter] = {}
+        groups: dict[tuple[str, str], int] = {}
+        # Cells as one number of group and ordinal, and their counts; the first pair of columns is summed.
+        cells: list[tuple] = []
+
+        def summed() -> tuple:
+            cell, n = (np.concatenate(x) for x in zip(*cells))
+            order = np.argsort(cell)
+            cell, n = cell[order], n[order]
+            first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+            return cell[first], np.add.reduceat(n, first)
+
+        def emptied() -> pa.RecordBatch:
+            cell, n = summed()
+            group = pa.array(cell >> _ORDINAL)
+            own = [pa.array(x, pa.string()).take(group) for x in zip(*groups)]
+            cells.clear()
+            groups.clear()
+            return pa.RecordBatch.from_arrays([*own, pa.array(cell & ((1 << _ORDINAL) - 1)), pa.array(n)], ["lang", "source", "at", "n"])
+
         for batch in batches:
-            for (lang, source), part in _grouped(batch):
+            for lang, sources, texts in _texts(batch, "source"):
                 seen = known[lang]
-                ordinals = list(map(seen.get, part))
-                if None in ordinals:
-                    for term in {t for t, at in zip(part, ordinals) if at is None}:
-                        seen[term] = shards.lookup(lang, term)
-                    ordinals = list(map(seen.get, part))
-                # Terms that are not kept are counted as -1 and left out below.
-                counts.setdefault((lang, source), Counter()).update(ordinals)
+                for names, terms, source, term, n in _cells(sources, texts):
+                    new = [t for t in terms if t not in seen]
+                    seen.update(zip(new, shards.lookup(lang, new)))
+                    # Terms that are not kept have the ordinal -1.
+                    at = np.fromiter(map(seen.__getitem__, terms), np.int64, len(terms))[term]
+                    kept = at >= 0
+                    group = np.array([groups.setdefault((lang, name), len(groups)) for name in names], np.int64)
+                    if kept.any():
+                        cells.append(((group[source] << _ORDINAL | at)[kept], n[kept]))
                 if sum(map(len, known.values())) > ENTRIES:
                     known.clear()
-            if sum(map(len, counts.values())) > ENTRIES:
-                yield kept(counts)
-        yield kept(counts)
-
-    def kept(counts: dict) -> pa.RecordBatch:
-        for own in counts.values():
-            own.pop(-1, None)
-        return _counted(counts, pa.int64())
+                if sum(len(n) for _, n in cells) > CELLS:
+                    cells[:] = [summed()]
+                    if len(cells[0][0]) > CELLS // 2:
+                        yield emptied()
+        if cells:
+            yield emptied()
 
     return run
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from collections import Counter
-
-    counts: dict[tuple[str, str], Counter] = {}
+    counts: dict[tuple[str, str], dict[bytes, int]] = {}
     for batch in batches:
-        for group, part in _grouped(batch):
-            counts.setdefault(group, Counter()).update(part)
+        for lang, sources, texts in _texts(batch, "source"):
+            for names, terms, source, term, n in _cells(sources, texts):
+                for i, at, more in zip(source.tolist(), term.tolist(), n.tolist()):
+                    own = counts.setdefault((lang, names[i]), {})
+                    own[terms[at]] = own.get(terms[at], 0) + more
             if sum(map(len, counts.values())) > ENTRIES:
                 yield _counted(counts, pa.binary())
     yield _counted(counts, pa.binary())
@@ -302,7 +384,10 @@ def _route(texts: DataFrame, machines: DataFrame) -> DataFrame:
 def share_of(n: str, total: str, v: str) -> Column:
     """1 + floor(10^9 (n + 2) / (total + 2 v)) in whole numbers; 1 where there are no terms."""
     parts = f"cast({SCALE} as decimal(10, 0)) * cast({n} + 2 as decimal(20, 0))"
-    return F.expr(f"1 + coalesce({parts} div nullif(cast({total} + 2 * {v} as decimal(20, 0)), 0), 0)")
+    wide = f"{parts} div nullif(cast({total} + 2 * {v} as decimal(20, 0)), 0)"
+    # 64 bits hold the product for less than nine thousand million occurrences.
+    plain = f"({SCALE}L * ({n} + 2)) div nullif({total} + 2 * {v}, 0)"
+    return F.expr(f"1 + coalesce(if({n} < 9000000000L, {plain}, {wide}), 0)")
 
 
 def divergence(p: str, q: str) -> Column:

@@ -103,6 +103,51 @@ def test_transducer_is_minimal_and_ordered():
         assert len(machine) == max(1, len({frozenset(e) for e in endings.values()}))
 
 
+def test_all_terms_are_looked_up_at_once():
+    rng = random.Random(9)
+    for size in (0, 1, 2, 30, 400):
+        terms = sorted({bytes(rng.choice(b"abc\xc3") for _ in range(rng.randrange(0, 8))) for _ in range(size)})
+        machine = Transducer.unpack(Transducer.build(terms).pack())
+        asked = [bytes(rng.choice(b"abcd\xc3\xff") for _ in range(rng.randrange(9))) for _ in range(300)] + terms
+        assert machine.lookup_all(asked).tolist() == [machine.lookup(t) for t in asked]
+        assert machine.lookup_all([]).tolist() == []
+
+
+def test_terms_are_told_apart_as_texts_are_cut(monkeypatch):
+    rng = random.Random(11)
+    words = ["a", "Ab", "abc", "\u00f6l", "\u65e5\u672c", "x", "ZZ", "\0", "1", "-"]
+    texts = ["", " ", "\0", *["".join(rng.choice(words) + rng.choice(["", " ", "  ", "9\n"]) for _ in range(rng.randrange(30))) for _ in range(50)]]
+    expected_ = [TERM.findall(lower(t)) for t in texts]
+    for piece in (1, 16, 4 << 20):
+        monkeypatch.setattr(sa, "_PIECE", piece)
+        found = [[] for _ in texts]
+        for terms, code, row in sa.told([t.encode() for t in texts]):
+            for i, k in zip(row.tolist(), code.tolist()):
+                found[i].append(terms[k].decode())
+        assert found == expected_
+        for t, own in zip(texts, expected_):
+            parts = [[terms[k].decode() for k in code.tolist()] for terms, code, _ in sa.told([t.encode()])]
+            assert sum(parts, []) == own and (piece > 16 or len(own) < 40 or len(parts) > 1)
+
+
+def test_python_meets_a_common_word_once_a_piece(monkeypatch):
+    import pyarrow as pa
+
+    class Shared:
+        value = [("en", 0, b"common", Transducer.build([b"common"]).pack())]
+
+    asked = []
+    plain = Transducer.lookup_all
+    monkeypatch.setattr(Transducer, "lookup", None)
+    monkeypatch.setattr(Transducer, "lookup_all", lambda self, terms: asked.append(len(terms)) or plain(self, terms))
+    n = 300
+    texts = [b"Common " * 50 + b"rare" + b"e" * i for i in range(n)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * n, "source": ["a", "b", "a"] * (n // 3), "text": texts})
+    out = [r for b in sa._streamed(Shared, sa.SHARD)(iter([batch])) for r in b.to_pylist()]
+    assert sorted((r["source"], r["at"], r["n"]) for r in out) == [("a", 0, 10_000), ("b", 0, 5_000)]
+    assert asked == [n + 1]
+
+
 def test_unsorted_terms_are_refused():
     with pytest.raises(ValueError):
         Transducer.build([b"b", b"a"])
