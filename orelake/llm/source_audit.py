@@ -279,22 +279,22 @@ def _streamed(shared, shard: int):
 
         for batch in batches:
             for lang, sources, texts in _texts(batch, "source"):
-                seen = known[lang]
                 for names, terms, source, term, n in _cells(sources, texts):
+                    seen = known[lang]
                     new = [t for t in terms if t not in seen]
                     seen.update(zip(new, shards.lookup(lang, new)))
                     # Terms that are not kept have the ordinal -1.
                     at = np.fromiter(map(seen.__getitem__, terms), np.int64, len(terms))[term]
                     kept = at >= 0
-                    group = np.array([groups.setdefault((lang, name), len(groups)) for name in names], np.int64)
                     if kept.any():
+                        group = np.array([groups.setdefault((lang, name), len(groups)) for name in names], np.int64)
                         cells.append(((group[source] << _ORDINAL | at)[kept], n[kept]))
-                if sum(map(len, known.values())) > ENTRIES:
-                    known.clear()
-                if sum(len(n) for _, n in cells) > CELLS:
-                    cells[:] = [summed()]
-                    if len(cells[0][0]) > CELLS // 2:
-                        yield emptied()
+                    if sum(map(len, known.values())) > ENTRIES:
+                        known.clear()
+                    if sum(len(n) for _, n in cells) > CELLS or len(groups) > ENTRIES:
+                        cells[:] = [summed()]
+                        if len(cells[0][0]) > CELLS // 2 or len(groups) > ENTRIES:
+                            yield emptied()
         if cells:
             yield emptied()
 
@@ -309,8 +309,8 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for i, at, more in zip(source.tolist(), term.tolist(), n.tolist()):
                     own = counts.setdefault((lang, names[i]), {})
                     own[terms[at]] = own.get(terms[at], 0) + more
-            if sum(map(len, counts.values())) > ENTRIES:
-                yield _counted(counts, pa.binary())
+                if sum(map(len, counts.values())) > ENTRIES:
+                    yield _counted(counts, pa.binary())
     yield _counted(counts, pa.binary())
 
 

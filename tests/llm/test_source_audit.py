@@ -148,6 +148,37 @@ def test_python_meets_a_common_word_once_a_piece(monkeypatch):
     assert asked == [n + 1]
 
 
+def test_counts_stay_whole_when_tasks_hand_them_on_early(monkeypatch):
+    import pyarrow as pa
+
+    docs = [(lang or "", source or "", (text or "").encode()) for lang, source, text in random_docs(200, 4)]
+    batch = pa.RecordBatch.from_pydict({k: list(v) for k, v in zip(("lang", "source", "text"), zip(*docs))})
+    words = {lang: {w for l, _, t in docs if l == lang for w in t.translate(sa._KEPT).split()} for lang in {d[0] for d in docs}}
+
+    class Shared:
+        value = []
+
+    for lang, own in words.items():
+        own = sorted(own)[::2]
+        for k in range(0, len(own), 16):
+            Shared.value.append((lang, k // 16, own[k], Transducer.build(own[k : k + 16]).pack()))
+
+    def found(run, key):
+        total = Counter()
+        batches = list(run(iter([batch, batch])))
+        for r in (r for b in batches for r in b.to_pylist()):
+            total[tuple(r.get(k) for k in key)] += r["n"]
+        return total, len(batches)
+
+    runs = [(sa._streamed(Shared, 16), ("lang", "source", "at")), (sa._term_counts, ("lang", "source", "at")), (sa._document_counts, ("lang", "term"))]
+    whole = [found(*r)[0] for r in runs]
+    for name, least in (("CELLS", 4), ("ENTRIES", 2), ("_PIECE", 40)):
+        monkeypatch.setattr(sa, name, least)
+    cut = [found(*r) for r in runs]
+    assert [c for c, _ in cut] == whole and min(n for _, n in cut) > 5
+    assert sum(whole[1].values()) == 2 * sum(len(t.translate(sa._KEPT).split()) for _, _, t in docs)
+
+
 def test_unsorted_terms_are_refused():
     with pytest.raises(ValueError):
         Transducer.build([b"b", b"a"])
