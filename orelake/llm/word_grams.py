@@ -1,75 +1,182 @@
-"""Modified Kneser-Ney model over words, as tables that grow with the trusted text.
+"""Modified Kneser-Ney model over words, counted and asked in rounds.
 
 Words are runs of letters, digits and marks in lower case; every other visible
 character, and every letter of a script written without spaces, is a word of its
-own.  A word is known by a 64-bit hash, so a gram is three numbers whatever its
+own.  A word is known by a 64-bit number, so a gram is three numbers whatever its
 alphabet.  The model is of order 3 with the bound of a text as a word.
 
-Nothing of the model reaches the driver save the three discounts of an order,
-the vocabulary's size and the first order's mass.  Counts are sharded by the hash
-of the gram.  The grams of the documents are estimated once each: their distinct
-triples meet the count tables, and their distinct pairs and words the lower
-orders, in joins.  Every document's own distinct grams, counted within the
-document, then meet the estimates and are summed.
+Grams are dealt into shards by their middle word, so that a shard has all that
+estimates them: the grams themselves, their contexts and their endings, save how
+many words come before an ending's last one.  That is summed over the shards
+(``train``) and comes back to them in a join.  A middle word too frequent for a
+shard is spread over several by the first word; its endings are counted over all
+of them and come back in the same join.
+
+Shards are worked through in rounds, each of which reads the texts again and
+shuffles its share of the grams only: what is on disk at a time is a part of the
+input, and no count table is kept.  Two models are fitted at once, of the trusted
+rows and of those marked ``SEEN``.  Logarithms of the estimates add up to a
+document's, so a shard answers one sum per document.
+
+Nothing of the models reaches the driver save three discounts an order, the size
+and mass of the first order, and figures of the words that are spread (fewer than
+there are shards).  A task holds one shard: about ``SHARD`` words, more only where
+one pair of words is more frequent or a spread word has more endings.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import cache
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelake.storage import write_out
+from orelake.storage import release, write_out
 
-ORDER = 3
 # The least number of words that share the first order's remainder.
 LEAST_WORDS = 32
-_BLANK = r"[\s\x{A0}\x{1680}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
-_SINGLE = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]|[^\p{L}\p{N}\p{M}\s])"
-# Words handled at a time.
-_CHUNK = 1 << 20
-_TRIPLE = "w1 bigint, w2 bigint, w3 bigint"
+# Words a shard is to hold, and rounds in which shards are counted and asked.
+SHARD = 1 << 20
+COUNT_ROUNDS = 4
+ROUNDS = 8
+# Bits of a row's mark: counted by the first model, by the second, asked of the second.
+TRUSTED, SEEN, ASKED = 1, 2, 4
+_BLANK = r"[\s\x{A0}\x{1680}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_SINGLE = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]|[^\p{L}\p{N}\p{M}\s]"
+# Bytes of text handled at a time, and grams put together before they are dealt.
+_PIECE = 1 << 22
+_DEALT = 1 << 20
+_PARTS = ("a", "b", "c", "doc", "rid", "mark")
 
 
 def words(docs: DataFrame, *carried: str) -> DataFrame:
-    """``carried`` and the numbers of the words of the whole ``text``, in order."""
-    plain = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), _SINGLE, " $1 ")
-    split = F.filter(F.split(plain, _BLANK), lambda x: x != "")
-    # 0 is the bound.
-    return docs.select(*carried, F.transform(split, lambda x: F.xxhash64(x)).alias("words"))
+    """``carried`` and the whole ``text`` in lower case, whose words are told apart where they are counted."""
+    return docs.select(*carried, F.lower(F.coalesce("text", F.lit(""))).alias("plain"))
 
 
-def _chunks(batch: pa.RecordBatch):
-    """(rows, owner within them, w1, w2, w3) of all predicted words: every word and the closing bound."""
+@cache
+def _points() -> bytes:
+    """Whether a character belongs to a word (0), is blank (1) or a word of its own (2), for all of Unicode, packed."""
+    import zlib
+
+    spark = SparkSession.getActiveSession()
+    blocks = [(i, "".join(chr(x) if not 0xD800 <= x < 0xE000 else "a" for x in range(i << 12, (i + 1) << 12))) for i in range(0x110)]
+    kind = F.regexp_replace(F.regexp_replace(F.regexp_replace("s", _BLANK, " "), _SINGLE, "."), r"[^ .]", "a")
+    rows = spark.createDataFrame(blocks, "i int, s string").select("i", kind.alias("s")).collect()
+    return zlib.compress("".join(r["s"] for r in sorted(rows)).translate({97: 0, 32: 1, 46: 2}).encode())
+
+
+@cache
+def _tables(points: bytes):
+    """(kind by code point, kind by byte, number by place in the word and byte)."""
+    import zlib
+
+    import numpy as np
+
+    kinds = np.frombuffer(zlib.decompress(points), np.uint8)
+    first = np.zeros(256, np.uint8)
+    first[:128] = kinds[:128]
+    slots = np.random.Generator(np.random.PCG64(20)).integers(0, 1 << 64, (64, 256), np.uint64)
+    # Blanks add nothing to the word before them.
+    slots[:, :128][:, kinds[:128] == 1] = 0
+    return kinds, first, slots.reshape(-1)
+
+
+def _numbers(data, bounds, tables):
+    """The numbers of the words of texts that lie one after the other, and how many words each has."""
     import numpy as np
 
-    column = batch.column(batch.schema.names.index("words"))
-    ends = column.offsets.to_numpy().astype(np.int64)
-    values = column.values.to_numpy(zero_copy_only=False)
-    n = len(batch)
+    kinds, first, slots = tables
+    kind = first[data]
+    high = np.flatnonzero(data >= 0x80)
+    blank = None
+    if len(high):
+        lead = high[data[high] >= 0xC0]
+        b = data[lead].astype(np.int32)
+        size = 2 + (b >= 0xE0) + (b >= 0xF0)
+        point = b & (0xFF >> (size + 1))
+        for k in range(1, 4):
+            more = size > k
+            point[more] = point[more] << 6 | (data[np.minimum(lead[more] + k, len(data) - 1)] & 0x3F)
+        of = kinds[np.minimum(point, 0x10FFFF)]
+        kind[lead] = of
+        for k in range(1, 4):
+            more = size > k
+            # 3: the rest of a word of one character.
+            kind[np.minimum(lead[more] + k, len(data) - 1)] = np.where(of[more] == 2, 3, of[more])
+        blank = high[kind[high] == 1]
+    letter = kind == 0
+    begin = letter.copy()
+    begin[1:] &= ~letter[:-1]
+    at = bounds[:-1][bounds[:-1] < len(data)]
+    begin[at] |= letter[at]
+    begin |= kind == 2
+    starts = np.flatnonzero(begin)
+    counts = np.diff(np.searchsorted(starts, bounds))
+    if not len(starts):
+        return np.zeros(0, np.int64), counts
+    place = np.arange(starts[0], len(data), dtype=np.int64)
+    place -= np.repeat(starts, np.diff(np.append(starts, len(data))))
+    part = slots[((place & 63) << 8) | data[starts[0] :]]
+    if blank is not None and len(blank):
+        part[blank[blank >= starts[0]] - starts[0]] = 0
+    far = np.flatnonzero(place >= 64)
+    if len(far):
+        part[far] *= np.power(np.uint64(0x9E3779B97F4A7C15), (place[far] >> 6).astype(np.uint64))
+    return np.add.reduceat(part, starts - starts[0]).view(np.int64), counts
+
+
+def _pieces(batch: pa.RecordBatch, tables):
+    """(rows with words, numbers of their words, how many each has) of pieces of the batch; a text is never parted."""
+    import numpy as np
+
+    column = batch.column(batch.schema.names.index("plain")).cast(pa.large_string())
+    if not len(column):
+        return
+    _, offsets, held = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(held, np.uint8) if held is not None else np.zeros(0, np.uint8)
     start = 0
-    while start < n:
-        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + _CHUNK, "right")) - 1)
-        stop = min(stop, n)
-        lengths = np.diff(ends[start : stop + 1])
-        rows = np.flatnonzero(lengths) + start
-        if len(rows):
-            size = lengths[rows - start]
-            # Two bounds before and one after each text.
-            first = np.cumsum(size + 3) - size - 1
-            seq = np.zeros(int((size + 3).sum()), np.int64)
-            place = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-            # Texts without words lie between the others with no values of their own.
-            seq[place] = values[ends[start] : ends[stop]]
-            owner = np.repeat(np.arange(len(rows)), size + 1)
-            at = np.repeat(first - (np.cumsum(size + 1) - (size + 1)), size + 1) + np.arange(len(owner))
-            yield rows, owner, seq[at - 2], seq[at - 1], seq[at]
+    while start < len(column):
+        stop = min(max(start + 1, int(np.searchsorted(ends, ends[start] + _PIECE, "right")) - 1), len(column))
+        low, high = int(ends[start]), int(ends[stop])
+        if high - low <= _PIECE:
+            found, counts = _numbers(data[low:high], ends[start : stop + 1] - low, tables)
+        else:
+            # One long text, cut at spaces.
+            parts = []
+            while low < high:
+                cut = low + _PIECE
+                while cut < high and data[cut] != 0x20:
+                    cut += 1
+                cut = min(cut, high)
+                parts.append(_numbers(data[low:cut], np.array([0, cut - low]), tables)[0])
+                low = cut
+            found = np.concatenate(parts)
+            counts = np.array([len(found)])
+        some = np.flatnonzero(counts)
+        if len(some):
+            yield some + start, found, counts[some]
         start = stop
 
 
+def _grams(batch: pa.RecordBatch, tables):
+    """(rows, owner within them, a, b, c) of all predicted words c: every word and the closing bound, 0."""
+    import numpy as np
+
+    for rows, found, size in _pieces(batch, tables):
+        # Two bounds before and one after each text.
+        owner = np.repeat(np.arange(len(rows)), size + 1)
+        seq = np.zeros(len(found) + 3 * len(rows), np.int64)
+        seq[np.arange(len(found)) + 3 * np.repeat(np.arange(len(rows)), size) + 2] = found
+        at = np.arange(len(owner)) + 2 * owner + 2
+        yield rows, owner, seq[at - 2], seq[at - 1], seq[at]
+
+
 def _mixed(*parts):
     """One 64-bit number of equal-length columns of numbers."""
     import numpy as np
@@ -77,114 +184,358 @@ def _mixed(*parts):
     u = np.uint64
     x = np.zeros(len(parts[0]), u)
     for p in parts:
-        x = (x ^ p.astype(np.int64).view(u)) * u(0x9E3779B97F4A7C15)
+        x = (x ^ p.astype(np.int64, copy=False).view(u)) * u(0x9E3779B97F4A7C15)
         x ^= x >> u(29)
         x *= u(0xBF58476D1CE4E5B9)
         x ^= x >> u(32)
     return x.view(np.int64)
 
 
-def _runs(*columns):
-    """Positions of one of each run of equal rows in an order that puts them together, and the runs' lengths.
-
-    The order is by a hash: rows of equal hash that differ only cut a run, and its parts add up later.
-    """
+def _told(*columns):
+    """One place of each distinct row, and which of them every row is; rows are told apart by a 64-bit number."""
     import numpy as np
 
-    rank = np.argsort(_mixed(*columns), kind="stable")
+    key = _mixed(*columns)
+    rank = np.argsort(key)
     new = np.ones(len(rank), bool)
-    new[1:] = False
-    for c in columns:
-        s = c[rank]
-        new[1:] |= s[1:] != s[:-1]
-    begin = np.flatnonzero(new)
-    return rank[begin], np.diff(np.append(begin, len(rank)))
+    new[1:] = key[rank[1:]] != key[rank[:-1]]
+    of = np.empty(len(rank), np.int64)
+    of[rank] = np.cumsum(new) - 1
+    return rank[new], of
+
+
+def _found(keys, table, values, missing=0):
+    """``values`` at the places of ``keys`` in the sorted ``table``."""
+    import numpy as np
+
+    if not len(table):
+        return np.full(len(keys), missing, values.dtype)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return np.where(table[at] == keys, values[at], missing)
 
 
 def triples(tokens: DataFrame) -> DataFrame:
-    """(w1, w2, w3, n) of all texts, summed within pieces of a task only."""
+    """(a, b, c, n): how often each gram of three words occurs."""
+    points = _points()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
         for batch in batches:
-            for _, _, w1, w2, w3 in _chunks(batch):
-                at, n = _runs(w1, w2, w3)
-                yield pa.RecordBatch.from_arrays([pa.array(w[at]) for w in (w1, w2, w3)] + [pa.array(n)], ["w1", "w2", "w3", "n"])
+            for _, _, *gram in _grams(batch, _tables(points)):
+                at, of = _told(*gram)
+                yield pa.RecordBatch.from_arrays([pa.array(w[at]) for w in gram] + [pa.array(np.bincount(of))], ["a", "b", "c", "n"])
 
-    return tokens.select("words").mapInArrow(run, f"{_TRIPLE}, n bigint")
+    some = tokens.select("plain").mapInArrow(run, "a bigint, b bigint, c bigint, n bigint")
+    return some.groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
 
 
-def own_grams(tokens: DataFrame) -> DataFrame:
-    """(doc_id, mark, gram, n): every text's distinct grams; ``gram`` is a number of the triple."""
+@dataclass(frozen=True)
+class Layout:
+    """How many shards there are, and over how many each of the most frequent words is spread."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, owner, w1, w2, w3 in _chunks(batch):
-                at, n = _runs(owner, w1, w2, w3)
-                of = pa.array(rows[owner[at]])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(of), batch.column("mark").take(of), pa.array(_mixed(w1[at], w2[at], w3[at])), pa.array(n)],
-                    ["doc_id", "mark", "gram", "n"],
-                )
+    shards: int
+    spread: dict[int, int]
+
+    def shard(self, a, b):
+        import numpy as np
 
-    return tokens.select("doc_id", "mark", "words").mapInArrow(run, "doc_id bigint, mark bigint, gram bigint, n bigint")
+        u = np.uint64
+        own = _mixed(b).view(u) % u(self.shards)
+        if self.spread:
+            key = np.array(sorted(self.spread), np.int64)
+            over = _found(b, key, np.array([self.spread[int(x)] for x in key], u), u(1))
+            own = (own + _mixed(a).view(u) % over) % u(self.shards)
+        return own.astype(np.int32)
+
+    def places(self, word: int) -> list[int]:
+        """The shards of a word that is spread."""
+        import numpy as np
+
+        own = int(_mixed(np.array([word])).view(np.uint64)[0] % np.uint64(self.shards))
+        return sorted({(own + i) % self.shards for i in range(self.spread[word])})
 
 
 @dataclass(frozen=True)
 class Model:
-    """Count tables of the orders 3 and 2 with their contexts, of order 1, and what an unseen word is worth."""
-
-    grams: dict[int, DataFrame]
-    contexts: dict[int, DataFrame]
-    unseen: float
-
-
-def train(tokens: DataFrame, discounts) -> Model:
-    """Tables over the whole of ``tokens``; ``discounts`` gives the three discounts of a count table."""
-    names = {3: ("w1", "w2", "w3"), 2: ("w2", "w3"), 1: ("w3",)}
-    table = write_out(triples(tokens).groupBy(*names[3]).agg(F.sum("n").alias("n")), "word-count")
-    grams, contexts, unseen = {}, {}, 1.0 / LEAST_WORDS
-    for k in (3, 2, 1):
-        if k < 3:
-            # Continuation counts: in how many longer grams a gram is the ending.
-            table = write_out(table.groupBy(*names[k]).agg(F.count(F.lit(1)).alias("n")), "word-count")
-        d = discounts(table)
-        taken: Column = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        left = table.select(*names[k], (F.col("n") - taken).alias(f"left{k}"))
-        if k > 1:
-            grams[k] = left
-            contexts[k] = write_out(
-                table.groupBy(*names[k][:-1]).agg(F.sum("n").alias(f"mass{k}"), (F.sum(taken) / F.sum("n")).alias(f"back{k}")), "word-context"
-            )
-        else:
-            row = table.agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("mass"), F.sum(taken).alias("taken")).first()
-            if row["mass"]:
-                unseen = row["taken"] / row["mass"] / max(LEAST_WORDS, row["size"] + 1)
-            grams[1] = left.select("w3", (F.col("left1") / (row["mass"] or 1)).alias("left1"))
-    return Model(grams, contexts, unseen)
-
-
-def estimates(tokens: DataFrame, model: Model) -> DataFrame:
-    """(gram, logp) of every distinct triple of ``tokens``."""
-    distinct = write_out(triples(tokens).select("w1", "w2", "w3").distinct(), "word-asked")
-    pairs = distinct.select("w2", "w3").distinct()
-    ask = pairs.join(model.grams[1], "w3", "left").join(model.contexts[2], "w2", "left").join(model.grams[2], ["w2", "w3"], "left")
-    own = lambda k: F.coalesce(F.col(f"left{k}") / F.col(f"mass{k}"), F.lit(0.0))
-    back = lambda k: F.coalesce(F.col(f"back{k}"), F.lit(1.0))
-    first = F.coalesce("left1", F.lit(0.0)) + F.lit(model.unseen)
-    lower = ask.select("w2", "w3", (own(2) + back(2) * first).alias("lower"))
-    full = distinct.join(lower, ["w2", "w3"]).join(model.contexts[3], ["w1", "w2"], "left").join(model.grams[3], ["w1", "w2", "w3"], "left")
-    full = full.select("w1", "w2", "w3", F.log(own(3) + back(3) * F.col("lower")).alias("logp"))
+    """What the shards need beside the grams: tables of words and of endings of spread words, and fixed figures.
+
+    ``discounts``, ``first`` (mass and what an unseen word is worth) and the figures of
+    ``spread`` words are of the two models in their order.
+    """
+
+    trusted: DataFrame
+    layout: Layout
+    rounds: int
+    discounts: list[dict[int, tuple[float, float, float]]]
+    first: list[tuple[float, float]]
+    spread: dict[int, list[tuple[float, float, int]]]
+    needed: DataFrame
+    endings: DataFrame
+
+    @property
+    def grams(self) -> dict[int, DataFrame]:
+        """The count table of the highest order, computed when it is asked for."""
+        return {3: triples(self.trusted)}
+
+
+@contextmanager
+def _shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """What is shuffled inside leaves the disk at the end of its query; nothing is read again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    with _shuffles_go(df.sparkSession):
+        return write_out(df, label)
+
+
+def _frequent(tokens: DataFrame) -> tuple[int, dict[int, int]]:
+    """How many grams there are, and about how many have the middle words that are too frequent for a shard."""
+    points = _points()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for batch in batches:
+            for _, _, _, b, _ in _grams(batch, _tables(points)):
+                word, n = np.unique(b, return_counts=True)
+                # A word below this share of every piece is below it in all.
+                often = n * 4096 >= len(b)
+                whole = pa.array([None] + word[often].tolist(), pa.int64())
+                yield pa.RecordBatch.from_arrays([whole, pa.array(np.append(len(b), n[often]))], ["word", "n"])
+
+    found = tokens.select("plain").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = found.filter(F.col("word").isNull() | (F.col("n") > SHARD)).collect()
+    return sum(r["n"] for r in rows if r["word"] is None), {r["word"]: r["n"] for r in rows if r["word"] is not None}
+
+
+def _dealt(tokens: DataFrame, layout: Layout, rounds: int, turn: int) -> DataFrame:
+    """The grams of the shards of one round: (shard, packed words, documents and their marks)."""
+    points = _points()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        held, n = [], 0
+
+        def out():
+            shard, a, b, c, rid, mark = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((b, shard))
+            cuts = np.flatnonzero(np.diff(shard[order])) + 1
+            rows = []
+            for part in np.split(order, cuts):
+                docs, at, of = np.unique(rid[part], return_index=True, return_inverse=True)
+                doc = of.astype(np.uint32)
+                rows.append((int(shard[part[0]]), *(x.tobytes() for x in (a[part], b[part], c[part], doc, docs, mark[part][at]))))
+            columns = [pa.array([r[0] for r in rows], pa.int32())] + [pa.array([r[i + 1] for r in rows], pa.binary()) for i in range(len(_PARTS))]
+            return pa.RecordBatch.from_arrays(columns, ["shard", *_PARTS])
+
         for batch in batches:
-            gram = _mixed(*[batch.column(w).to_numpy() for w in ("w1", "w2", "w3")])
-            yield pa.RecordBatch.from_arrays([pa.array(gram), batch.column("logp")], ["gram", "logp"])
+            rids, marks = batch.column("rid").to_numpy(), batch.column("mark").to_numpy().astype(np.uint8)
+            for rows, owner, a, b, c in _grams(batch, _tables(points)):
+                shard = layout.shard(a, b)
+                mine = np.flatnonzero(shard % rounds == turn)
+                of = rows[owner[mine]]
+                held.append((shard[mine], a[mine], b[mine], c[mine], rids[of], marks[of]))
+                n += len(mine)
+                if n >= _DEALT:
+                    yield out()
+                    held, n = [], 0
+        if n:
+            yield out()
+
+    return tokens.select("rid", "mark", "plain").mapInArrow(run, "shard int, " + ", ".join(f"{x} binary" for x in _PARTS))
+
+
+def _opened(table: pa.Table):
+    """(a, b, c, document, ids of documents, their marks) of a shard."""
+    import numpy as np
+
+    kinds = dict(zip(_PARTS, (np.int64, np.int64, np.int64, np.uint32, np.int64, np.uint8)))
+    parts = {x: [np.frombuffer(v.as_buffer(), kinds[x]) for v in table.column(x)] for x in _PARTS}
+    first = np.cumsum([0] + [len(x) for x in parts["rid"]])
+    parts["doc"] = [x + first[i] for i, x in enumerate(parts["doc"])]
+    return tuple(np.concatenate(parts[x]) for x in _PARTS)
+
 
-    # Triples of one number (about one in 2 ** 64 / pairs) share the lesser estimate, so that no gram counts twice.
-    return full.mapInArrow(run, "gram bigint, logp double").groupBy("gram").agg(F.min("logp").alias("logp"))
+def _counted(table: pa.Table, spread) -> pa.Table:
+    """What a shard hands on to the models: counts of counts, words before each word, endings of spread words."""
+    import numpy as np
+
+    a, b, c, doc, _, mark = _opened(table)
+    at, of = _told(a, b, c)
+    n = np.bincount(of)
+    seen = np.bincount(of, weights=(mark[doc] & SEEN) != 0).astype(np.int64)
+    b, c = b[at], c[at]
+    pair, of = _told(b, c)
+    n2, seen2 = np.bincount(of), np.bincount(of, weights=seen > 0).astype(np.int64)
+    b, c = b[pair], c[pair]
+    wide = np.isin(b, spread)
+    rows = [(np.full(4, order), np.arange(1, 5), np.zeros(4, np.int64), *(np.array([(x == i).sum() for i in range(1, 5)]) for x in both))
+            for order, both in ((3, (n, seen)), (2, (n2[~wide], seen2[~wide])))]
+    rows.append((np.zeros(int(wide.sum()), np.int64), b[wide], c[wide], n2[wide], seen2[wide]))
+    # The words of the shard, with the numbers of words before them here; middle words of their own as well.
+    last = np.append(c[~wide], np.unique(b[~wide]))
+    one = np.arange(len(last)) < int((~wide).sum())
+    at, of = _told(last) if len(last) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    seen2 = np.append(seen2[~wide] > 0, np.zeros(len(last) - int(one.sum()), bool))
+    shard = np.full(len(at), table.column("shard")[0].as_py())
+    rows.append((np.ones(len(at), np.int64), shard, last[at], *(np.bincount(of, weights=x, minlength=len(at)).astype(np.int64) for x in (one, seen2))))
+    return pa.table([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*rows)], ["kind", "x", "c", "n", "seen"])
+
+
+def _taken(n: str, d: tuple[float, float, float]):
+    return F.when(F.col(n) == 0, 0.0).when(F.col(n) == 1, d[0]).when(F.col(n) == 2, d[1]).otherwise(d[2])
+
+
+def train(tokens: DataFrame, discounts: Callable[[dict[int, int]], tuple[float, float, float]], trusted: DataFrame | None = None) -> Model:
+    """The two models of ``trusted`` (all of ``tokens``, where none is given), laid out for asking about ``tokens``.
+
+    ``discounts`` gives the three discounts of an order from its counts of counts.
+    """
+    spark = tokens.sparkSession
+    trusted = tokens if trusted is None else trusted
+    if "rid" not in trusted.columns:
+        trusted = trusted.select(F.lit(0).cast("long").alias("rid"), F.lit(TRUSTED | SEEN).alias("mark"), "plain")
+    total, often = _frequent(tokens)
+    rounds = ROUNDS if total > SHARD else 1
+    # Small shards are put together no further than twelve a round.
+    layout = Layout(rounds * max(-(-total // (SHARD * rounds)), min(12, -(-16 * total // (SHARD * rounds))), 1), {w: -(-n // SHARD) for w, n in often.items()})
+    spread = sorted(often)
+    turns = min(COUNT_ROUNDS, rounds)
+    schema = "kind bigint, x bigint, c bigint, n bigint, seen bigint"
+    made = [
+        _written(_dealt(trusted, layout, turns, i).groupBy("shard").applyInArrow(lambda table: _counted(table, spread), schema), "word-counts")
+        for i in range(turns)
+    ]
+    counts = made[0]
+    for x in made[1:]:
+        counts = counts.unionByName(x)
+    hot = counts.filter("kind = 0").groupBy(F.col("x").alias("b"), "c").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+    hot = _written(hot, "word-spread")
+    one = lambda n: F.when(F.col(n) > 0, 1).otherwise(0).cast("long").alias(n)
+    before = counts.filter("kind = 1").select("c", "n", "seen").unionByName(hot.select("c", one("n"), one("seen")))
+    before = _written(before.groupBy("c").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")), "word-before")
+
+    parts = counts.filter("kind in (2, 3)").groupBy("kind", "x").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")).collect()
+    few, first, figures, over = [], [], {}, {}
+    for n in ("n", "seen"):
+        of = {k: {r["x"]: r[n] for r in parts if r["kind"] == k} for k in (3, 2)}
+        for k, table in ((2, hot), (1, before)):
+            some = of.setdefault(k, {})
+            for r in table.filter(f"{n} between 1 and 4").groupBy(n).count().collect():
+                some[r[0]] = some.get(r[0], 0) + r[1]
+        few.append({k: discounts(x) for k, x in of.items()})
+        row = before.agg(F.count_if(F.col(n) > 0), F.sum(n), F.sum(_taken(n, few[-1][1]))).first()
+        first.append((float(row[1] or 1), row[2] / row[1] / max(LEAST_WORDS, row[0] + 1) if row[1] else 1.0 / LEAST_WORDS))
+    if spread:
+        sums = [f(x) for n, d in (("n", few[0]), ("seen", few[1])) for f, x in ((F.sum, F.col(n)), (F.sum, _taken(n, d[2])))]
+        sizes = {r[0]: r[1:] for r in hot.groupBy("b").agg(*sums, F.count(F.lit(1))).collect()}
+        words_before = {r["c"]: (r["n"], r["seen"]) for r in before.filter(F.col("c").isin(spread)).collect()}
+        for w in spread:
+            mass, taken, mass_seen, taken_seen, ends = sizes.get(w, (0, 0.0, 0, 0.0, 0))
+            b, s = words_before.get(w, (0, 0))
+            figures[w] = [(float(mass), float(taken), b), (float(mass_seen), float(taken_seen), s)]
+            # Each of its shards is given all endings, so there are not more shards than grams make up for.
+            over[w] = max(1, -(-often[w] // max(SHARD, ends)))
+    both = before.withColumnsRenamed({"n": "n1", "seen": "seen1"})
+    needed = _written(counts.filter("kind = 1").select(F.col("x").cast("int").alias("shard"), "c").join(both, "c"), "word-needed")
+    endings = _written(hot.join(both, "c"), "word-endings")
+    release(*made, hot, before)
+    return Model(trusted, Layout(layout.shards, over), rounds, few, first, figures, needed, endings)
+
+
+def _asked(left: pa.Table, right: pa.Table, model) -> pa.Table:
+    """(rid, n, logp, logp_seen): a shard's share in every document's figures."""
+    import numpy as np
+
+    discounts, first, spread = model
+    if not len(left):
+        return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64()), pa.array([], pa.float64())], _ANSWER)
+    a, b, c, doc, rid, mark = _opened(left)
+    at, of = _told(a, b, c)
+    ub, uc = b[at], c[at]
+    contexts, context = _told(a[at], ub)
+    pairs, pair = _told(ub, uc)
+    pb, pc = ub[pairs], uc[pairs]
+    middles, middle = _told(pb)
+    mb = pb[middles]
+    # What the shard is told: of words, and of the endings of spread words.
+    told = {x: right.column(x).to_numpy() for x in ("b", "c", "n", "seen", "n1", "seen1")}
+    plain = np.flatnonzero(told["n"] < 0)
+    plain = plain[np.argsort(told["c"][plain])]
+    ends = np.flatnonzero(told["n"] >= 0)
+    ends_key = _mixed(told["b"][ends], told["c"][ends])
+    ends, ends_key = ends[np.argsort(ends_key)], np.sort(ends_key)
+    pair_key = _mixed(pb, pc)
+    hot = np.array(sorted(spread), np.int64)
+    wide = np.isin(pb, hot)
+    sums = []
+    for m, (n_name, before, bit) in enumerate((("n", "n1", TRUSTED), ("seen", "seen1", SEEN))):
+        d = {k: np.array([0.0, *x]) for k, x in discounts[m].items()}
+        taken = lambda k, n: d[k][np.minimum(n, 3).astype(np.int64)]  # noqa: E731, B023
+        mass1, unseen = first[m]
+        n = np.bincount(of, weights=(mark[doc] & bit) != 0)
+        mass3 = np.bincount(context, weights=n)
+        taken3 = np.bincount(context, weights=taken(3, n))
+        n2 = np.bincount(pair, weights=n > 0)
+        n2[wide] = _found(pair_key[wide], ends_key, told[n_name][ends])
+        mass2 = np.bincount(middle, weights=n2)
+        taken2 = np.bincount(middle, weights=taken(2, n2))
+        n1 = _found(pc, told["c"][plain], told[before][plain])
+        n1[wide] = _found(pair_key[wide], ends_key, told[before][ends])
+        own1 = _found(mb, told["c"][plain], told[before][plain])
+        for i in np.flatnonzero(np.isin(mb, hot)):
+            mass2[i], taken2[i], own1[i] = spread[int(mb[i])][m]
+        p1 = lambda x: (x - taken(1, x)) / mass1 + unseen  # noqa: E731, B023
+        share = lambda x, mass, none: np.divide(x, mass, out=np.full(len(x), none), where=mass > 0)
+        back2, back3 = share(taken2, mass2, 1.0)[middle], share(taken3, mass3, 1.0)[context]
+        p2 = share(n2 - taken(2, n2), mass2[middle], 0.0) + back2 * p1(n1)
+        full = share(n - taken(3, n), mass3[context], 0.0) + back3 * p2[pair]
+        # How likely c is by itself is only known of endings that were counted.  So every gram brings in that of its
+        # middle word, of which there are as many as of last words, and counted endings leave out that of their last.
+        known = n2 > 0
+        value = np.where(known[pair], np.log(full) - np.log(p1(n1))[pair], np.log(back3) + np.log(back2)[pair])
+        value += np.log(p1(own1))[middle[pair]]
+        sums.append(np.bincount(doc, weights=value[of], minlength=len(rid)))
+    docs, of = np.unique(rid, return_inverse=True)
+    n = np.bincount(of, weights=np.bincount(doc, minlength=len(rid))).astype(np.int64)
+    logp = np.bincount(of, weights=sums[0])
+    seen = np.bincount(of, weights=np.where(mark & ASKED, sums[1], 0.0))
+    return pa.table([pa.array(docs), pa.array(n), pa.array(logp), pa.array(seen)], _ANSWER)
+
+
+_ANSWER = ["rid", "n_symbols", "logp", "logp_seen"]
 
 
 def score(tokens: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, mark, n_symbols, logp) of every text with words; repeated rows add up."""
-    joined = own_grams(tokens).join(estimates(tokens, model), "gram")
-    return joined.groupBy("doc_id", "mark").agg(F.sum("n").alias("n_symbols"), F.sum(F.col("n") * F.col("logp")).alias("logp"))
+    """(rid, n_symbols, logp, logp_seen) of every text with words; the last of rows that are ``ASKED``, others get 0.
+
+    Rows of one rid add up.  The rows the model was trained on are to be among ``tokens``.
+    """
+    spark = tokens.sparkSession
+    layout, fixed = model.layout, (model.discounts, model.first, model.spread)
+    places = spark.createDataFrame([(w, i) for w in layout.spread for i in layout.places(w)], "b bigint, shard int")
+    none = F.lit(-1).cast("long")
+    told = model.needed.select("shard", F.lit(0).cast("long").alias("b"), "c", none.alias("n"), none.alias("seen"), "n1", "seen1")
+    if layout.spread:
+        told = told.unionByName(model.endings.join(F.broadcast(places), "b").select("shard", "b", "c", "n", "seen", "n1", "seen1"))
+    sums = []
+    for turn in range(model.rounds):
+        left = _dealt(tokens, layout, model.rounds, turn).groupBy("shard")
+        right = told.filter(F.col("shard") % model.rounds == turn).groupBy("shard")
+        part = left.cogroup(right).applyInArrow(lambda x, y: _asked(x, y, fixed), "rid bigint, n_symbols bigint, logp double, logp_seen double")
+        total = [F.sum(x).alias(x) for x in _ANSWER[1:]]
+        sums.append(_written(part.groupBy("rid").agg(*total), "word-sums"))
+    release(model.needed, model.endings)
+    out = sums[0]
+    for x in sums[1:]:
+        out = out.unionByName(x)
+    return out

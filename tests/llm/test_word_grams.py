@@ -72,3 +72,24 @@ def test_poor_rows_set_the_threshold(spark):
     # Shuffled words are rejected, also on rows without a label.
     assert not [r for r in out if r.doc_id >= 150 and r.kept]
     assert sum(r.kept for r in out if r.doc_id < 150) >= 140
+
+
+def test_rounds_and_spread_words_change_nothing_and_keep_no_words(spark, monkeypatch):
+    rng = random.Random(9)
+    names = [f"w{i}" for i in range(30)] + ["über", "日本", "x" * 70]
+    texts = [" ".join(rng.choice(names) + rng.choice(["", "", ",", " ."]) for _ in range(40)) for _ in range(60)]
+    docs = edge.rows(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    trusted, poor = docs.filter("doc_id < 25").select("doc_id"), docs.filter("doc_id >= 50").select("doc_id")
+    written = []
+    for module in (kneser_ney, word_grams):
+        keep = module.write_out
+        monkeypatch.setattr(module, "write_out", lambda df, label, keep=keep: written.append(df.columns) or keep(df, label))
+    judged = lambda: sorted((r.doc_id, r.n_symbols, r.bucket, r.kept, r.perplexity) for r in kneser_ney.judge(docs, trusted, poor=poor).collect())
+    whole = judged()
+    # Neither the words of texts nor their grams are kept.
+    assert written and not [c for c in written if "words" in c or "gram" in c or "w1" in c]
+    monkeypatch.setattr(word_grams, "SHARD", 150)
+    monkeypatch.setattr(word_grams, "ROUNDS", 2)
+    parted = judged()
+    assert [r[:4] for r in parted] == [r[:4] for r in whole]
+    assert [r[4] for r in parted] == pytest.approx([r[4] for r in whole], rel=1e-9)
