@@ -10,7 +10,9 @@ estimates them: the grams themselves, their contexts and their endings, save how
 many words come before an ending's last one.  That is summed over the shards
 (``train``) and comes back to them in a join.  A middle word too frequent for a
 shard is spread over several by the first word; its endings are counted over all
-of them and come back in the same join.
+of them and come back in the same join.  A pair of first and middle word that is too
+frequent as well, such as the bounds before every text, is spread by the last word
+too, and its figures as a context are summed over all shards.
 
 Shards are worked through in rounds, each of which reads the texts again and
 shuffles its share of the grams only: what is on disk at a time is a part of the
@@ -19,9 +21,11 @@ rows and of those marked ``SEEN``.  Logarithms of the estimates add up to a
 document's, so a shard answers one sum per document.
 
 Nothing of the models reaches the driver save three discounts an order, the size
-and mass of the first order, and figures of the words that are spread (fewer than
-there are shards).  A task holds one shard: about ``SHARD`` words, more only where
-one pair of words is more frequent or a spread word has more endings.
+and mass of the first order, and figures of the words and pairs that are spread (at
+most ``FINER`` of either to a shard, most often far fewer).  A task holds one shard:
+about ``SHARD`` words, more only where one gram is more frequent or a spread word has
+more endings.  Texts are read in small pieces, and the grams that a task has put
+together leave it packed.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,16 +44,21 @@ from orelake.storage import release, write_out
 # The least number of words that share the first order's remainder.
 LEAST_WORDS = 32
 # Words a shard is to hold, and rounds in which shards are counted and asked.
-SHARD = 1 << 20
-COUNT_ROUNDS = 4
-ROUNDS = 8
+SHARD = 1 << 19
+COUNT_ROUNDS = 3
+ROUNDS = 5
+# A word or pair of more than this part of a shard is spread, in such parts.
+FINER = 2
 # Bits of a row's mark: counted by the first model, by the second, asked of the second.
 TRUSTED, SEEN, ASKED = 1, 2, 4
 _BLANK = r"[\s\x{A0}\x{1680}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 _SINGLE = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]|[^\p{L}\p{N}\p{M}\s]"
-# Bytes of text handled at a time, and grams put together before they are dealt.
-_PIECE = 1 << 22
+# Bytes of text handled at a time and sent to Python at a time, and grams put together before they are dealt.
+_PIECE = 1 << 17
+_SENT = 1 << 22
 _DEALT = 1 << 20
+# Words and pairs of a lower share than one in so many are not looked at for being too frequent.
+_RARE = 1 << 14
 _PARTS = ("a", "b", "c", "doc", "rid", "mark")
 
 
@@ -151,9 +160,8 @@ def _pieces(batch: pa.RecordBatch, tables):
             parts = []
             while low < high:
                 cut = low + _PIECE
-                while cut < high and data[cut] != 0x20:
-                    cut += 1
-                cut = min(cut, high)
+                spaces = np.flatnonzero(data[cut:high] == 0x20)[:1]
+                cut = cut + int(spaces[0]) if len(spaces) else high
                 parts.append(_numbers(data[low:cut], np.array([0, cut - low]), tables)[0])
                 low = cut
             found = np.concatenate(parts)
@@ -204,14 +212,30 @@ def _told(*columns):
     return rank[new], of
 
 
-def _found(keys, table, values, missing=0):
-    """``values`` at the places of ``keys`` in the sorted ``table``."""
+def _at(keys, table):
+    """The places of ``keys`` in the sorted ``table``, behind its end where they are not in it."""
     import numpy as np
 
     if not len(table):
-        return np.full(len(keys), missing, values.dtype)
+        return np.zeros(len(keys), np.int64)
     at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, values[at], missing)
+    return np.where(table[at] == keys, at, len(table))
+
+
+def _scaled(numbers, n):
+    """Evenly spread numbers of 64 bits brought below ``n``."""
+    import numpy as np
+
+    u = np.uint64
+    return (numbers.astype(np.int64, copy=False).view(u) >> u(32)) * u(n) >> u(32)
+
+
+def _often(numbers, n):
+    """Where those of evenly spread numbers are that can make up one part in ``_RARE`` of ``n``; few others are among them."""
+    import numpy as np
+
+    low = numbers & 0xFFFF
+    return np.flatnonzero((np.bincount(low, minlength=1 << 16) * _RARE >= n)[low])
 
 
 def triples(tokens: DataFrame) -> DataFrame:
@@ -232,28 +256,69 @@ def triples(tokens: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Layout:
-    """How many shards there are, and over how many each of the most frequent words is spread."""
+    """How many shards there are, and over how many each of the most frequent words and pairs is spread.
+
+    Pairs are known by their number (``_mixed``), with the middle word beside their share.
+    """
 
     shards: int
     spread: dict[int, int]
+    pairs: dict[int, tuple[int, int]]
 
-    def shard(self, a, b):
+    @cached_property
+    def _wide(self):
+        """(words, shares, whether a pair of theirs is spread, place by low bits, places that share theirs with others)."""
+        import numpy as np
+
+        key = np.array(sorted(self.spread), np.int64)
+        place = np.full(1 << 16, -1, np.int32)
+        place[key & 0xFFFF] = np.arange(len(key))
+        return key, np.array([self.spread[int(x)] for x in key], np.uint64), np.array([int(x) in self._most for x in key], bool), place, np.flatnonzero(place[key & 0xFFFF] != np.arange(len(key)))
+
+    @cached_property
+    def _pairs(self):
+        import numpy as np
+
+        key = np.array(sorted(self.pairs), np.int64)
+        return key, np.array([self.pairs[int(x)][1] for x in key] + [1], np.uint64)
+
+    def shard(self, a, b, c):
         import numpy as np
 
         u = np.uint64
-        own = _mixed(b).view(u) % u(self.shards)
+        own = _scaled(b, self.shards)
         if self.spread:
-            key = np.array(sorted(self.spread), np.int64)
-            over = _found(b, key, np.array([self.spread[int(x)] for x in key], u), u(1))
-            own = (own + _mixed(a).view(u) % over) % u(self.shards)
+            key, over, paired, place, others = self._wide
+            of = place[b & 0xFFFF]
+            wide = np.flatnonzero(of >= 0)
+            of = of[wide]
+            known = key[of] == b[wide]
+            wide, of = wide[known], of[known]
+            for i in others:
+                more = np.flatnonzero(b == key[i])
+                wide, of = np.append(wide, more), np.append(of, np.full(len(more), i, of.dtype))
+            own[wide] += _scaled(a[wide], 1 << 32) * over[of] >> u(32)
+            some = wide[paired[of]]
+            if len(some):
+                keys, times = self._pairs
+                own[some] += _scaled(c[some], 1 << 32) * times[_at(_mixed(a[some], b[some]), keys)] >> u(32)
+            own[wide] %= u(self.shards)
         return own.astype(np.int32)
 
+    @cached_property
+    def _most(self):
+        most = {}
+        for b, n in self.pairs.values():
+            most[b] = max(most.get(b, 1), n)
+        return most
+
     def places(self, word: int) -> list[int]:
         """The shards of a word that is spread."""
         import numpy as np
 
-        own = int(_mixed(np.array([word])).view(np.uint64)[0] % np.uint64(self.shards))
-        return sorted({(own + i) % self.shards for i in range(self.spread[word])})
+        own = int(_scaled(np.array([word]), self.shards)[0])
+        over = self.spread[word] + self._most.get(word, 1) - 1
+        return sorted({(own + i) % self.shards for i in range(over)})
 
 
 @dataclass(frozen=True)
@@ -261,7 +326,7 @@ class Model:
     """What the shards need beside the grams: tables of words and of endings of spread words, and fixed figures.
 
     ``discounts``, ``first`` (mass and what an unseen word is worth) and the figures of
-    ``spread`` words are of the two models in their order.
+    ``spread`` words and of ``contexts``, the pairs that are spread, are of the two models in their order.
     """
 
     trusted: DataFrame
@@ -270,6 +335,7 @@ class Model:
     discounts: list[dict[int, tuple[float, float, float]]]
     first: list[tuple[float, float]]
     spread: dict[int, list[tuple[float, float, int]]]
+    contexts: dict[int, tuple[int, list[tuple[float, float]]]]
     needed: DataFrame
     endings: DataFrame
 
@@ -280,40 +346,71 @@ class Model:
 
 
 @contextmanager
-def _shuffles_go(spark: SparkSession) -> Iterator[None]:
-    """What is shuffled inside leaves the disk at the end of its query; nothing is read again."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
+def _set(spark: SparkSession, **settings: str) -> Iterator[None]:
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _sparing(spark: SparkSession):
+    """What is shuffled inside leaves the disk at the end of its query; nothing is read again.  Texts go to Python in small batches."""
+    return _set(
+        spark,
+        **{"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(_SENT)},
+    )
 
 
 def _written(df: DataFrame, label: str) -> DataFrame:
-    with _shuffles_go(df.sparkSession):
+    with _sparing(df.sparkSession):
         return write_out(df, label)
 
 
-def _frequent(tokens: DataFrame) -> tuple[int, dict[int, int]]:
-    """How many grams there are, and about how many have the middle words that are too frequent for a shard."""
+def _frequent(tokens: DataFrame) -> tuple[int, dict[int, int], dict[int, tuple[int, int]]]:
+    """How many grams there are, and about how many have the middle words and the pairs that are too frequent for a shard."""
     points = _points()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
+        held, n = [], 0
+
+        def out():
+            a, b = (np.concatenate(x) for x in zip(*held))
+            # What is below this share everywhere is below it in all.
+            some = _often(b, len(b))
+            word, times = np.unique(b[some], return_counts=True)
+            often = times * _RARE >= len(b)
+            word, times = word[often], times[often]
+            key = _mixed(a[some], b[some])
+            many = _often(key, len(b))
+            pair, at, paired = np.unique(key[many], return_index=True, return_counts=True)
+            often = paired * _RARE >= len(b)
+            some = some[many]
+            words = pa.array([None] + word.tolist() + b[some[at[often]]].tolist(), pa.int64())
+            pairs = pa.array([None] * (len(word) + 1) + pair[often].tolist(), pa.int64())
+            return pa.RecordBatch.from_arrays([words, pairs, pa.array(np.concatenate(([len(b)], times, paired[often])))], ["word", "pair", "n"])
+
         for batch in batches:
-            for _, _, _, b, _ in _grams(batch, _tables(points)):
-                word, n = np.unique(b, return_counts=True)
-                # A word below this share of every piece is below it in all.
-                often = n * 4096 >= len(b)
-                whole = pa.array([None] + word[often].tolist(), pa.int64())
-                yield pa.RecordBatch.from_arrays([whole, pa.array(np.append(len(b), n[often]))], ["word", "n"])
+            for _, _, a, b, _ in _grams(batch, _tables(points)):
+                held.append((a, b))
+                n += len(b)
+                if n >= _DEALT:
+                    yield out()
+                    held, n = [], 0
+        if n:
+            yield out()
 
-    found = tokens.select("plain").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = found.filter(F.col("word").isNull() | (F.col("n") > SHARD)).collect()
-    return sum(r["n"] for r in rows if r["word"] is None), {r["word"]: r["n"] for r in rows if r["word"] is not None}
+    found = tokens.select("plain").mapInArrow(run, "word bigint, pair bigint, n bigint").groupBy("word", "pair").agg(F.sum("n").alias("n"))
+    with _sparing(tokens.sparkSession):
+        rows = found.filter(F.col("word").isNull() | (F.col("n") * FINER > SHARD)).collect()
+    words = {r["word"]: r["n"] for r in rows if r["word"] is not None and r["pair"] is None}
+    pairs = {r["pair"]: (r["word"], r["n"]) for r in rows if r["pair"] is not None and r["word"] in words}
+    return sum(r["n"] for r in rows if r["word"] is None), words, pairs
 
 
 def _dealt(tokens: DataFrame, layout: Layout, rounds: int, turn: int) -> DataFrame:
@@ -323,63 +420,103 @@ def _dealt(tokens: DataFrame, layout: Layout, rounds: int, turn: int) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        held, n = [], 0
+        u, held, n, docs = np.uint64, [], 0, 0
+        packer = pa.Codec("zstd", 1)
 
         def out():
-            shard, a, b, c, rid, mark = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((b, shard))
-            cuts = np.flatnonzero(np.diff(shard[order])) + 1
-            rows = []
-            for part in np.split(order, cuts):
-                docs, at, of = np.unique(rid[part], return_index=True, return_inverse=True)
-                doc = of.astype(np.uint32)
-                rows.append((int(shard[part[0]]), *(x.tobytes() for x in (a[part], b[part], c[part], doc, docs, mark[part][at]))))
-            columns = [pa.array([r[0] for r in rows], pa.int32())] + [pa.array([r[i + 1] for r in rows], pa.binary()) for i in range(len(_PARTS))]
-            return pa.RecordBatch.from_arrays(columns, ["shard", *_PARTS])
+            shard, a, b, c, doc = (np.concatenate([x[i] for x in held]) for i in range(5))
+            rids, marks = (np.concatenate([x[i] for x in held]) for i in (5, 6))
+            held.clear()
+            # Shard, middle word and place in one number; grams of one middle word lie together, which packs well.
+            names = np.unique(shard)
+            by, bits = np.searchsorted(names, shard).astype(np.uint64), len(shard).bit_length()
+            own = len(names).bit_length()
+            order = by << u(64 - own) | b.view(u) >> u(own + bits) << u(bits) | np.arange(len(b), dtype=u)
+            order.sort()
+            order = (order & u((1 << bits) - 1)).astype(np.int64)
+            rows, size = [], 0
+            for part in np.split(order, np.cumsum(np.bincount(by.astype(np.int64)))[:-1]):
+                some = np.zeros(len(rids), bool)
+                some[doc[part]] = True
+                at = np.flatnonzero(some)
+                number = np.cumsum(some)[doc[part]] - 1
+                columns = (a[part], b[part], c[part], number.astype(_width(len(at))), rids[at], marks[at])
+                rows.append((int(shard[part[0]]), len(part), len(at), *(packer.compress(x.tobytes(), asbytes=True) for x in columns)))
+                size += sum(map(len, rows[-1][3:]))
+                if size > _SENT:
+                    yield packed(rows)
+                    rows, size = [], 0
+            if rows:
+                yield packed(rows)
+
+        def packed(rows):
+            kinds = [pa.int32()] * 3 + [pa.binary()] * len(_PARTS)
+            return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows), kinds)], ["shard", "n", "docs", *_PARTS])
 
         for batch in batches:
             rids, marks = batch.column("rid").to_numpy(), batch.column("mark").to_numpy().astype(np.uint8)
             for rows, owner, a, b, c in _grams(batch, _tables(points)):
-                shard = layout.shard(a, b)
+                shard = layout.shard(a, b, c)
                 mine = np.flatnonzero(shard % rounds == turn)
-                of = rows[owner[mine]]
-                held.append((shard[mine], a[mine], b[mine], c[mine], rids[of], marks[of]))
-                n += len(mine)
+                held.append((shard[mine], a[mine], b[mine], c[mine], (owner[mine] + docs).astype(np.uint32), rids[rows], marks[rows]))
+                n, docs = n + len(mine), docs + len(rows)
                 if n >= _DEALT:
-                    yield out()
-                    held, n = [], 0
+                    yield from out()
+                    n, docs = 0, 0
         if n:
-            yield out()
+            yield from out()
 
-    return tokens.select("rid", "mark", "plain").mapInArrow(run, "shard int, " + ", ".join(f"{x} binary" for x in _PARTS))
+    return tokens.select("rid", "mark", "plain").mapInArrow(run, "shard int, n int, docs int, " + ", ".join(f"{x} binary" for x in _PARTS))
 
 
-def _opened(table: pa.Table):
-    """(a, b, c, document, ids of documents, their marks) of a shard."""
+def _width(n: int):
+    """The kind of numbers below ``n``."""
     import numpy as np
 
-    kinds = dict(zip(_PARTS, (np.int64, np.int64, np.int64, np.uint32, np.int64, np.uint8)))
-    parts = {x: [np.frombuffer(v.as_buffer(), kinds[x]) for v in table.column(x)] for x in _PARTS}
-    first = np.cumsum([0] + [len(x) for x in parts["rid"]])
-    parts["doc"] = [x + first[i] for i, x in enumerate(parts["doc"])]
-    return tuple(np.concatenate(parts[x]) for x in _PARTS)
+    return np.uint8 if n <= 1 << 8 else np.uint16 if n <= 1 << 16 else np.uint32
+
 
+def _opened(table: pa.Table):
+    """(a, b, c, document, ids of documents, their marks) of a shard."""
+    import numpy as np
 
-def _counted(table: pa.Table, spread) -> pa.Table:
-    """What a shard hands on to the models: counts of counts, words before each word, endings of spread words."""
+    packer = pa.Codec("zstd")
+    found, first = {x: [] for x in _PARTS}, 0
+    for n, docs, *row in zip(*(table.column(x) for x in ("n", "docs", *_PARTS))):
+        n, docs = n.as_py(), docs.as_py()
+        kinds = dict(zip(_PARTS, ((n, np.int64), (n, np.int64), (n, np.int64), (n, _width(docs)), (docs, np.int64), (docs, np.uint8))))
+        for x, packed in zip(_PARTS, row):
+            size, kind = kinds[x]
+            found[x].append(np.frombuffer(packer.decompress(packed.as_buffer(), size * np.dtype(kind).itemsize), kind))
+        found["doc"][-1] = found["doc"][-1].astype(np.uint32) + np.uint32(first)
+        first += docs
+    return tuple(np.concatenate(found.pop(x)) for x in _PARTS)
+
+
+def _counted(table: pa.Table, spread, contexts) -> pa.Table:
+    """What a shard hands on to the models: counts of counts, words before each word, endings of spread words, counts of spread pairs."""
     import numpy as np
 
     a, b, c, doc, _, mark = _opened(table)
     at, of = _told(a, b, c)
     n = np.bincount(of)
     seen = np.bincount(of, weights=(mark[doc] & SEEN) != 0).astype(np.int64)
-    b, c = b[at], c[at]
+    a, b, c = a[at], b[at], c[at]
+    # Of contexts that are spread: how often they occur, and how many of their grams do so once, twice and more often.
+    key = _mixed(a, b)
+    wide = np.flatnonzero(np.isin(key, contexts))
+    some, of = np.unique(key[wide], return_inverse=True)
+    parts = []
+    for x in (n[wide], seen[wide]):
+        weights = (x, *(np.minimum(x, 3) == i for i in (1, 2, 3)))
+        parts.append(np.concatenate([np.bincount(of, weights=w, minlength=len(some)).astype(np.int64) for w in weights]))
+    rows = [(np.full(4 * len(some), 4), np.tile(some, 4), np.repeat(np.arange(4), len(some)), *parts)]
     pair, of = _told(b, c)
     n2, seen2 = np.bincount(of), np.bincount(of, weights=seen > 0).astype(np.int64)
     b, c = b[pair], c[pair]
     wide = np.isin(b, spread)
-    rows = [(np.full(4, order), np.arange(1, 5), np.zeros(4, np.int64), *(np.array([(x == i).sum() for i in range(1, 5)]) for x in both))
-            for order, both in ((3, (n, seen)), (2, (n2[~wide], seen2[~wide])))]
+    rows += [(np.full(4, order), np.arange(1, 5), np.zeros(4, np.int64), *(np.array([(x == i).sum() for i in range(1, 5)]) for x in both))
+             for order, both in ((3, (n, seen)), (2, (n2[~wide], seen2[~wide])))]
     rows.append((np.zeros(int(wide.sum()), np.int64), b[wide], c[wide], n2[wide], seen2[wide]))
     # The words of the shard, with the numbers of words before them here; middle words of their own as well.
     last = np.append(c[~wide], np.unique(b[~wide]))
@@ -404,15 +541,17 @@ def train(tokens: DataFrame, discounts: Callable[[dict[int, int]], tuple[float,
     trusted = tokens if trusted is None else trusted
     if "rid" not in trusted.columns:
         trusted = trusted.select(F.lit(0).cast("long").alias("rid"), F.lit(TRUSTED | SEEN).alias("mark"), "plain")
-    total, often = _frequent(tokens)
+    total, often, pairs = _frequent(tokens)
     rounds = ROUNDS if total > SHARD else 1
+    parts_of = lambda n, least=0: max(1, -(-n // max(SHARD // FINER, least)))
     # Small shards are put together no further than twelve a round.
-    layout = Layout(rounds * max(-(-total // (SHARD * rounds)), min(12, -(-16 * total // (SHARD * rounds))), 1), {w: -(-n // SHARD) for w, n in often.items()})
-    spread = sorted(often)
+    shards = rounds * max(-(-total // (SHARD * rounds)), min(12, -(-16 * total // (SHARD * rounds))), 1)
+    layout = Layout(shards, {w: parts_of(n) for w, n in often.items()}, {k: (w, parts_of(n)) for k, (w, n) in pairs.items()})
+    spread, contexts = sorted(often), sorted(pairs)
     turns = min(COUNT_ROUNDS, rounds)
     schema = "kind bigint, x bigint, c bigint, n bigint, seen bigint"
     made = [
-        _written(_dealt(trusted, layout, turns, i).groupBy("shard").applyInArrow(lambda table: _counted(table, spread), schema), "word-counts")
+        _written(_dealt(trusted, layout, turns, i).groupBy("shard").applyInArrow(lambda table: _counted(table, spread, contexts), schema), "word-counts")
         for i in range(turns)
     ]
     counts = made[0]
@@ -425,7 +564,7 @@ def train(tokens: DataFrame, discounts: Callable[[dict[int, int]], tuple[float,
     before = _written(before.groupBy("c").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")), "word-before")
 
     parts = counts.filter("kind in (2, 3)").groupBy("kind", "x").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")).collect()
-    few, first, figures, over = [], [], {}, {}
+    few, first, figures, over, ends_of = [], [], {}, {}, {}
     for n in ("n", "seen"):
         of = {k: {r["x"]: r[n] for r in parts if r["kind"] == k} for k in (3, 2)}
         for k, table in ((2, hot), (1, before)):
@@ -443,26 +582,35 @@ def train(tokens: DataFrame, discounts: Callable[[dict[int, int]], tuple[float,
             mass, taken, mass_seen, taken_seen, ends = sizes.get(w, (0, 0.0, 0, 0.0, 0))
             b, s = words_before.get(w, (0, 0))
             figures[w] = [(float(mass), float(taken), b), (float(mass_seen), float(taken_seen), s)]
-            # Each of its shards is given all endings, so there are not more shards than grams make up for.
-            over[w] = max(1, -(-often[w] // max(SHARD, ends)))
+            # Each of its shards is given all endings, so it is to have twice as many grams.
+            ends_of[w], over[w] = 2 * ends, parts_of(often[w], 2 * ends)
+    sums = {}
+    for r in counts.filter("kind = 4").groupBy("x", "c").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")).collect():
+        sums.setdefault(r["x"], {})[r["c"]] = (r["n"], r["seen"])
+    # A pair's mass, and what the discounts take of it.
+    part = lambda k, m: [sums.get(k, {}).get(i, (0, 0))[m] for i in range(4)]
+    held = {k: (pairs[k][0], [(float((x := part(k, m))[0]), sum(d * y for d, y in zip(few[m][3], x[1:]))) for m in (0, 1)]) for k in contexts}
+    pairs = {k: (w, parts_of(n, ends_of[w])) for k, (w, n) in pairs.items()}
     both = before.withColumnsRenamed({"n": "n1", "seen": "seen1"})
     needed = _written(counts.filter("kind = 1").select(F.col("x").cast("int").alias("shard"), "c").join(both, "c"), "word-needed")
     endings = _written(hot.join(both, "c"), "word-endings")
     release(*made, hot, before)
-    return Model(trusted, Layout(layout.shards, over), rounds, few, first, figures, needed, endings)
+    return Model(trusted, Layout(shards, over, pairs), rounds, few, first, figures, held, needed, endings)
 
 
-def _asked(left: pa.Table, right: pa.Table, model) -> pa.Table:
-    """(rid, n, logp, logp_seen): a shard's share in every document's figures."""
+def _asked(left: pa.Table, right: pa.Table, model, buckets: int) -> pa.Table:
+    """A shard's share in every document's figures, as ``_REPLY``."""
     import numpy as np
 
-    discounts, first, spread = model
+    discounts, first, spread, held = model
     if not len(left):
-        return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64()), pa.array([], pa.float64())], _ANSWER)
+        return pa.table([pa.array([], kind) for kind in _REPLY.values()], list(_REPLY))
     a, b, c, doc, rid, mark = _opened(left)
     at, of = _told(a, b, c)
     ub, uc = b[at], c[at]
     contexts, context = _told(a[at], ub)
+    ca, cb = a[at[contexts]], ub[contexts]
+    del a, b, c
     pairs, pair = _told(ub, uc)
     pb, pc = ub[pairs], uc[pairs]
     middles, middle = _told(pb)
@@ -474,9 +622,16 @@ def _asked(left: pa.Table, right: pa.Table, model) -> pa.Table:
     ends = np.flatnonzero(told["n"] >= 0)
     ends_key = _mixed(told["b"][ends], told["c"][ends])
     ends, ends_key = ends[np.argsort(ends_key)], np.sort(ends_key)
-    pair_key = _mixed(pb, pc)
     hot = np.array(sorted(spread), np.int64)
-    wide = np.isin(pb, hot)
+    wide_middle = np.isin(mb, hot)
+    wide = wide_middle[middle]
+    # Figures of what is not told are 0.
+    words = told["c"][plain]
+    of_last, of_middle, of_end = _at(pc, words), _at(mb, words), _at(_mixed(pb[wide], pc[wide]), ends_key)
+    some = np.flatnonzero(np.isin(cb, np.array(sorted({w for w, _ in held.values()}), np.int64)))
+    key = _mixed(ca[some], cb[some])
+    far = [(some[i], int(key[i])) for i in np.flatnonzero(np.isin(key, np.array(sorted(held), np.int64)))]
+    figure = lambda name, rows, at: np.append(told[name][rows], 0)[at]
     sums = []
     for m, (n_name, before, bit) in enumerate((("n", "n1", TRUSTED), ("seen", "seen1", SEEN))):
         d = {k: np.array([0.0, *x]) for k, x in discounts[m].items()}
@@ -485,14 +640,16 @@ def _asked(left: pa.Table, right: pa.Table, model) -> pa.Table:
         n = np.bincount(of, weights=(mark[doc] & bit) != 0)
         mass3 = np.bincount(context, weights=n)
         taken3 = np.bincount(context, weights=taken(3, n))
+        for i, key in far:
+            mass3[i], taken3[i] = held[key][1][m]
         n2 = np.bincount(pair, weights=n > 0)
-        n2[wide] = _found(pair_key[wide], ends_key, told[n_name][ends])
+        n2[wide] = figure(n_name, ends, of_end)
         mass2 = np.bincount(middle, weights=n2)
         taken2 = np.bincount(middle, weights=taken(2, n2))
-        n1 = _found(pc, told["c"][plain], told[before][plain])
-        n1[wide] = _found(pair_key[wide], ends_key, told[before][ends])
-        own1 = _found(mb, told["c"][plain], told[before][plain])
-        for i in np.flatnonzero(np.isin(mb, hot)):
+        n1 = figure(before, plain, of_last)
+        n1[wide] = figure(before, ends, of_end)
+        own1 = figure(before, plain, of_middle)
+        for i in np.flatnonzero(wide_middle):
             mass2[i], taken2[i], own1[i] = spread[int(mb[i])][m]
         p1 = lambda x: (x - taken(1, x)) / mass1 + unseen  # noqa: E731, B023
         share = lambda x, mass, none: np.divide(x, mass, out=np.full(len(x), none), where=mass > 0)
@@ -506,13 +663,36 @@ def _asked(left: pa.Table, right: pa.Table, model) -> pa.Table:
         value += np.log(p1(own1))[middle[pair]]
         sums.append(np.bincount(doc, weights=value[of], minlength=len(rid)))
     docs, of = np.unique(rid, return_inverse=True)
-    n = np.bincount(of, weights=np.bincount(doc, minlength=len(rid))).astype(np.int64)
+    n = np.bincount(of, weights=np.bincount(doc, minlength=len(rid))).astype(np.int32)
     logp = np.bincount(of, weights=sums[0])
     seen = np.bincount(of, weights=np.where(mark & ASKED, sums[1], 0.0))
-    return pa.table([pa.array(docs), pa.array(n), pa.array(logp), pa.array(seen)], _ANSWER)
+    to = _scaled(docs, buckets).astype(np.int32)
+    order = np.argsort(to, kind="stable")
+    packer = pa.Codec("zstd", 1)
+    rows = []
+    for part in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
+        rows.append((int(to[part[0]]), len(part), *(packer.compress(x[part].tobytes(), asbytes=True) for x in (docs, n, logp, seen))))
+    return pa.table([pa.array(x, kind) for x, kind in zip(zip(*rows), _REPLY.values())], list(_REPLY))
 
 
 _ANSWER = ["rid", "n_symbols", "logp", "logp_seen"]
+# A shard's figures go to the documents packed, by bucket of their ids.
+_REPLY = {"bucket": pa.int32(), "n": pa.int32()} | {x: pa.binary() for x in _ANSWER}
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """The figures of the documents of one bucket, summed over shards."""
+    import numpy as np
+
+    packer = pa.Codec("zstd")
+    parts = {}
+    for name, kind in zip(_ANSWER, (np.int64, np.int32, np.float64, np.float64)):
+        size = np.dtype(kind).itemsize
+        rows = zip(table.column("n"), table.column(name))
+        parts[name] = np.concatenate([np.frombuffer(packer.decompress(x.as_buffer(), n.as_py() * size), kind) for n, x in rows])
+    docs, of = np.unique(parts["rid"], return_inverse=True)
+    sums = [np.bincount(of, weights=parts[x]) for x in _ANSWER[1:]]
+    return pa.table([pa.array(docs), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], _ANSWER)
 
 
 def score(tokens: DataFrame, model: Model) -> DataFrame:
@@ -521,19 +701,19 @@ def score(tokens: DataFrame, model: Model) -> DataFrame:
     Rows of one rid add up.  The rows the model was trained on are to be among ``tokens``.
     """
     spark = tokens.sparkSession
-    layout, fixed = model.layout, (model.discounts, model.first, model.spread)
+    layout, fixed = model.layout, (model.discounts, model.first, model.spread, model.contexts)
     places = spark.createDataFrame([(w, i) for w in layout.spread for i in layout.places(w)], "b bigint, shard int")
     none = F.lit(-1).cast("long")
     told = model.needed.select("shard", F.lit(0).cast("long").alias("b"), "c", none.alias("n"), none.alias("seen"), "n1", "seen1")
     if layout.spread:
         told = told.unionByName(model.endings.join(F.broadcast(places), "b").select("shard", "b", "c", "n", "seen", "n1", "seen1"))
-    sums = []
+    sums, buckets = [], layout.shards // model.rounds
     for turn in range(model.rounds):
         left = _dealt(tokens, layout, model.rounds, turn).groupBy("shard")
         right = told.filter(F.col("shard") % model.rounds == turn).groupBy("shard")
-        part = left.cogroup(right).applyInArrow(lambda x, y: _asked(x, y, fixed), "rid bigint, n_symbols bigint, logp double, logp_seen double")
-        total = [F.sum(x).alias(x) for x in _ANSWER[1:]]
-        sums.append(_written(part.groupBy("rid").agg(*total), "word-sums"))
+        part = left.cogroup(right).applyInArrow(lambda x, y: _asked(x, y, fixed, buckets), "bucket int, n int, " + ", ".join(f"{x} binary" for x in _ANSWER))
+        total = part.groupBy("bucket").applyInArrow(_summed, "rid bigint, n_symbols bigint, logp double, logp_seen double")
+        sums.append(_written(total, "word-sums"))
     release(model.needed, model.endings)
     out = sums[0]
     for x in sums[1:]:

@@ -7,6 +7,7 @@ import math
 import random
 
 import edge
+import pyarrow as pa
 import pytest
 
 from orelake.llm import kneser_ney, word_grams
@@ -93,3 +94,25 @@ def test_rounds_and_spread_words_change_nothing_and_keep_no_words(spark, monkeyp
     parted = judged()
     assert [r[:4] for r in parted] == [r[:4] for r in whole]
     assert [r[4] for r in parted] == pytest.approx([r[4] for r in whole], rel=1e-9)
+
+
+def test_no_shard_holds_a_frequent_pair_whole(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = [f"w{rng.randrange(50)} w{rng.randrange(50)} x{i}" for i in range(1500)]
+    docs = edge.rows(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    trusted, poor = docs.filter("doc_id < 900").select("doc_id"), docs.filter("doc_id >= 1400").select("doc_id")
+    judged = lambda: {r.doc_id: r for r in kneser_ney.judge(docs, trusted, poor=poor).collect()}
+    whole = judged()
+    monkeypatch.setattr(word_grams, "SHARD", 200)
+    monkeypatch.setattr(word_grams, "ROUNDS", 2)
+    tokens = word_grams.words(docs.selectExpr("doc_id as rid", "3 as mark", "text"), "rid", "mark")
+    model = word_grams.train(tokens, kneser_ney.discounts)
+    count = lambda shard: pa.table({"n": [len(word_grams._opened(shard)[0])]})
+    dealt = [word_grams._dealt(tokens, model.layout, model.rounds, turn) for turn in range(model.rounds)]
+    sizes = [r.n for x in dealt for r in x.groupBy("shard").applyInArrow(count, "n bigint").collect()]
+    # Each text begins with the same pair of bounds: 1,500 of 6,000 grams.
+    assert sum(sizes) == 6000 and max(sizes) < 900
+    parted = judged()
+    for i, r in whole.items():
+        assert (parted[i].n_symbols, parted[i].bucket, parted[i].kept) == (r.n_symbols, r.bucket, r.kept)
+        assert parted[i].perplexity == pytest.approx(r.perplexity, rel=1e-9)
