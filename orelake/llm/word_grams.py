@@ -21,8 +21,8 @@ rows and of those marked ``SEEN``.  Logarithms of the estimates add up to a
 document's, so a shard answers one sum per document.
 
 Nothing of the models reaches the driver save three discounts an order, the size
-and mass of the first order, and figures of the words and pairs that are spread (at
-most ``FINER`` of either to a shard, most often far fewer).  A task holds one shard:
+and mass of the first order, figures of at most ``COMMON`` words, and figures of the
+words and pairs that are spread (at most ``FINER`` of either to a shard, most often far fewer).  A task holds one shard:
 about ``SHARD`` words, more only where one gram is more frequent or a spread word has
 more endings.  Texts are read in small pieces, and the grams that a task has put
 together leave it packed.
@@ -44,11 +44,13 @@ from orelake.storage import release, write_out
 # The least number of words that share the first order's remainder.
 LEAST_WORDS = 32
 # Words a shard is to hold, and rounds in which shards are counted and asked.
-SHARD = 1 << 19
+SHARD = 3 << 18
 COUNT_ROUNDS = 3
 ROUNDS = 5
 # A word or pair of more than this part of a shard is spread, in such parts.
 FINER = 2
+# At most so many words that follow the most others go to all tasks; those of the rest to the shards that have them.
+COMMON = 1 << 16
 # Bits of a row's mark: counted by the first model, by the second, asked of the second.
 TRUSTED, SEEN, ASKED = 1, 2, 4
 _BLANK = r"[\s\x{A0}\x{1680}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -336,6 +338,7 @@ class Model:
     first: list[tuple[float, float]]
     spread: dict[int, list[tuple[float, float, int]]]
     contexts: dict[int, tuple[int, list[tuple[float, float]]]]
+    common: tuple
     needed: DataFrame
     endings: DataFrame
 
@@ -592,17 +595,28 @@ def train(tokens: DataFrame, discounts: Callable[[dict[int, int]], tuple[float,
     held = {k: (pairs[k][0], [(float((x := part(k, m))[0]), sum(d * y for d, y in zip(few[m][3], x[1:]))) for m in (0, 1)]) for k in contexts}
     pairs = {k: (w, parts_of(n, ends_of[w])) for k, (w, n) in pairs.items()}
     both = before.withColumnsRenamed({"n": "n1", "seen": "seen1"})
-    needed = _written(counts.filter("kind = 1").select(F.col("x").cast("int").alias("shard"), "c").join(both, "c"), "word-needed")
+    # Words that nearly every shard has are not told to each of them: those from the least power on that leaves ``COMMON``.
+    power = F.floor(F.log2("n") * 8)
+    least, size = None, 0
+    for r in before.filter("n > 0").groupBy(power.alias("power")).count().orderBy(F.desc("power")).collect():
+        size += r["count"]
+        if size > COMMON:
+            break
+        least = r["power"]
+    common = before.filter("n > 0").filter(F.lit(False) if least is None else power >= least)
+    rows = sorted((r["c"], r["n"], r["seen"]) for r in common.collect())
+    rest = counts.filter("kind = 1").select(F.col("x").cast("int").alias("shard"), "c").join(F.broadcast(common.select("c")), "c", "left_anti")
+    needed = _written(rest.join(both.filter("n1 > 0"), "c"), "word-needed")
     endings = _written(hot.join(both, "c"), "word-endings")
     release(*made, hot, before)
-    return Model(trusted, Layout(shards, over, pairs), rounds, few, first, figures, held, needed, endings)
+    return Model(trusted, Layout(shards, over, pairs), rounds, few, first, figures, held, tuple(zip(*rows)) or ((), (), ()), needed, endings)
 
 
 def _asked(left: pa.Table, right: pa.Table, model, buckets: int) -> pa.Table:
     """A shard's share in every document's figures, as ``_REPLY``."""
     import numpy as np
 
-    discounts, first, spread, held = model
+    discounts, first, spread, held, common = model
     if not len(left):
         return pa.table([pa.array([], kind) for kind in _REPLY.values()], list(_REPLY))
     a, b, c, doc, rid, mark = _opened(left)
@@ -618,7 +632,10 @@ def _asked(left: pa.Table, right: pa.Table, model, buckets: int) -> pa.Table:
     # What the shard is told: of words, and of the endings of spread words.
     told = {x: right.column(x).to_numpy() for x in ("b", "c", "n", "seen", "n1", "seen1")}
     plain = np.flatnonzero(told["n"] < 0)
-    plain = plain[np.argsort(told["c"][plain])]
+    words = np.append(told["c"][plain], common[0])
+    rank = np.argsort(words)
+    words = words[rank]
+    before = {name: np.append(np.append(told[name][plain], x)[rank], 0) for name, x in (("n1", common[1]), ("seen1", common[2]))}
     ends = np.flatnonzero(told["n"] >= 0)
     ends_key = _mixed(told["b"][ends], told["c"][ends])
     ends, ends_key = ends[np.argsort(ends_key)], np.sort(ends_key)
@@ -626,14 +643,14 @@ def _asked(left: pa.Table, right: pa.Table, model, buckets: int) -> pa.Table:
     wide_middle = np.isin(mb, hot)
     wide = wide_middle[middle]
     # Figures of what is not told are 0.
-    words = told["c"][plain]
     of_last, of_middle, of_end = _at(pc, words), _at(mb, words), _at(_mixed(pb[wide], pc[wide]), ends_key)
     some = np.flatnonzero(np.isin(cb, np.array(sorted({w for w, _ in held.values()}), np.int64)))
     key = _mixed(ca[some], cb[some])
     far = [(some[i], int(key[i])) for i in np.flatnonzero(np.isin(key, np.array(sorted(held), np.int64)))]
-    figure = lambda name, rows, at: np.append(told[name][rows], 0)[at]
+    ending = {name: np.append(told[name][ends], 0)[of_end] for name in ("n", "seen", "n1", "seen1")}
+    del ub, uc, ca, cb, pb, pc, told, right
     sums = []
-    for m, (n_name, before, bit) in enumerate((("n", "n1", TRUSTED), ("seen", "seen1", SEEN))):
+    for m, (own, own_before, bit) in enumerate((("n", "n1", TRUSTED), ("seen", "seen1", SEEN))):
         d = {k: np.array([0.0, *x]) for k, x in discounts[m].items()}
         taken = lambda k, n: d[k][np.minimum(n, 3).astype(np.int64)]  # noqa: E731, B023
         mass1, unseen = first[m]
@@ -643,12 +660,11 @@ def _asked(left: pa.Table, right: pa.Table, model, buckets: int) -> pa.Table:
         for i, key in far:
             mass3[i], taken3[i] = held[key][1][m]
         n2 = np.bincount(pair, weights=n > 0)
-        n2[wide] = figure(n_name, ends, of_end)
+        n2[wide] = ending[own]
         mass2 = np.bincount(middle, weights=n2)
         taken2 = np.bincount(middle, weights=taken(2, n2))
-        n1 = figure(before, plain, of_last)
-        n1[wide] = figure(before, ends, of_end)
-        own1 = figure(before, plain, of_middle)
+        n1, own1 = before[own_before][of_last], before[own_before][of_middle]
+        n1[wide] = ending[own_before]
         for i in np.flatnonzero(wide_middle):
             mass2[i], taken2[i], own1[i] = spread[int(mb[i])][m]
         p1 = lambda x: (x - taken(1, x)) / mass1 + unseen  # noqa: E731, B023
@@ -671,7 +687,10 @@ def _asked(left: pa.Table, right: pa.Table, model, buckets: int) -> pa.Table:
     packer = pa.Codec("zstd", 1)
     rows = []
     for part in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
-        rows.append((int(to[part[0]]), len(part), *(packer.compress(x[part].tobytes(), asbytes=True) for x in (docs, n, logp, seen))))
+        # Ids ascend: they are kept as steps, and all numbers byte by byte, so that what is alike lies together.
+        columns = (np.diff(docs[part], prepend=np.int64(0)), n[part], logp[part], seen[part])
+        columns = [np.ascontiguousarray(x.view(np.uint8).reshape(len(part), -1).T) for x in columns]
+        rows.append((int(to[part[0]]), len(part), *(packer.compress(x.tobytes(), asbytes=True) for x in columns)))
     return pa.table([pa.array(x, kind) for x, kind in zip(zip(*rows), _REPLY.values())], list(_REPLY))
 
 
@@ -687,9 +706,11 @@ def _summed(table: pa.Table) -> pa.Table:
     packer = pa.Codec("zstd")
     parts = {}
     for name, kind in zip(_ANSWER, (np.int64, np.int32, np.float64, np.float64)):
-        size = np.dtype(kind).itemsize
-        rows = zip(table.column("n"), table.column(name))
-        parts[name] = np.concatenate([np.frombuffer(packer.decompress(x.as_buffer(), n.as_py() * size), kind) for n, x in rows])
+        found = []
+        for n, packed in zip(table.column("n").to_pylist(), table.column(name)):
+            data = packer.decompress(packed.as_buffer(), n * np.dtype(kind).itemsize)
+            found.append(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, n).T).view(kind).reshape(-1))
+        parts[name] = np.concatenate([np.cumsum(x) for x in found] if name == "rid" else found)
     docs, of = np.unique(parts["rid"], return_inverse=True)
     sums = [np.bincount(of, weights=parts[x]) for x in _ANSWER[1:]]
     return pa.table([pa.array(docs), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], _ANSWER)
@@ -700,8 +721,10 @@ def score(tokens: DataFrame, model: Model) -> DataFrame:
 
     Rows of one rid add up.  The rows the model was trained on are to be among ``tokens``.
     """
+    import numpy as np
+
     spark = tokens.sparkSession
-    layout, fixed = model.layout, (model.discounts, model.first, model.spread, model.contexts)
+    layout, fixed = model.layout, (model.discounts, model.first, model.spread, model.contexts, tuple(np.array(x, np.int64) for x in model.common))
     places = spark.createDataFrame([(w, i) for w in layout.spread for i in layout.places(w)], "b bigint, shard int")
     none = F.lit(-1).cast("long")
     told = model.needed.select("shard", F.lit(0).cast("long").alias("b"), "c", none.alias("n"), none.alias("seen"), "n1", "seen1")

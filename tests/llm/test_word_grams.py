@@ -105,6 +105,7 @@ def test_no_shard_holds_a_frequent_pair_whole(spark, monkeypatch):
     whole = judged()
     monkeypatch.setattr(word_grams, "SHARD", 200)
     monkeypatch.setattr(word_grams, "ROUNDS", 2)
+    monkeypatch.setattr(word_grams, "COMMON", 20)
     tokens = word_grams.words(docs.selectExpr("doc_id as rid", "3 as mark", "text"), "rid", "mark")
     model = word_grams.train(tokens, kneser_ney.discounts)
     count = lambda shard: pa.table({"n": [len(word_grams._opened(shard)[0])]})
