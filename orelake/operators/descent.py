@@ -145,7 +145,7 @@ def train(
     folded = balanced_folds(train_rows, keys, label, folds, seed + 1)
     batched = with_batches(zscore(folded, train_rows, features), keys, batches, seed)
     rows = write_out(batched.select(F.col(label).cast("double").alias("label"), "features", "fold", "batch"), "descent")
-    rows = (rows if partitions is None else rows.coalesce(partitions)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = (rows if partitions is None else rows.repartition(partitions)).persist(StorageLevel.MEMORY_AND_DISK)
     rates = sorted({g["learningRate"] for g in grid})
     learners = [Learner(rate, fold) for rate in rates for fold in (*range(folds), None)]
     epochs = sorted({g["epochs"] for g in grid})

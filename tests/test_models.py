@@ -217,3 +217,74 @@ def test_candidates_share_the_picked_rows(spark):
     rows = models._rows(spark, SMALL)
     wanted = models.sampling.split(rows, keys, "label")[0].orderBy(models.hash_number(7, *keys), *keys).limit(models.FIT_ROWS)
     assert sorted(train.collect()) == sorted(wanted.collect())
+
+
+@pytest.fixture()
+def tables(spark, folder):
+    """Given tables with 2,400 items of keys of their own."""
+    item = {
+        "l_orderkey": "id", "l_linenumber": "1", "l_partkey": "id % 40", "l_suppkey": "id % 7", "l_quantity": "double(1 + id * 7 % 50)",
+        "l_discount": "id * 13 % 11 / 100D", "l_tax": "id * 3 % 9 / 100D", "l_extendedprice": "1000D + id * 37 % 9001",
+        "l_shipdate": "timestamp_ntz'1995-01-01'",
+    }
+    part = {"p_partkey": "id", "p_brand": "concat('Brand#', id % 5)", "p_size": "int(id)", "p_retailprice": "900D + id"}
+    for name, n, columns in (("lineitem", 2400, item), ("part", 40, part), *((x, 1, {"id": "id"}) for x in ("orders", "customer", "nation"))):
+        spark.range(n).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()]).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["ml_champion_scores"])
+def test_models_are_fitted_on_all_training_rows(spark, tables, monkeypatch, name):
+    from orelake.workload import QUERIES, models
+
+    seen = []
+    train_candidates = ml.train_candidates
+
+    def watched(train, *args, **kwargs):
+        seen.append(sorted(r.name for r in train.select("name").collect()))
+        return train_candidates(train, *args, **kwargs)
+
+    monkeypatch.setattr(ml, "train_candidates", watched)
+    small = {"logistic": lambda: ml.logistic([{"maxIter": 5}]), "random_forest": lambda: ml.random_forest([{"numTrees": 2, "maxDepth": 2}])}
+    monkeypatch.setattr(models, "_CANDIDATES", small)
+    found = QUERIES[name](spark, tables).collect()
+    train, _ = sampling.split(models._rows(spark, tables), KEYS, "label")
+    wanted = sorted(r.name for r in train.select("name").collect())
+    assert seen == [wanted, wanted] and len(wanted) > 1800
+    if name == "ml_champion_scores":
+        assert (found[0].models, found[0].champions) == (2, 1)
+
+
+def test_more_rows_take_more_tasks_and_fewer_fits_side_by_side(rows, monkeypatch):
+    from orelake.workload import models
+
+    assert models._layout(rows) == {"partitions": 1, "parallelism": models.TASKS}
+    monkeypatch.setattr(models, "ROWS_A_TASK", 250)
+    assert models._layout(rows) == {"partitions": 3, "parallelism": models.TASKS // 3}
+    assert models._layout(rows.limit(0)) == {"partitions": 1, "parallelism": models.TASKS}
+
+
+def test_parts_of_a_forest_end_at_its_sizes():
+    forest = ml.random_forest()
+    assert ml._parts(forest, [50, 100], 1000) == [100]
+    assert ml._parts(forest, [50, 100], 100_000) == [40, 10, 30, 20]
+    assert ml._parts(forest, [2, 3], 10**9) == [1, 1, 1]
+    assert ml._parts(forest, [None], 10**9) == [] and ml._parts(ml.boosting(), [50, 100], 10**9) == []
+
+
+def test_forest_in_parts_scores_like_the_forest_of_all_parts(rows, monkeypatch):
+    train, test = sampling.split(rows, KEYS, "label")
+    steps = ml.fit_features(train, FEATURES)
+    prepared, held_out = steps.transform(train), steps.transform(test)
+    monkeypatch.setattr(ml, "GROWN_AT_ONCE", 1200)
+    candidate = ml.random_forest([{"numTrees": n, "maxDepth": 3} for n in (4, 6)])
+    evaluator = ml.BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
+    setting, parts = dict(candidate.grid[1]), ml._parts(candidate, [4, 6], 600)
+    assert parts == [2, 2, 2]
+    whole = ml._fit_whole(candidate, prepared, setting, 600)
+    assert whole.getNumTrees == 6 and len({t.toDebugString for t in whole.trees}) == 6
+    got = dict(ml._scores_in_parts(candidate, prepared, setting, parts, [(0, 4), (1, 6)], held_out, evaluator))
+    for place, size in ((0, 4), (1, 6)):
+        assert got[place] == pytest.approx(evaluator.evaluate(ml.prefix(whole, size).transform(held_out)), abs=1e-9)
+    one = ml.train_candidates(train, test, FEATURES, KEYS, [candidate], folds=3, parallelism=2, partitions=2)[0]
+    assert one.model.stages[-1].getNumTrees == one.best_params["numTrees"] and one.scores["auc_test"] > 0.7
