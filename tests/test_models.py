@@ -233,7 +233,7 @@ def tables(spark, folder):
     return folder
 
 
-@pytest.mark.parametrize("name", ["ml_champion_scores"])
+@pytest.mark.parametrize("name", ["ml_champion_scores", "ml_confusion"])
 def test_models_are_fitted_on_all_training_rows(spark, tables, monkeypatch, name):
     from orelake.workload import QUERIES, models
 
@@ -248,11 +248,13 @@ def test_models_are_fitted_on_all_training_rows(spark, tables, monkeypatch, name
     small = {"logistic": lambda: ml.logistic([{"maxIter": 5}]), "random_forest": lambda: ml.random_forest([{"numTrees": 2, "maxDepth": 2}])}
     monkeypatch.setattr(models, "_CANDIDATES", small)
     found = QUERIES[name](spark, tables).collect()
-    train, _ = sampling.split(models._rows(spark, tables), KEYS, "label")
+    train, test = sampling.split(models._rows(spark, tables), KEYS, "label")
     wanted = sorted(r.name for r in train.select("name").collect())
     assert seen == [wanted, wanted] and len(wanted) > 1800
     if name == "ml_champion_scores":
         assert (found[0].models, found[0].champions) == (2, 1)
+    if name == "ml_confusion":
+        assert found[0].positives + found[0].negatives == test.count()
 
 
 def test_more_rows_take_more_tasks_and_fewer_fits_side_by_side(rows, monkeypatch):
