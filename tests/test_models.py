@@ -233,7 +233,7 @@ def tables(spark, folder):
     return folder
 
 
-@pytest.mark.parametrize("name", ["ml_champion_scores", "ml_confusion"])
+@pytest.mark.parametrize("name", ["ml_champion_scores", "ml_confusion", "ml_predictions"])
 def test_models_are_fitted_on_all_training_rows(spark, tables, monkeypatch, name):
     from orelake.workload import QUERIES, models
 
@@ -255,6 +255,8 @@ def test_models_are_fitted_on_all_training_rows(spark, tables, monkeypatch, name
         assert (found[0].models, found[0].champions) == (2, 1)
     if name == "ml_confusion":
         assert found[0].positives + found[0].negatives == test.count()
+    if name == "ml_predictions":
+        assert sorted(r.module_name for r in found) == sorted(r.name for r in test.select("name").collect())
 
 
 def test_more_rows_take_more_tasks_and_fewer_fits_side_by_side(rows, monkeypatch):
